@@ -182,7 +182,7 @@ CTES = {
 _DEPENDS = {"contracts_clean": ["contracts"]}
 
 
-def with_ctes(body: str, *names: str, extra: list[str] | None = None) -> str:
+def with_ctes(body: str, *names: str, extra: list[str] | None = None, recursive: bool = False) -> str:
     """``WITH <adapters> [, extra CTEs] <body>``; dependencies are pulled in first."""
     order: list[str] = []
     for n in names:
@@ -192,4 +192,4 @@ def with_ctes(body: str, *names: str, extra: list[str] | None = None) -> str:
         if n not in order:
             order.append(n)
     parts = [CTES[n].strip() for n in order] + [e.strip() for e in (extra or [])]
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + body
