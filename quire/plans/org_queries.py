@@ -113,19 +113,19 @@ def q_match_filters(spark, sf):
 SELECT position_number, position_title, {trim_sql('reports_to')} AS reports_to, admin, cost_center_desc, dept_desc,
        org_code_desc, supervisory_level_desc, location_desc
 FROM (SELECT {trim_sql('"Position Number"')} AS position_number,
-             arg_max("Official Position Title", seq) AS position_title,
-             arg_max("Reports To Position Number", seq) AS reports_to, arg_max("Admin", seq) AS admin,
-             arg_max("Cost Center Desc", seq) AS cost_center_desc, arg_max("Dept Desc", seq) AS dept_desc,
-             arg_max("Org Code Desc", seq) AS org_code_desc,
-             arg_max("Supervisory Level Desc", seq) AS supervisory_level_desc,
-             arg_max("Location Desc", seq) AS location_desc
+             arg_max_null("Official Position Title", seq) AS position_title,
+             arg_max_null("Reports To Position Number", seq) AS reports_to, arg_max_null("Admin", seq) AS admin,
+             arg_max_null("Cost Center Desc", seq) AS cost_center_desc, arg_max_null("Dept Desc", seq) AS dept_desc,
+             arg_max_null("Org Code Desc", seq) AS org_code_desc,
+             arg_max_null("Supervisory Level Desc", seq) AS supervisory_level_desc,
+             arg_max_null("Location Desc", seq) AS location_desc
       FROM positions WHERE {trim_sql('"Position Number"')} <> '' GROUP BY 1) d""", "positions"))
 def q_dedupe_positions_last(spark, sf):
     return org.dedupe_positions_last(_pos(spark, sf))
 
 
 _GROUPS_SQL = f"""
-SELECT lower("Cost Center Desc") AS cc_key, arg_min("Cost Center Desc", seq) AS cost_center_desc,
+SELECT lower("Cost Center Desc") AS cc_key, arg_min_null("Cost Center Desc", seq) AS cost_center_desc,
        count(*) AS n_positions
 FROM positions WHERE {trim_sql('"Position Number"')} <> '' AND "Cost Center Desc" <> '' GROUP BY 1"""
 

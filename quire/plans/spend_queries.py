@@ -41,7 +41,7 @@ _SPEND_TOTALS_SQL = """
 SELECT CAST(coalesce(sum(t), 0) AS DOUBLE) AS total_value, CAST(coalesce(sum(f), 0) AS DOUBLE) AS fy25_value,
        CAST(count(*) AS BIGINT) AS n_contracts
 FROM (
-  SELECT arg_min(total_value, seq) AS t, arg_min(fy25_value, seq) AS f FROM {src}
+  SELECT arg_min_null(total_value, seq) AS t, arg_min_null(fy25_value, seq) AS f FROM {src}
   WHERE NOT (parent_contract_number IS NULL OR parent_contract_number IN ('', 'Not found'))
   GROUP BY parent_contract_number
   UNION ALL

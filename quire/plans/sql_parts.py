@@ -169,6 +169,36 @@ local_inventory AS (
   FROM part WHERE p_partkey % 4 < 2
 )"""
 
+PASS1_RECORDS = """
+pass1_records AS (
+  SELECT * REPLACE (CASE seq % 10 WHEN 7 THEN 'Not found' WHEN 9 THEN 'Error'
+                    WHEN 3 THEN 'C' || (seq - 1) ELSE contract_number END AS contract_number)
+  FROM contracts
+)"""
+
+REVIEWED_LEDGER = """
+reviewed_ledger AS (SELECT contract_number, '2024-12-31' AS review_date FROM pass1_records WHERE seq % 3 = 0)"""
+
+PROCESSED_LOG = """
+processed_log AS (SELECT file_path AS path, CASE WHEN seq % 8 = 4 THEN 'retry' ELSE 'ok' END AS status
+                  FROM contracts WHERE seq % 4 = 0)"""
+
+PASS2_ANSWERS = """
+pass2_answers AS (
+  SELECT contract_number AS request_id,
+         CASE WHEN seq % 30 = 1 THEN 'Not found' ELSE contract_number END AS contract_number,
+         'TRUE' AS second_pass_munchable, 'first answer' AS second_pass_reason,
+         first_pass_munchable, first_pass_reason, seq * 2 AS aseq
+  FROM contracts
+  UNION ALL
+  SELECT contract_number,
+         CASE WHEN seq % 30 = 1 THEN 'Not found' ELSE contract_number END,
+         CASE seq % 5 WHEN 0 THEN 'False' WHEN 1 THEN 'N/A' WHEN 2 THEN 'Error' ELSE 'true' END,
+         CASE seq % 3 WHEN 0 THEN 'nan' WHEN 1 THEN CAST(NULL AS VARCHAR) ELSE 'final answer' END,
+         first_pass_munchable, first_pass_reason, seq * 2 + 1
+  FROM contracts WHERE seq % 3 <> 2
+)"""
+
 CTES = {
     "contracts": CONTRACTS,
     "contracts_clean": CONTRACTS_CLEAN,
@@ -177,9 +207,15 @@ CTES = {
     "page_texts": PAGE_TEXTS,
     "remote_inventory": REMOTE_INVENTORY,
     "local_inventory": LOCAL_INVENTORY,
+    "pass1_records": PASS1_RECORDS,
+    "reviewed_ledger": REVIEWED_LEDGER,
+    "processed_log": PROCESSED_LOG,
+    "pass2_answers": PASS2_ANSWERS,
 }
 
-_DEPENDS = {"contracts_clean": ["contracts"]}
+_DEPENDS = {"contracts_clean": ["contracts"], "pass1_records": ["contracts"],
+            "reviewed_ledger": ["contracts", "pass1_records"], "processed_log": ["contracts"],
+            "pass2_answers": ["contracts"]}
 
 
 def with_ctes(body: str, *names: str, extra: list[str] | None = None, recursive: bool = False) -> str:

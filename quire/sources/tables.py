@@ -159,3 +159,46 @@ def local_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
                           case when p_partkey % 7 = 0 then '.txt' when p_partkey % 3 = 0 then '.PDF' else '.pdf' end)
                    as name""",
                 "cast(p_size as bigint) * 1000 + p_partkey % 10 + case when p_partkey % 4 = 1 then 1 else 0 end as size"))
+
+
+# ---------------------------------------------------------------- ledgers and pass-2 answers (from contracts)
+
+RUN_DATE = "2025-01-01"
+
+
+def pass1_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First-pass records as decoded from the model: some ids are sentinels, some repeat the previous id."""
+    return contracts(spark, sf_dir).withColumn("contract_number", F.expr(
+        """case seq % 10 when 7 then 'Not found' when 9 then 'Error'
+                         when 3 then concat('C', seq - 1) else contract_number end"""))
+
+
+def reviewed_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger of reviewed ids as left by earlier runs (includes sentinel rows written by an older version)."""
+    return pass1_records(spark, sf_dir).where("seq % 3 = 0").selectExpr(
+        "contract_number", "'2024-12-31' as review_date")
+
+
+def processed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processed-file ledger: done paths, some marked for retry."""
+    return contracts(spark, sf_dir).where("seq % 4 = 0").selectExpr(
+        "file_path as path", "case when seq % 8 = 4 then 'retry' else 'ok' end as status")
+
+
+def pass2_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two second-pass answers per contract (the later one wins); the echoed id is sometimes a sentinel."""
+    c = contracts(spark, sf_dir).select("seq", "contract_number", "first_pass_munchable", "first_pass_reason")
+    first = c.selectExpr(
+        "contract_number as request_id",
+        "case when seq % 30 = 1 then 'Not found' else contract_number end as contract_number",
+        "'TRUE' as second_pass_munchable", "'first answer' as second_pass_reason",
+        "first_pass_munchable", "first_pass_reason", "seq * 2 as aseq")
+    second = c.where("seq % 3 <> 2").selectExpr(
+        "contract_number as request_id",
+        "case when seq % 30 = 1 then 'Not found' else contract_number end as contract_number",
+        "case seq % 5 when 0 then 'False' when 1 then 'N/A' when 2 then 'Error' else 'true' end "
+        "as second_pass_munchable",
+        "case seq % 3 when 0 then 'nan' when 1 then cast(null as string) else 'final answer' end "
+        "as second_pass_reason",
+        "first_pass_munchable", "first_pass_reason", "seq * 2 + 1 as aseq")
+    return first.unionByName(second)
