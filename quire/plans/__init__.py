@@ -1,6 +1,6 @@
 """Registered queries over the driver tables: Spark plan + DuckDB oracle SQL per key."""
 
-from quire.plans import org_queries, results_queries, spend_queries  # noqa: F401  (registers queries)
+from quire.plans import docs_queries, org_queries, results_queries, spend_queries  # noqa: F401  (registers)
 from quire.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
