@@ -26,43 +26,55 @@ def idiv(a, b) -> Column:
     return F.call_function("div", col_of(a), b if isinstance(b, Column) else F.lit(b))
 
 
-def strip_ws(c) -> Column:
-    """Whitespace strip on both ends (Spark ``trim`` removes only blanks)."""
-    return F.regexp_replace(col_of(c), r"^\s+|\s+$", "")
+# Whitespace as Java's / RE2's ``\s`` sees it (space, tab, newline, vertical tab, form feed, return).
+WHITESPACE = " \t\n\u000b\f\r"
 
 
-def clean_currency(x) -> Column:
-    """Messy money text -> DOUBLE.
+def strip_ws(c) -> Column:
+    """Whitespace strip on both ends (Spark ``trim`` alone removes only blanks)."""
+    return F.trim(col_of(c), F.lit(WHITESPACE))
 
-    ``'$1,234.5'`` -> 1234.5; ``'2.5 million'`` -> 2500000; ``'3M'`` -> 3000000; null / ``'Not found'`` / no digits -> 0.
-    Only the ``million`` branch keeps a sign; the other branches drop every character but digits and dots, and
-    keep the first dot only.  Unparseable text gives 0.
-    """
-    raw = col_of(x)
-    lowered = strip_ws(F.lower(raw))
-    s = strip_ws(F.replace(F.replace(lowered, F.lit("usd"), F.lit("")), F.lit("$"), F.lit("")))
 
-    head = F.regexp_replace(strip_ws(F.split_part(s, F.lit(MILLION_WORD), F.lit(1))), ",", "")
-    million = F.when(head.rlike(_NUMBER), head.try_cast("double") * F.lit(1_000_000.0)).otherwise(F.lit(0.0))
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a lambda over a one-element array): Spark does not
+    share subexpressions that only occur inside CASE branches, so this keeps each regex to one evaluation."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-    m_digits = F.regexp_replace(F.substring(s, F.lit(1), F.length(s) - 1), "[^0-9.]", "")
-    m_value = F.when(m_digits.rlike(_PLAIN), m_digits.try_cast("double") * F.lit(1_000_000.0)).otherwise(F.lit(0.0))
 
-    digits = F.regexp_replace(s, "[^0-9.]", "")
+def _plain_number(digits: Column) -> Column:
+    """Digits-and-dots text -> number, keeping the first dot only; empty / lone dot -> 0."""
     dot = F.instr(digits, ".")
     first_dot_only = F.when(
         dot > 0,
         F.concat(F.substring_index(digits, ".", 1), F.lit("."),
                  F.replace(F.substring(digits, dot + 1, F.lit(1 << 30)), F.lit("."), F.lit(""))),
     ).otherwise(digits)
-    plain = F.when(first_dot_only.rlike(_PLAIN), first_dot_only.try_cast("double")).otherwise(F.lit(0.0))
+    return let(first_dot_only, lambda t: F.when(t.rlike(_PLAIN), t.try_cast("double")).otherwise(F.lit(0.0)))
 
-    return (
-        F.when(raw.isNull() | (raw == F.lit(NOT_FOUND)), F.lit(0.0))
-        .when(F.instr(s, MILLION_WORD) > 0, million)
-        .when(F.endswith(s, F.lit("m")), m_value)
-        .otherwise(plain)
-    )
+
+def _clean(s: Column) -> Column:
+    """``s`` is the lower-cased text without ``usd`` / ``$``, stripped."""
+    million = let(F.regexp_replace(strip_ws(F.split_part(s, F.lit(MILLION_WORD), F.lit(1))), ",", ""),
+                  lambda h: F.when(h.rlike(_NUMBER), h.try_cast("double") * F.lit(1_000_000.0)).otherwise(F.lit(0.0)))
+    m_value = let(F.regexp_replace(F.substring(s, F.lit(1), F.length(s) - 1), "[^0-9.]", ""),
+                  lambda d: F.when(d.rlike(_PLAIN), d.try_cast("double") * F.lit(1_000_000.0)).otherwise(F.lit(0.0)))
+    plain = let(F.regexp_replace(s, "[^0-9.]", ""), _plain_number)
+    return (F.when(F.instr(s, MILLION_WORD) > 0, million)
+            .when(F.endswith(s, F.lit("m")), m_value)
+            .otherwise(plain))
+
+
+def clean_currency(x) -> Column:
+    """Messy money text -> DOUBLE.
+
+    ``'$1,234.5'`` -> 1234.5; ``'2.5 million'`` -> 2500000; ``'3M'`` -> 3000000; null / ``'Not found'`` / no digits -> 0.
+    Only the ``million`` branch keeps a sign; the other branches drop every character but digits and dots, and
+    keep the first dot only.  Unparseable text gives 0.
+    """
+    raw = col_of(x)
+    s = strip_ws(F.replace(F.replace(strip_ws(F.lower(raw)), F.lit("usd"), F.lit("")), F.lit("$"), F.lit("")))
+    return (F.when(raw.isNull() | (raw == F.lit(NOT_FOUND)), F.lit(0.0))
+            .otherwise(let(s, _clean)))
 
 
 def money(x) -> Column:

@@ -9,8 +9,12 @@ from __future__ import annotations
 WS = r"'^\s+|\s+$'"
 
 
+_WS_CHARS = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
+
 def strip_ws(e: str) -> str:
-    return f"regexp_replace({e}, {WS}, '', 'g')"
+    """Same character set as ``quire.functions.currency.WHITESPACE``."""
+    return f"trim({e}, {_WS_CHARS})"
 
 
 def clean_currency(x: str) -> str:
