@@ -43,7 +43,8 @@ def subtree(edges: DataFrame, node_ids: DataFrame, root: str) -> DataFrame:
     ``edges`` must be valid edges (both ends are positions).  State ``(id, rnd)`` is checkpointed every round,
     so each round's plan is: frontier (last round's rows) x edges, minus visited.
     """
-    e = cut_lineage(edges.select("parent", "child").distinct())
+    # Edges are stored partitioned by parent: each round's join shuffles only the frontier.
+    e = cut_lineage(edges.select("parent", "child").distinct().repartition("parent"))
     visited = cut_lineage(node_ids.where(F.col("id") == F.lit(root)).select("id", F.lit(0).alias("rnd")))
     seen = visited.count()
     for rnd in range(1, MAX_ROUNDS):
@@ -75,9 +76,10 @@ def height_under(edges: DataFrame, node_ids: DataFrame) -> DataFrame:
     Per round: one join of the edges with the resolved set, a partial aggregation per parent, and a
     checkpoint of the resolved set; the loop ends when a round resolves nothing.
     """
-    e = cut_lineage(edges.select("parent", "child"))
+    # Edges are stored partitioned by child (the join key of every round); out-degrees are computed once.
+    e = cut_lineage(edges.select("parent", "child").repartition("child"))
     ids = cut_lineage(node_ids.select("id"))
-    outdeg = e.groupBy("parent").agg(F.count(F.lit(1)).alias("deg"))
+    outdeg = cut_lineage(e.groupBy("parent").agg(F.count(F.lit(1)).alias("deg")))
     resolved = cut_lineage(ids.join(outdeg.select(F.col("parent").alias("id")), "id", "left_anti")
                            .withColumn("h", F.lit(0).cast("int")))
     seen = resolved.count()

@@ -25,6 +25,8 @@ CHILD_BULLET = "- "
 
 # Most child lines that can ever reach the text budget: each bullet line is at least "- " + "\n".
 MAX_CONTEXT_CHILDREN = TEXT_BUDGET // (len(CHILD_BULLET) + 1) + 1
+# Salt groups used to split a parent with a huge number of children before ranking.
+CONTEXT_SALTS = 64
 
 
 # ---------------------------------------------------------------- ledgers
@@ -155,18 +157,28 @@ def context_parent(records: DataFrame, key: str = "contract_number", parent: str
     return records.join(parents, records[parent] == parents["_pkey"], "left").drop("_pkey")
 
 
+def first_k_per_key(df: DataFrame, key: str, order: str, k: int, salts: int = CONTEXT_SALTS) -> DataFrame:
+    """Exactly the first ``k`` rows per ``key`` by ``order``, skew-safe.
+
+    Stage 1 ranks inside ``(key, salt)`` groups, so a key holding a third of all rows is spread over
+    ``salts`` tasks; stage 2 ranks the at most ``salts * k`` survivors per key.  Any row in the true first
+    ``k`` of its key is also in the first ``k`` of its salt group, so the result is exact."""
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(order)), F.lit(salts)))
+    w1 = Window.partitionBy(key, "_salt").orderBy(F.col(order))
+    stage1 = salted.withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= k).drop("_rn", "_salt")
+    w2 = Window.partitionBy(key).orderBy(F.col(order))
+    return stage1.withColumn("_rn", F.row_number().over(w2)).where(F.col("_rn") <= k).drop("_rn")
+
+
 def context_children(records: DataFrame, parent: str = "parent_contract_number", desc: str = "description",
                      seq: str = "seq") -> DataFrame:
     """``(parent, child_block)``: heading plus one ``- description`` line per child in ``seq`` order.
 
     Only the first children that can reach the text budget are kept (each line takes at least three
-    characters, so later children are always cut off): ``row_number() <= k`` plans a WindowGroupLimit before
-    the shuffle, so a parent holding a third of all rows still ships at most k rows per map task."""
-    w = Window.partitionBy(parent).orderBy(F.col(seq))
-    first = (records.where(_not_sentinel(parent))
-             .select(parent, seq, desc)
-             .withColumn("_rn", F.row_number().over(w))
-             .where(F.col("_rn") <= MAX_CONTEXT_CHILDREN))
+    characters, so later children are always cut off), chosen with a skew-safe two-stage top-k; the list
+    collected per parent is therefore bounded whatever the fan-out."""
+    first = first_k_per_key(records.where(_not_sentinel(parent)).select(parent, seq, desc), parent, seq,
+                            MAX_CONTEXT_CHILDREN)
     return (first.groupBy(parent)
             .agg(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), F.col(desc).alias("d")))).alias("_c"))
             .select(F.col(parent).alias("_ckey"),

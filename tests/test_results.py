@@ -55,3 +55,12 @@ def test_chunk_rows_and_ordering(spark):
     assert all(got[s] == (s // 3) // 25 for s in got)
     order = [r.second_pass_munchable for r in R.order_by_status(_records(spark)).collect()]
     assert order == ["true", "false", "n/a", "", ""]
+
+
+def test_first_k_per_key_exact_under_skew(spark):
+    rows = [("hot", i) for i in range(5000)] + [(f"k{i}", i) for i in range(50)]
+    df = spark.createDataFrame(rows, "key string, seq long").repartition(7)
+    got = R.first_k_per_key(df, "key", "seq", 40, salts=16).collect()
+    hot = sorted(r.seq for r in got if r.key == "hot")
+    assert hot == list(range(40))
+    assert sum(1 for r in got if r.key != "hot") == 50
