@@ -215,3 +215,20 @@ def q_incremental_ingest(spark, sf):
     for _ in range(2):  # the second run finds nothing new
         incremental_ingest(spark, landing, schema, out, ledger, ckpt, process, key="path")
     return spark.read.parquet(out).select("memo_id", "verdict", "status")
+
+
+def _pages_of(data: bytes) -> list[str]:
+    """Stand-in byte parser for the plug point: a landed text file's lines are its pages."""
+    return bytes(data).decode("utf-8").split("\n")[:-1]
+
+
+@query("extract_text", S.with_ctes("""
+SELECT CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS n_pages,
+       CAST(sum(length(replace(text, chr(10), ''))) AS BIGINT) AS n_chars
+FROM memos""", "memos"), note="binaryFile source -> mapInPandas parser plug point -> page table")
+def q_extract_text(spark, sf):
+    root = _land_memos(spark, sf, "source")
+    raw = (spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", True)
+           .load(root))
+    pages = D.extract_text(raw, _pages_of)
+    return pages.agg(F.count(F.lit(1)).alias("n_pages"), F.sum(F.length("page_text")).alias("n_chars"))
