@@ -15,8 +15,18 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster's cores when a scan plans fewer partitions than that.
+
+    A single-row-group file is read by one task, which would run every per-row text / regex operator
+    serially.  At cluster scale a table spans many files and plans far more partitions than cores, so this is
+    a no-op there.  Filters and column pruning still push through the repartition into the scan."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 # ---------------------------------------------------------------- contracts (orders x customer)
