@@ -1,9 +1,9 @@
 """Reporting-line hierarchy: edges, reachability from a root, height under every node, cycle report.
 
 Both traversals are rounds of DataFrame joins driven by a loop whose only driver action is a count of the
-state.  The state is checkpointed (reliably, to the session's shared checkpoint folder) every round, so each
-round plans against a short lineage and a lost executor costs at most one round.  Cycles terminate the
-loops (visited sets / unresolved nodes).
+rows a round added.  State lives in a Parquet table in the session's shared checkpoint folder (one partition
+per round, see ``RoundTable``), so each round plans against a short lineage, a lost executor costs at most
+one round, and nothing is rewritten.  Cycles terminate the loops (visited sets / unresolved nodes).
 """
 
 from __future__ import annotations
@@ -37,26 +37,48 @@ def edge_validity(edges: DataFrame, node_ids: DataFrame) -> DataFrame:
             .select("parent", "child"))
 
 
+class RoundTable:
+    """Iteration state as a Parquet table in the shared checkpoint folder, one ``rnd`` partition per round.
+
+    Each round appends only its new rows, so total writes are O(result) rather than O(result x rounds), the
+    state is always a single file scan (short plans), and reading one round is a pruned partition read."""
+
+    def __init__(self, spark, schema: str, what: str):
+        import uuid
+        from quire.session import checkpoint_dir
+        self.spark = spark
+        self.schema = f"{schema}, rnd int"
+        self.path = f"{checkpoint_dir(spark).rstrip('/')}/rounds/{what}-{uuid.uuid4().hex}"
+
+    def append(self, df: DataFrame, rnd: int) -> int:
+        """Write this round's rows; returns how many there were."""
+        df.withColumn("rnd", F.lit(rnd).cast("int")).write.mode("append").partitionBy("rnd").parquet(self.path)
+        return self.round(rnd).count()
+
+    def all(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+    def round(self, rnd: int) -> DataFrame:
+        return self.all().where(F.col("rnd") == F.lit(rnd))
+
+
 def subtree(edges: DataFrame, node_ids: DataFrame, root: str) -> DataFrame:
     """All positions reachable from ``root`` including itself, each once; unknown root -> empty.
 
-    ``edges`` must be valid edges (both ends are positions).  State ``(id, rnd)`` is checkpointed every round,
-    so each round's plan is: frontier (last round's rows) x edges, minus visited.
-    """
+    ``edges`` must be valid edges (both ends are positions).  Round r joins the rows reached in round r - 1
+    with the edges and keeps children not reached before."""
+    spark = edges.sparkSession
     # Edges are stored partitioned by parent: each round's join shuffles only the frontier.
     e = cut_lineage(edges.select("parent", "child").distinct().repartition("parent"))
-    visited = cut_lineage(node_ids.where(F.col("id") == F.lit(root)).select("id", F.lit(0).alias("rnd")))
-    seen = visited.count()
+    state = RoundTable(spark, "id string", "subtree")
+    state.append(node_ids.where(F.col("id") == F.lit(root)).select("id"), 0)
     for rnd in range(1, MAX_ROUNDS):
-        frontier = visited.where(F.col("rnd") == rnd - 1)
+        frontier = state.round(rnd - 1)
         nxt = (frontier.join(e, frontier.id == e.parent).select(F.col("child").alias("id")).distinct()
-               .join(visited, "id", "left_anti").withColumn("rnd", F.lit(rnd)))
-        visited = cut_lineage(visited.unionByName(nxt))
-        now = visited.count()
-        if now == seen:
+               .join(state.all().select("id"), "id", "left_anti"))
+        if state.append(nxt, rnd) == 0:
             break
-        seen = now
-    return visited.select("id")
+    return state.all().select("id")
 
 
 def subtree_rows(raw: DataFrame, reached: DataFrame, filter_col=None, id_col: str = ID) -> DataFrame:
@@ -73,27 +95,26 @@ def height_under(edges: DataFrame, node_ids: DataFrame) -> DataFrame:
     1 + the highest child.  Nodes that can reach a cycle never resolve: they get 1 + the highest resolved
     child, or -1 without one.  Output: ``id``, ``height``, ``resolved``.
 
-    Per round: one join of the edges with the resolved set, a partial aggregation per parent, and a
-    checkpoint of the resolved set; the loop ends when a round resolves nothing.
-    """
+    Per round: one join of the edges with the resolved set, a partial aggregation per parent, and an append
+    of the newly resolved nodes; the loop ends when a round resolves nothing."""
+    spark = edges.sparkSession
     # Edges are stored partitioned by child (the join key of every round); out-degrees are computed once.
     e = cut_lineage(edges.select("parent", "child").repartition("child"))
     ids = cut_lineage(node_ids.select("id"))
     outdeg = cut_lineage(e.groupBy("parent").agg(F.count(F.lit(1)).alias("deg")))
-    resolved = cut_lineage(ids.join(outdeg.select(F.col("parent").alias("id")), "id", "left_anti")
-                           .withColumn("h", F.lit(0).cast("int")))
-    seen = resolved.count()
-    for _ in range(1, MAX_ROUNDS):
+    state = RoundTable(spark, "id string, h int", "heights")
+    state.append(ids.join(outdeg.select(F.col("parent").alias("id")), "id", "left_anti")
+                 .withColumn("h", F.lit(0).cast("int")), 0)
+    for rnd in range(1, MAX_ROUNDS):
+        resolved = state.all().select("id", "h")
         done = (e.join(resolved, e.child == resolved.id)
                 .groupBy("parent").agg(F.count(F.lit(1)).alias("n"), F.max("h").alias("mh")))
         fresh = (done.join(outdeg, "parent").where(F.col("n") == F.col("deg"))
                  .select(F.col("parent").alias("id"), (F.col("mh") + 1).cast("int").alias("h"))
-                 .join(resolved, "id", "left_anti"))
-        resolved = cut_lineage(resolved.unionByName(fresh))
-        now = resolved.count()
-        if now == seen:
+                 .join(resolved.select("id"), "id", "left_anti"))
+        if state.append(fresh, rnd) == 0:
             break
-        seen = now
+    resolved = state.all().select("id", "h")
     partial = (e.join(resolved, e.child == resolved.id).groupBy("parent")
                .agg((F.max("h") + 1).cast("int").alias("ph")))
     return (ids.join(resolved.withColumn("resolved", F.lit(True)), "id", "left")

@@ -36,7 +36,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used as is.  Only when it is
-    unset (local tests) a private folder is created and registered.
+    unset on a local master (tests, laptops) a private folder is created and registered; a cluster without
+    the setting is an error, because a machine-local folder would not survive the loss of that machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -44,6 +45,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (iterative operators and scratch "
+                           "outputs are written there)")
     local = tempfile.mkdtemp(prefix="quire-ckpt-")
     sc.setCheckpointDir(local)
     return local
