@@ -336,3 +336,49 @@ def q_score_and_priority(spark, sf):
     for p in FIELD_PATTERNS) + " FROM documents")
 def q_extract_fields(spark, sf):
     return X.extract_fields(_docs(spark, sf), "text", FIELD_PATTERNS).drop("text")
+
+
+# ---------------------------------------------------------------- memo flavour of upsert and ledger
+
+MEMO_UPSERT_COLUMNS = ["second_pass_violations", "second_pass_score", "suggested_remediation", "priority_level"]
+
+
+@query("upsert_memo_results", _q(f"""
+SELECT r.seq, r.memo_id,
+       CASE WHEN u.k IS NULL THEN '' ELSE array_to_string(u.v, '; ') END AS second_pass_violations,
+       CASE WHEN u.k IS NULL THEN 0 ELSE u.s END AS second_pass_score,
+       CASE WHEN u.k IS NULL THEN '' ELSE u.r END AS suggested_remediation,
+       CASE WHEN u.k IS NULL THEN '' ELSE u.p END AS priority_level,
+       CAST(CASE lower(CASE WHEN u.k IS NULL THEN '' ELSE u.p END)
+            WHEN 'high' THEN 0 WHEN 'medium' THEN 1 WHEN 'low' THEN 2 WHEN '' THEN 3 END AS INTEGER) AS priority_rank
+FROM ({_decode_sql("m_p1", X.MEMO_PASS1)}) r
+LEFT JOIN (SELECT memo_id AS k, arg_max_null(second_pass_violations, seq) AS v, arg_max_null(second_pass_score, seq) AS s,
+                  arg_max_null(suggested_remediation, seq) AS r, arg_max_null(priority_level, seq) AS p
+           FROM ({_decode_sql("m_p2", X.MEMO_PASS2)}) t
+           WHERE memo_id NOT IN ('Not found', 'Error') GROUP BY 1) u ON r.memo_id = u.k"""))
+def q_upsert_memo_results(spark, sf):
+    """Memo results after pass 2: the four second-pass columns overwritten by the last answer per memo id,
+    then the priority review order."""
+    base = X.decode_response(memo_p1(spark, sf), "response", X.MEMO_PASS1).select("seq", "memo_id").withColumns({
+        "second_pass_violations": F.array().cast("array<string>"), "second_pass_score": F.lit(0),
+        "suggested_remediation": F.lit(""), "priority_level": F.lit("")})
+    updates = _memo2(spark, sf).withColumnRenamed("seq", "useq")
+    out = R.order_by_priority(R.upsert_results(base, updates, key="memo_id", seq="useq",
+                                               columns=MEMO_UPSERT_COLUMNS))
+    return out.select("seq", "memo_id", list_to_text("second_pass_violations").alias("second_pass_violations"),
+                      "second_pass_score", "suggested_remediation", "priority_level", "priority_rank")
+
+
+@query("append_ledger_memos", _q(f"""
+SELECT 'M' || doc_id AS memo_id, '2024-12-31' AS review_date FROM documents WHERE doc_id % 5 = 0
+UNION ALL
+SELECT DISTINCT memo_id, '{tables.RUN_DATE}' FROM ({_decode_sql("m_p1", X.MEMO_PASS1)}) t
+WHERE memo_id IS NOT NULL AND memo_id <> '' AND memo_id NOT IN ('Not found', 'Error')
+  AND memo_id NOT IN (SELECT 'M' || doc_id FROM documents WHERE doc_id % 5 = 0)"""))
+def q_append_ledger_memos(spark, sf):
+    """Memo ledger after a run: every decoded memo id is recorded, whatever its score (the reference's
+    behaviour; ``append_ledger(..., predicate=...)`` restricts it)."""
+    ledger = tables.load(spark, sf, "documents").where("doc_id % 5 = 0").selectExpr(
+        "concat('M', doc_id) as memo_id", "'2024-12-31' as review_date")
+    rec = X.decode_response(memo_p1(spark, sf), "response", X.MEMO_PASS1)
+    return R.append_ledger(rec, ledger, tables.RUN_DATE, key="memo_id")
