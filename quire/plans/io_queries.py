@@ -213,7 +213,7 @@ def q_incremental_ingest(spark, sf):
                 .select("path", "memo_id", "verdict", "status"))
 
     for _ in range(2):  # the second run finds nothing new
-        incremental_ingest(spark, landing, schema, out, ledger, ckpt, process, key="path")
+        incremental_ingest(spark, landing, schema, out, ledger, ckpt, process, key="path", files_per_batch=2)
     return spark.read.parquet(out).select("memo_id", "verdict", "status")
 
 

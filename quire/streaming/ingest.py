@@ -25,7 +25,7 @@ def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def incremental_ingest(spark: SparkSession, source_dir: str, schema: T.StructType, results_dir: str,
                        ledger_dir: str, checkpoint: str, process: Callable[[DataFrame], DataFrame],
                        key: str = "path", status: Callable[[DataFrame], DataFrame] | None = None,
-                       files_per_batch: int = 1) -> None:
+                       files_per_batch: int = 1000) -> None:
     """Process every not-yet-processed row of the parquet files landing in ``source_dir``; returns when all
     available files are done (``availableNow``).
 

@@ -9,12 +9,12 @@ def test_incremental_ingest_is_idempotent_and_incremental(spark, tmp_dir):
         .repartition(3).write.parquet(landing)
     schema = spark.read.parquet(landing).schema
     proc = lambda df: df.withColumn("doubled", F.col("n") * 2)
-    incremental_ingest(spark, landing, schema, out, ledger, ckpt, proc)
+    incremental_ingest(spark, landing, schema, out, ledger, ckpt, proc, files_per_batch=1)
     incremental_ingest(spark, landing, schema, out, ledger, ckpt, proc)     # nothing new: no-op
     assert spark.read.parquet(out).count() == 30
     spark.range(30, 40).select(F.concat(F.lit("/d/"), F.col("id")).alias("path"), F.col("id").alias("n")) \
         .write.mode("append").parquet(landing)
-    incremental_ingest(spark, landing, schema, out, ledger, ckpt, proc)
+    incremental_ingest(spark, landing, schema, out, ledger, ckpt, proc, files_per_batch=1)
     res = spark.read.parquet(out)
     assert res.count() == 40 and res.select("path").distinct().count() == 40
     assert spark.read.parquet(ledger).count() == 40
