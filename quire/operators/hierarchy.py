@@ -16,6 +16,8 @@ from quire.operators.org import ID, SUPERVISOR
 from quire.session import cut_lineage
 
 MAX_ROUNDS = 100_000
+# Salt buckets per parent for the reachability join (managers with a huge number of reports).
+SALTS = 32
 
 
 def nodes(df: DataFrame, id_col: str = ID) -> DataFrame:
@@ -68,13 +70,17 @@ def subtree(edges: DataFrame, node_ids: DataFrame, root: str) -> DataFrame:
     ``edges`` must be valid edges (both ends are positions).  Round r joins the rows reached in round r - 1
     with the edges and keeps children not reached before."""
     spark = edges.sparkSession
-    # Edges are stored partitioned by parent: each round's join shuffles only the frontier.
-    e = cut_lineage(edges.select("parent", "child").distinct().repartition("parent"))
+    # Edges are stored partitioned by (parent, salt): a manager with a third of all reports is spread over
+    # SALTS partitions, and the (small) frontier is replicated once per salt to meet them.
+    e = cut_lineage(edges.select("parent", "child").distinct()
+                    .withColumn("_salt", F.pmod(F.xxhash64("child"), F.lit(SALTS)).cast("int"))
+                    .repartition("parent", "_salt"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
     state = RoundTable(spark, "id string", "subtree")
     state.append(node_ids.where(F.col("id") == F.lit(root)).select("id"), 0)
     for rnd in range(1, MAX_ROUNDS):
-        frontier = state.round(rnd - 1)
-        nxt = (frontier.join(e, frontier.id == e.parent).select(F.col("child").alias("id")).distinct()
+        frontier = state.round(rnd - 1).select(F.col("id").alias("parent"), salts)
+        nxt = (frontier.join(e, ["parent", "_salt"]).select(F.col("child").alias("id")).distinct()
                .join(state.all().select("id"), "id", "left_anti"))
         if state.append(nxt, rnd) == 0:
             break

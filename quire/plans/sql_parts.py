@@ -68,9 +68,10 @@ contracts AS (
   SELECT
     k AS seq,
     'C' || k AS contract_number,
-    CASE WHEN k % 5 <> 0 AND k % 2 = 0 THEN 'C' || (k - k % 5) ELSE 'Not found' END AS parent_contract_number,
+    CASE WHEN k % 3 = 1 AND k > 1 THEN 'C0' WHEN k % 5 <> 0 AND k % 2 = 0 THEN 'C' || (k - k % 5)
+         ELSE 'Not found' END AS parent_contract_number,
     'Order ' || k || ' priority ' || o_orderpriority || ' status ' || o_orderstatus AS description,
-    c_name AS vendor_name,
+    CASE WHEN k % 3 = 2 THEN 'Hot Vendor Inc' ELSE c_name END AS vendor_name,
     'Officer ' || (o_custkey % 50) AS contracting_officer,
     CASE k % 8
       WHEN 0 THEN '$' || format('{:,}', d) || '.' || lpad(CAST(c AS VARCHAR), 2, '0')
@@ -127,6 +128,7 @@ positions AS (
          ELSE CAST(c_custkey + 1 AS VARCHAR) END AS "Position Number",
     CASE WHEN c_custkey = 1 THEN '14'
          WHEN c_custkey = 2 THEN '3'
+         WHEN c_custkey % 3 = 0 AND c_custkey > 0 THEN '1'
          WHEN (c_custkey + 1) // 7 = 0 THEN ''
          WHEN c_custkey % 17 = 4 THEN ' ' || ((c_custkey + 1) // 7)
          ELSE CAST((c_custkey + 1) // 7 AS VARCHAR) END AS "Reports To Position Number",

@@ -43,7 +43,8 @@ CONTRACT_COLUMNS = [
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One contract result row per order (``o_orderkey`` is unique); vendor = customer name.
 
-    Money columns are text in the messy shapes the cleaner has to handle; parents exist for joins.
+    Money columns are text in the messy shapes the cleaner has to handle; parents exist for joins.  Hot keys
+    on purpose: a third of all contracts are children of ``C0`` and a third belong to one vendor.
     """
     o = load(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -56,10 +57,10 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.selectExpr(
         "k as seq",
         "concat('C', k) as contract_number",
-        "case when k % 5 <> 0 and k % 2 = 0 then concat('C', k - k % 5) else 'Not found' end "
-        "as parent_contract_number",
+        "case when k % 3 = 1 and k > 1 then 'C0' when k % 5 <> 0 and k % 2 = 0 then concat('C', k - k % 5) "
+        "else 'Not found' end as parent_contract_number",
         "concat('Order ', k, ' priority ', o_orderpriority, ' status ', o_orderstatus) as description",
-        "c_name as vendor_name",
+        "case when k % 3 = 2 then 'Hot Vendor Inc' else c_name end as vendor_name",
         "concat('Officer ', o_custkey % 50) as contracting_officer",
         """case k % 8
              when 0 then concat('$', format_number(d, 0), '.', lpad(cast(c as string), 2, '0'))
@@ -105,7 +106,7 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Injected cases: duplicate ids (custkey % 97 = 96 repeats the previous id), blank ids, padded ids and
     supervisors, a 2-cycle (2 <-> 14), a self-loop (3), supervisors that are no position, case variants
-    and blanks in the cost center.
+    and blanks in the cost center, and a hot manager: a third of all positions report to position 1.
     """
     cu = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     na = broadcast_if_small(load(spark, sf_dir, "nation").select("n_nationkey", "n_name"), 10_000)
@@ -118,6 +119,7 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
                 else cast(c_custkey + 1 as string) end as `Position Number`""",
         """case when c_custkey = 1 then '14'
                 when c_custkey = 2 then '3'
+                when c_custkey % 3 = 0 and c_custkey > 0 then '1'
                 when (c_custkey + 1) div 7 = 0 then ''
                 when c_custkey % 17 = 4 then concat(' ', (c_custkey + 1) div 7)
                 else cast((c_custkey + 1) div 7 as string) end as `Reports To Position Number`""",
