@@ -36,7 +36,8 @@ def contract_review(files: DataFrame, processed: DataFrame, reviewed: DataFrame,
                     answers1: DataFrame, answers2: DataFrame, run_date: str, path: str = "path") -> dict[str, DataFrame]:
     """Run both passes.  Returns ``results`` (ordered for review), ``requests1`` / ``requests2`` (what goes
     to the model), ``processed_rows`` (ledger rows with ``ok`` / ``no_text`` / ``error``), ``reviewed_rows``
-    (new review-ledger rows) and ``manifest`` (archive destinations).  Row order is the file path."""
+    (new review-ledger rows) and ``manifest`` (archive destinations).  Row order is the file path; an
+    ``aseq`` column on ``answers2`` orders repeated answers (the last wins)."""
     p1 = first_pass(files, processed, texts, path)
     asked = p1["requests"].select(path)
     rec = (X.decode_response(answers1.join(asked, path, "inner"), "response", X.CONTRACT_PASS1)
@@ -52,8 +53,40 @@ def contract_review(files: DataFrame, processed: DataFrame, reviewed: DataFrame,
     ctx = R.context_text(results, seq="file_path")
     requests2 = ctx.select("file_path", "contract_number",
                            X.build_request("context_text", PASS2_HEAD, PASS2_TAIL).alias("request_text"))
-    ans = (X.decode_response(answers2, "response", X.CONTRACT_PASS2)
-           .withColumn("aseq", F.monotonically_increasing_id()))
+    ans = X.decode_response(answers2, "response", X.CONTRACT_PASS2)
+    if "aseq" not in ans.columns:  # answers without an explicit order: arrival order decides "last"
+        ans = ans.withColumn("aseq", F.monotonically_increasing_id())
     final = R.order_by_status(R.attach_second_pass(results, ans), seq="file_path")
     return {"results": final, "requests1": p1["requests"], "requests2": requests2,
             "processed_rows": processed_rows, "reviewed_rows": reviewed_rows, "manifest": manifest}
+
+
+MEMO_UPSERT_COLUMNS = ["second_pass_violations", "second_pass_score", "suggested_remediation", "priority_level"]
+MEMO2_HEAD = "Assess this memo for non-compliance and answer as JSON.\n\nMEMO CONTENT:\n"
+
+
+def memo_review(files: DataFrame, processed: DataFrame, known: DataFrame, texts: DataFrame, answers1: DataFrame,
+                answers2: DataFrame, run_date: str, path: str = "path", flag_score: int = 5) -> dict[str, DataFrame]:
+    """Memo flow: pass 1 -> ledger of every memo id -> pass 2 on the memo text -> second-pass columns by memo
+    id (last answer wins, sentinels never match) -> flags (score >= ``flag_score`` or priority high) ->
+    archive manifest of the flagged set -> priority order.  ``answers2`` is ``(path, response)``."""
+    p1 = first_pass(files, processed, texts, path)
+    asked = p1["requests"].select(path)
+    rec = (X.decode_response(answers1.join(asked, path, "inner"), "response", X.MEMO_PASS1)
+           .withColumn("file_path", F.col(path)).drop("response"))
+    ledger_rows = R.new_ledger_rows(rec, known, run_date, key="memo_id")
+    requests2 = rec.join(texts.select(path, "text"), path).select(
+        path, "memo_id", X.build_request("text", MEMO2_HEAD, "\n").alias("request_text"))
+    ans = (X.decode_response(answers2.join(asked, path, "inner"), "response", X.MEMO_PASS2)
+           .select("memo_id", *MEMO_UPSERT_COLUMNS, F.col(path).alias("useq")))
+    base = rec.drop(*[c for c in MEMO_UPSERT_COLUMNS if c in rec.columns]).withColumns({
+        "second_pass_violations": F.array().cast("array<string>"), "second_pass_score": F.lit(0),
+        "suggested_remediation": F.lit(""), "priority_level": F.lit("")})
+    merged = R.upsert_results(base, ans, key="memo_id", seq="useq", columns=MEMO_UPSERT_COLUMNS)
+    from quire.functions.text import is_sentinel
+    flagged_col = (~is_sentinel("memo_id")) & (
+        (F.col("first_pass_non_compliance_score") >= F.lit(flag_score)) | (F.lower("priority_level") == "high"))
+    final = R.order_by_priority(merged.withColumn("flagged", flagged_col), seq=path)
+    manifest = sync.archive_manifest(final.where("flagged"), "memo_id", seq=path)
+    return {"results": final, "requests1": p1["requests"], "requests2": requests2, "ledger_rows": ledger_rows,
+            "manifest": manifest, "flag_counts": R.flag_counts(final, schemas.MEMO_FLAGS)}

@@ -48,3 +48,42 @@ def q_contract_review_run(spark, sf):
         run_date=tables.RUN_DATE)
     return out["results"].select("file_path", "contract_number", "first_pass_munchable", "second_pass_munchable",
                                  "second_pass_reason", "status_rank")
+
+
+_MEMO_SQL = DQ._q(f"""
+SELECT r.seq AS path, r.memo_id, r.first_pass_non_compliance_score,
+       CASE WHEN u.k IS NULL THEN 0 ELSE u.s END AS second_pass_score,
+       CASE WHEN u.k IS NULL THEN '' ELSE u.p END AS priority_level,
+       r.memo_id NOT IN ('Not found', 'Error') AND (r.first_pass_non_compliance_score >= 5
+         OR lower(CASE WHEN u.k IS NULL THEN '' ELSE u.p END) = 'high') AS flagged
+FROM ({DQ._decode_sql("mq1", X.MEMO_PASS1)}) r
+LEFT JOIN (SELECT memo_id AS k, arg_max_null(second_pass_score, seq) AS s, arg_max_null(priority_level, seq) AS p
+           FROM ({DQ._decode_sql("mq2", X.MEMO_PASS2)}) t
+           WHERE memo_id NOT IN ('Not found', 'Error') GROUP BY 1) u ON r.memo_id = u.k""").replace(
+    "WITH ", f"""WITH mtodo AS (SELECT '/memos/' || source || '/M' || doc_id || '.pdf' AS path, doc_id, text FROM documents
+                 WHERE doc_id % 4 <> 0 AND length(text) > 0),
+mq1 AS (SELECT t.path AS seq, {DQ.MEMO_P1_RESPONSE} AS response
+        FROM documents d JOIN mtodo t ON d.doc_id = t.doc_id LEFT JOIN labels l ON d.doc_id = l.doc_id),
+mq2 AS (SELECT t.path AS seq, {DQ.MEMO_P2_RESPONSE.replace('doc_id', 'd.doc_id').replace('lang', 'd.lang')} AS response
+        FROM documents d JOIN mtodo t ON d.doc_id = t.doc_id),
+""", 1)
+
+
+@query("memo_review_run", _MEMO_SQL, note="memo flow composed end to end; model answers captured in tables")
+def q_memo_review_run(spark, sf):
+    from quire.operators.review import memo_review
+    m = tables.memos(spark, sf)
+    d = tables.load(spark, sf, "documents").alias("d")
+    lab = tables.load(spark, sf, "labels").alias("l")
+    keyed = d.join(lab, F.col("d.doc_id") == F.col("l.doc_id"), "left").withColumn(
+        "path", F.concat(F.lit("/memos/"), F.col("d.source"), F.lit("/M"), F.col("d.doc_id"), F.lit(".pdf")))
+    out = memo_review(
+        files=m.select(F.col("file_path").alias("path")),
+        processed=m.where("seq % 4 = 0").select(F.col("file_path").alias("path"), F.lit("ok").alias("status")),
+        known=spark.createDataFrame([], "memo_id string, review_date string"),
+        texts=m.select(F.col("file_path").alias("path"), "text"),
+        answers1=keyed.selectExpr("path", f"{DQ.MEMO_P1_RESPONSE} as response"),
+        answers2=keyed.selectExpr("path", f"{DQ.MEMO_P2_RESPONSE.replace('doc_id', 'd.doc_id').replace('lang', 'd.lang')} as response"),
+        run_date=tables.RUN_DATE)
+    return out["results"].select("path", "memo_id", "first_pass_non_compliance_score", "second_pass_score",
+                                 "priority_level", "flagged")
