@@ -89,7 +89,7 @@ def contract_p2(spark, sf):
 
 def memo_p1(spark, sf):
     d = tables.load(spark, sf, "documents").alias("d")
-    lab = tables.load(spark, sf, "labels").alias("l")
+    lab = tables.load(spark, sf, "labels", spread_rows=False).alias("l")
     return d.join(lab, F.col("d.doc_id") == F.col("l.doc_id"), "left").selectExpr(
         "d.doc_id as seq", f"{MEMO_P1_RESPONSE} as response")
 

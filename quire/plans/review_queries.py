@@ -74,7 +74,7 @@ def q_memo_review_run(spark, sf):
     from quire.operators.review import memo_review
     m = tables.memos(spark, sf)
     d = tables.load(spark, sf, "documents").alias("d")
-    lab = tables.load(spark, sf, "labels").alias("l")
+    lab = tables.load(spark, sf, "labels", spread_rows=False).alias("l")
     keyed = d.join(lab, F.col("d.doc_id") == F.col("l.doc_id"), "left").withColumn(
         "path", F.concat(F.lit("/memos/"), F.col("d.source"), F.lit("/M"), F.col("d.doc_id"), F.lit(".pdf")))
     out = memo_review(

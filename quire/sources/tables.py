@@ -1,7 +1,7 @@
 """Driver tables and the adapters that shape them into the library's record types.
 
 Every adapter is a projection / join over the given parquet tables, so its size grows with them.  The
-expressions are deterministic, so the DuckDB oracle (``quire.plans.oracle``) rebuilds the same rows.
+expressions are deterministic, so the DuckDB oracle (``quire.plans.sql_parts``) rebuilds the same rows.
 """
 
 from __future__ import annotations
@@ -25,8 +25,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def load(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
+    """A driver table; ``spread_rows=False`` for lookup sides of joins (no point spreading what is hashed or
+    broadcast as a whole)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
 # ---------------------------------------------------------------- contracts (orders x customer)
@@ -48,7 +51,7 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     o = load(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
-    c = load(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    c = load(spark, sf_dir, "customer", spread_rows=False).select("c_custkey", "c_name")
     base = o.join(c, o.o_custkey == c.c_custkey, "left").selectExpr(
         "o_orderkey as k", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "c_name",
         f"{_MONEY_CENTS} as cents")
@@ -109,7 +112,7 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     and blanks in the cost center, and a hot manager: a third of all positions report to position 1.
     """
     cu = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    na = broadcast_if_small(load(spark, sf_dir, "nation").select("n_nationkey", "n_name"), 10_000)
+    na = broadcast_if_small(load(spark, sf_dir, "nation", spread_rows=False).select("n_nationkey", "n_name"), 10_000)
     j = cu.join(na, cu.c_nationkey == na.n_nationkey, "left")
     return j.selectExpr(
         "c_custkey as seq",
