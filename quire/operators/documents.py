@@ -44,17 +44,19 @@ def drop_empty_text(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def text_cache_lookup(docs: DataFrame, cache: DataFrame, extract: Callable[[DataFrame], DataFrame],
-                      path: str = "file_path") -> tuple[DataFrame, DataFrame]:
+                      path: str = "file_path", version: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Text for every document: cache hit by ``md5(path)``, else ``extract`` on the misses only.
 
-    Returns ``(texts, new_cache_rows)``; empty texts are never cached.  ``extract`` maps a DataFrame with
+    ``version`` (e.g. ``["length", "modificationTime"]`` from a binaryFile listing) adds columns to the cache
+    key, so a file rewritten in place misses the cache; the default keys on the path alone, as the reference
+    does.  Returns ``(texts, new_cache_rows)``; empty texts are never cached.  ``extract`` maps a DataFrame with
     the document columns to one with an added ``text`` column (for example a ``mapInPandas`` parser)."""
+    keys = ["path_md5", *(version or [])]
     keyed = docs.withColumn("path_md5", path_key(path))
-    hits = keyed.join(cache.select("path_md5", "text"), "path_md5", "inner").withColumn("from_cache", F.lit(True))
-    misses = extract(keyed.join(cache.select("path_md5"), "path_md5", "left_anti")).withColumn(
-        "from_cache", F.lit(False))
+    hits = keyed.join(cache.select(*keys, "text"), keys, "inner").withColumn("from_cache", F.lit(True))
+    misses = extract(keyed.join(cache.select(*keys), keys, "left_anti")).withColumn("from_cache", F.lit(False))
     texts = hits.unionByName(misses)
-    new_rows = misses.where(F.coalesce(F.length("text"), F.lit(0)) > 0).select("path_md5", "text")
+    new_rows = misses.where(F.coalesce(F.length("text"), F.lit(0)) > 0).select(*keys, "text")
     return texts, new_rows
 
 

@@ -148,40 +148,48 @@ def _not_sentinel(c: str) -> Column:
 
 
 def context_parent(records: DataFrame, key: str = "contract_number", parent: str = "parent_contract_number",
-                   desc: str = "description", seq: str = "seq") -> DataFrame:
+                   desc: str = "description", seq: str = "seq", within: list[str] | None = None) -> DataFrame:
     """``parent_description`` for each record: first record (by ``seq``) numbered like its parent.
-    Sentinel parents never match."""
-    parents = (records.where(_not_sentinel(key)).groupBy(key)
+    Sentinel parents never match.  ``within`` (e.g. ``["chunk_no"]``) limits the lookup to rows sharing
+    those columns, which reproduces the reference's chunk-local context."""
+    scope = list(within or [])
+    parents = (records.where(_not_sentinel(key)).groupBy(key, *scope)
                .agg(F.min_by(F.col(desc), F.col(seq)).alias("parent_description"))
-               .withColumnRenamed(key, "_pkey"))
-    return records.join(parents, records[parent] == parents["_pkey"], "left").drop("_pkey")
+               .select(F.col(key).alias("_pkey"), *[F.col(c).alias(f"_p_{c}") for c in scope],
+                       "parent_description"))
+    cond = records[parent] == parents["_pkey"]
+    for c in scope:
+        cond = cond & (records[c] == parents[f"_p_{c}"])
+    return records.join(parents, cond, "left").drop("_pkey", *[f"_p_{c}" for c in scope])
 
 
-def first_k_per_key(df: DataFrame, key: str, order: str, k: int, salts: int = CONTEXT_SALTS) -> DataFrame:
+def first_k_per_key(df: DataFrame, key: str | list[str], order: str, k: int, salts: int = CONTEXT_SALTS) -> DataFrame:
     """Exactly the first ``k`` rows per ``key`` by ``order``, skew-safe.
 
     Stage 1 ranks inside ``(key, salt)`` groups, so a key holding a third of all rows is spread over
     ``salts`` tasks; stage 2 ranks the at most ``salts * k`` survivors per key.  Any row in the true first
     ``k`` of its key is also in the first ``k`` of its salt group, so the result is exact."""
+    keys = [key] if isinstance(key, str) else list(key)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(order)), F.lit(salts)))
-    w1 = Window.partitionBy(key, "_salt").orderBy(F.col(order))
+    w1 = Window.partitionBy(*keys, "_salt").orderBy(F.col(order))
     stage1 = salted.withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= k).drop("_rn", "_salt")
-    w2 = Window.partitionBy(key).orderBy(F.col(order))
+    w2 = Window.partitionBy(*keys).orderBy(F.col(order))
     return stage1.withColumn("_rn", F.row_number().over(w2)).where(F.col("_rn") <= k).drop("_rn")
 
 
 def context_children(records: DataFrame, parent: str = "parent_contract_number", desc: str = "description",
-                     seq: str = "seq") -> DataFrame:
+                     seq: str = "seq", within: list[str] | None = None) -> DataFrame:
     """``(parent, child_block)``: heading plus one ``- description`` line per child in ``seq`` order.
 
     Only the first children that can reach the text budget are kept (each line takes at least three
     characters, so later children are always cut off), chosen with a skew-safe two-stage top-k; the list
-    collected per parent is therefore bounded whatever the fan-out."""
-    first = first_k_per_key(records.where(_not_sentinel(parent)).select(parent, seq, desc), parent, seq,
-                            MAX_CONTEXT_CHILDREN)
-    return (first.groupBy(parent)
+    collected per parent is therefore bounded whatever the fan-out.  ``within`` as in ``context_parent``."""
+    scope = list(within or [])
+    first = first_k_per_key(records.where(_not_sentinel(parent)).select(parent, *scope, seq, desc),
+                            [parent, *scope], seq, MAX_CONTEXT_CHILDREN)
+    return (first.groupBy(parent, *scope)
             .agg(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), F.col(desc).alias("d")))).alias("_c"))
-            .select(F.col(parent).alias("_ckey"),
+            .select(F.col(parent).alias("_ckey"), *[F.col(c).alias(f"_c_{c}") for c in scope],
                     F.concat(F.lit(CHILD_HEAD),
                              F.array_join(F.transform("_c", lambda x: F.concat(F.lit(CHILD_BULLET),
                                                                                F.coalesce(x.d, F.lit("")),
@@ -190,12 +198,18 @@ def context_children(records: DataFrame, parent: str = "parent_contract_number",
 
 
 def context_text(records: DataFrame, key: str = "contract_number", parent: str = "parent_contract_number",
-                 desc: str = "description", seq: str = "seq", budget: int = TEXT_BUDGET) -> DataFrame:
+                 desc: str = "description", seq: str = "seq", budget: int = TEXT_BUDGET,
+                 within: list[str] | None = None) -> DataFrame:
     """Second-pass request text per record: current description, parent description if a parent record exists,
-    child list if children exist; cut to the text budget.  Context spans the whole table (not one chunk)."""
-    with_parent = context_parent(records, key, parent, desc, seq)
-    kids = context_children(records, parent, desc, seq)
-    j = with_parent.join(kids, with_parent[key] == kids["_ckey"], "left").drop("_ckey")
+    child list if children exist; cut to the text budget.  Context spans the whole table by default;
+    ``within=["chunk_no"]`` (with ``chunk_rows``) restricts it to one chunk as the reference does."""
+    scope = list(within or [])
+    with_parent = context_parent(records, key, parent, desc, seq, scope)
+    kids = context_children(records, parent, desc, seq, scope)
+    cond = with_parent[key] == kids["_ckey"]
+    for c in scope:
+        cond = cond & (with_parent[c] == kids[f"_c_{c}"])
+    j = with_parent.join(kids, cond, "left").drop("_ckey", *[f"_c_{c}" for c in scope])
     text = F.concat(
         F.lit(CURRENT_HEAD), F.coalesce(F.col(desc), F.lit("")), F.lit("\n\n"),
         F.when(F.col("parent_description").isNotNull(),

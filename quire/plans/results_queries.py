@@ -305,3 +305,29 @@ SELECT seq, regexp_replace(description, '[^\p{L}\p{N}._\- ]', '', 'g') || '.pdf'
     "contracts"))
 def q_safe_file_name(spark, sf):
     return _c(spark, sf).select("seq", F.concat(safe_file_name("description"), F.lit(".pdf")).alias("file_name"))
+
+
+_CHUNKED = """
+chunked AS (SELECT *, (row_number() OVER (ORDER BY seq) - 1) // 25 AS chunk_no FROM contracts)"""
+
+
+@query("context_text_chunked", S.with_ctes(f"""
+SELECT c.seq, c.contract_number, c.chunk_no,
+       substring('Current Contract Description: ' || coalesce(c.description, '') || chr(10) || chr(10) ||
+                 CASE WHEN p.parent_description IS NOT NULL
+                      THEN 'Parent Contract Description: ' || p.parent_description || chr(10) || chr(10) ELSE '' END ||
+                 coalesce(k.child_block, ''), 1, 10000) AS context_text
+FROM chunked c
+LEFT JOIN (SELECT contract_number AS pk, chunk_no AS pc, arg_min_null(description, seq) AS parent_description
+           FROM chunked WHERE contract_number IS NOT NULL AND contract_number <> '' AND contract_number NOT IN {SENT}
+           GROUP BY 1, 2) p ON c.parent_contract_number = p.pk AND c.chunk_no = p.pc
+LEFT JOIN (SELECT parent_contract_number AS ck, chunk_no AS kc,
+                  'Child Contract Descriptions:' || chr(10) ||
+                  string_agg('- ' || coalesce(description, '') || chr(10), '' ORDER BY seq) AS child_block
+           FROM chunked WHERE parent_contract_number IS NOT NULL AND parent_contract_number <> ''
+             AND parent_contract_number NOT IN {SENT} GROUP BY 1, 2) k
+ON c.contract_number = k.ck AND c.chunk_no = k.kc""", "contracts", extra=[_CHUNKED]))
+def q_context_text_chunked(spark, sf):
+    """Chunk-local context (the reference looks up parents and children inside its 25-row chunk only)."""
+    chunked = R.chunk_rows(_c(spark, sf), 25)
+    return R.context_text(chunked, within=["chunk_no"]).select("seq", "contract_number", "chunk_no", "context_text")

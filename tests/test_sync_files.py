@@ -47,3 +47,17 @@ def test_scan_documents_skips_missing_roots(spark, tmp_dir):
     got = files.scan_documents(spark, [f"{tmp_dir}/docs", f"{tmp_dir}/missing"], glob="*.txt")
     assert got.count() == 1 and got.columns == ["path", "length", "modificationTime"]
     assert files.scan_documents(spark, f"{tmp_dir}/missing").count() == 0
+
+
+def test_text_cache_version_key(spark):
+    from quire.functions.text import path_key
+    from quire.operators import documents as D
+    docs = spark.createDataFrame([("/a.pdf", 10), ("/b.pdf", 20)], "file_path string, length long")
+    cache = docs.select(path_key("file_path").alias("path_md5"), F.lit(10).cast("long").alias("length"),
+                        F.lit("cached").alias("text"))
+    fresh = lambda df: df.withColumn("text", F.lit("extracted"))
+    by_path, _ = D.text_cache_lookup(docs, cache, fresh)
+    assert {r.file_path: r.text for r in by_path.collect()} == {"/a.pdf": "cached", "/b.pdf": "cached"}
+    by_version, new_rows = D.text_cache_lookup(docs, cache, fresh, version=["length"])
+    assert {r.file_path: r.text for r in by_version.collect()} == {"/a.pdf": "cached", "/b.pdf": "extracted"}
+    assert new_rows.count() == 1
