@@ -130,7 +130,7 @@ def _land_memos(spark, sf, by: str) -> str:
 
 
 @query("scan_documents", S.with_ctes(
-    "SELECT 'source=' || source AS folder, sum(strlen(text) + 1) AS n_bytes FROM memos GROUP BY 1", "memos"))
+    "SELECT 'source=' || source AS folder, CAST(sum(strlen(text) + 1) AS BIGINT) AS n_bytes FROM memos GROUP BY 1", "memos"))
 def q_scan_documents(spark, sf):
     root = _land_memos(spark, sf, "source")
     listing = files.scan_documents(spark, root, recursive=True, glob="*.txt")
@@ -139,7 +139,7 @@ def q_scan_documents(spark, sf):
 
 
 @query("all_pdfs", S.with_ctes(
-    "SELECT 'lang=' || lang AS folder, sum(strlen(text) + 1) AS n_bytes FROM memos GROUP BY 1", "memos"))
+    "SELECT 'lang=' || lang AS folder, CAST(sum(strlen(text) + 1) AS BIGINT) AS n_bytes FROM memos GROUP BY 1", "memos"))
 def q_all_pdfs(spark, sf):
     """Listings over several folders (one per language) plus one missing folder, concatenated."""
     root = _land_memos(spark, sf, "lang")

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from quire.sources.tables import TABLES
-from tools.oracle_check import rows_of
+from tools.oracle_check import _DUCK_TYPE, rows_of
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,8 +27,11 @@ def test_query_matches_oracle(spark, con, name):
         assert len(s_rows) >= 0
         return
     rel = con.sql(sql)
-    d_cols, d_rows = rel.columns, rel.fetchall()
+    d_cols, d_types, d_rows = rel.columns, [str(t) for t in rel.types], rel.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
+    types = dict(zip(d_cols, d_types))
+    for f in df.schema.fields:
+        assert types[f.name] == _DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString()), f.name
     assert len(s_rows) == len(d_rows)
     assert rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
 
