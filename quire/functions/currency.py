@@ -26,8 +26,9 @@ def idiv(a, b) -> Column:
     return F.call_function("div", col_of(a), b if isinstance(b, Column) else F.lit(b))
 
 
-# Whitespace as Java's / RE2's ``\s`` sees it (space, tab, newline, vertical tab, form feed, return).
-WHITESPACE = " \t\n\u000b\f\r"
+# Whitespace as Python's ``str.strip`` sees it (the reference strips money text and ids that way): every
+# character whose ``isspace()`` is true, derived by rule rather than listed (all lie below U+3001).
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 def strip_ws(c) -> Column:

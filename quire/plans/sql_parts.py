@@ -6,10 +6,9 @@ These mirror ``quire.sources.tables`` and ``quire.functions`` expression by expr
 
 from __future__ import annotations
 
-WS = r"'^\s+|\s+$'"
+from quire.functions.currency import WHITESPACE
 
-
-_WS_CHARS = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+_WS_CHARS = "(" + " || ".join(f"chr({ord(c)})" for c in WHITESPACE) + ")"
 
 
 def strip_ws(e: str) -> str:

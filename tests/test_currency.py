@@ -46,3 +46,9 @@ def test_report_line_widths(spark):
     df = spark.createDataFrame([(1, "A" * 60, "$1.00M", "$2.00K")], "r int, v string, t string, f string")
     line = df.select(report_line("r", "v", "t", "f")).first()[0]
     assert line == f"{'1':<4} {'A' * 50:<50} {'$1.00M':>15} {'$2.00K':>15}"
+
+
+def test_unicode_whitespace_like_python_strip(spark):
+    df = spark.createDataFrame([("5\xa0million",), (" $7　",)], "v string")
+    got = [r[0] for r in df.select(clean_currency("v")).collect()]
+    assert got == [5_000_000.0, 7.0]
