@@ -6,7 +6,7 @@ hot key (one parent or vendor holding a third of all rows) costs one partial row
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.currency import clean_currency, format_currency, money, report_line
@@ -71,41 +71,84 @@ def status_subset(df: DataFrame, status: str = "second_pass_munchable", value: s
     return df.where(F.lower(F.col(status)) == F.lit(value.lower()))
 
 
-def _section_lines(df: DataFrame, title: str, section: int, n: int) -> DataFrame:
-    """Report lines of one section as (section, line_no, line)."""
-    spark = df.sparkSession
-    tot = spend_totals(df)
-    fixed = [(0, ""), (1, title), (2, "=" * RULE_WIDTH)]
-    head = [(6, ""), (7, f"Top {n} Vendors by Contract Value:"), (8, "-" * RULE_WIDTH),
-            (9, f"{'Rank':<4} {'Vendor':<50} {'Total Value':>15} {'FY25':>15}"), (10, "-" * RULE_WIDTH)]
-    literal = spark.createDataFrame(fixed + head, "line_no int, line string")
-    sums = tot.select(F.inline(F.array(
-        F.struct(F.lit(3).alias("line_no"),
-                 F.concat(F.lit("Total Contract Value: "), format_currency("total_value")).alias("line")),
-        F.struct(F.lit(4).alias("line_no"),
-                 F.concat(F.lit("Total FY25 Value: "), format_currency("fy25_value")).alias("line")),
-        F.struct(F.lit(5).alias("line_no"),
-                 F.concat(F.lit("Number of Unique Contracts: "), F.col("n_contracts").cast("string")).alias("line")),
-    )))
-    ranked = top_vendors(df, n).select(
-        (F.col("vendor_rank") + F.lit(10)).cast("int").alias("line_no"),
-        report_line("vendor_rank", "vendor_name", format_currency("total_value"),
-                    format_currency("fy25_value")).alias("line"))
-    return literal.unionByName(sums).unionByName(ranked).select(F.lit(section).alias("section"), "line_no", "line")
-
-
-def spend_report(df: DataFrame, run_ts: str, subset_status: str = "second_pass_munchable", n: int = 100) -> DataFrame:
-    """The full text report as ordered lines: file head, all contracts, status subset.
-
-    ``df`` carries cleaned money.  Write with ``orderBy('section','line_no').coalesce(1).write.text`` — the report
-    is bounded (about 2 * (n + 11) lines) whatever the input size.
+def _both_totals(df: DataFrame, sub: Column, seq: str = "seq", parent: str = "parent_contract_number") -> DataFrame:
+    """``spend_totals`` for all rows (``a_*``) and for the subset (``s_*``) in one aggregation: the subset's
+    first child per parent is ``min_by`` over an ordering that is null outside the subset (nulls are skipped)."""
+    alone = is_standalone(parent)
+    pair = F.struct("total_value", "fy25_value")
+    firsts = (df.where(~alone).groupBy(parent)
+              .agg(F.min_by(pair, F.col(seq)).alias("a"), F.min_by(pair, F.when(sub, F.col(seq))).alias("s"))
+              .select(F.col("a.total_value").alias("a_t"), F.col("a.fy25_value").alias("a_f"),
+                      F.col("s.total_value").alias("s_t"), F.col("s.fy25_value").alias("s_f"),
+                      F.col("s").isNotNull().alias("s_n")))
+    singles = df.where(alone).select(
+        F.col("total_value").alias("a_t"), F.col("fy25_value").alias("a_f"),
+        F.when(sub, F.col("total_value")).alias("s_t"), F.when(sub, F.col("fy25_value")).alias("s_f"),
+        sub.alias("s_n"))
+    return firsts.unionByName(singles).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("decimal(38,2)").alias(c) for c in ("a_t", "a_f", "s_t", "s_f")],
+        F.count(F.lit(1)).alias("a_n"), F.count_if("s_n").alias("s_n"))
+
+
+def _vendor_lines(df: DataFrame, sub: Column, n: int, vendor: str = "vendor_name") -> DataFrame:
+    """Ranked vendor lines of both sections from one vendor aggregation.
+
+    Each vendor yields a row for section 1 and, if it has subset rows, one for section 2; ``row_number() <= n``
+    per section plans a partial WindowGroupLimit before the shuffle, so only ``n`` rows per section per task
+    move, however many vendors there are."""
+    v = (df.where(F.col(vendor).isNotNull()).groupBy(vendor)
+         .agg(F.sum("total_value").alias("a_t"), F.sum("fy25_value").alias("a_f"),
+              F.sum(F.when(sub, F.col("total_value"))).alias("s_t"),
+              F.sum(F.when(sub, F.col("fy25_value"))).alias("s_f"), F.max(sub).alias("any_s")))
+    rows = v.select(vendor, F.inline(F.array(
+        F.struct(F.lit(1).alias("section"), F.col("a_t").cast("decimal(38,2)").alias("total_value"),
+                 F.col("a_f").cast("decimal(38,2)").alias("fy25_value"), F.lit(True).alias("keep")),
+        F.struct(F.lit(2).alias("section"), F.col("s_t").cast("decimal(38,2)").alias("total_value"),
+                 F.col("s_f").cast("decimal(38,2)").alias("fy25_value"), F.col("any_s").alias("keep")))))
+    w = Window.partitionBy("section").orderBy(F.col("total_value").desc(), F.col(vendor).asc())
+    ranked = rows.where("keep").withColumn("vendor_rank", F.row_number().over(w)).where(F.col("vendor_rank") <= n)
+    return ranked.select(
+        "section", (F.col("vendor_rank") + F.lit(10)).cast("int").alias("line_no"),
+        report_line("vendor_rank", vendor, format_currency("total_value"), format_currency("fy25_value")).alias("line"))
+
+
+def _total_lines(both: DataFrame) -> DataFrame:
+    """The three summary lines of both sections from the single totals row."""
+    def lines(section: int, t: str, f: str, cnt: str):
+        return [
+            F.struct(F.lit(section).alias("section"), F.lit(3).alias("line_no"),
+                     F.concat(F.lit("Total Contract Value: "), format_currency(t)).alias("line")),
+            F.struct(F.lit(section).alias("section"), F.lit(4).alias("line_no"),
+                     F.concat(F.lit("Total FY25 Value: "), format_currency(f)).alias("line")),
+            F.struct(F.lit(section).alias("section"), F.lit(5).alias("line_no"),
+                     F.concat(F.lit("Number of Unique Contracts: "), F.col(cnt).cast("string")).alias("line")),
+        ]
+    return both.select(F.inline(F.array(*lines(1, "a_t", "a_f", "a_n"), *lines(2, "s_t", "s_f", "s_n"))))
+
+
+def _fixed_lines(spark, n: int, run_ts: str) -> DataFrame:
+    rows = [(0, 0, f"Contract Analysis Report - Generated on {run_ts}"), (0, 1, "=" * RULE_WIDTH), (0, 2, "")]
+    for section, title in ((1, "All Contracts"), (2, "Munchable Contracts Only")):
+        rows += [(section, 0, ""), (section, 1, title), (section, 2, "=" * RULE_WIDTH), (section, 6, ""),
+                 (section, 7, f"Top {n} Vendors by Contract Value:"), (section, 8, "-" * RULE_WIDTH),
+                 (section, 9, f"{'Rank':<4} {'Vendor':<50} {'Total Value':>15} {'FY25':>15}"),
+                 (section, 10, "-" * RULE_WIDTH)]
+    return spark.createDataFrame(rows, "section int, line_no int, line string")
+
+
+def spend_report(df: DataFrame, run_ts: str, subset_status: str = "second_pass_munchable", n: int = 100,
+                 subset_value: str = "true") -> DataFrame:
+    """The full text report as ordered lines ``(section, line_no, line)``: file head, all contracts, status subset.
+
+    ``df`` carries cleaned money.  Both sections come from one totals aggregation and one vendor aggregation
+    (conditional aggregates for the subset), each referenced once, so the input is scanned three times
+    (children, standalone rows, vendors) whatever the number of sections.  Write with ``write_report`` —
+    the report is bounded (about 2 * (n + 11) lines) whatever the input size.
     """
-    spark = df.sparkSession
-    head = spark.createDataFrame(
-        [(0, 0, f"Contract Analysis Report - Generated on {run_ts}"), (0, 1, "=" * RULE_WIDTH), (0, 2, "")],
-        "section int, line_no int, line string")
-    return (head.unionByName(_section_lines(df, "All Contracts", 1, n))
-            .unionByName(_section_lines(status_subset(df, subset_status), "Munchable Contracts Only", 2, n)))
+    sub = F.coalesce(F.lower(F.col(subset_status)) == F.lit(subset_value.lower()), F.lit(False))
+    return (_fixed_lines(df.sparkSession, n, run_ts)
+            .unionByName(_total_lines(_both_totals(df, sub)))
+            .unionByName(_vendor_lines(df, sub, n)))
 
 
 def write_report(report: DataFrame, path: str) -> None:
