@@ -1,9 +1,10 @@
 """Reporting-line hierarchy: edges, reachability from a root, height under every node, cycle report.
 
-Both traversals are rounds of DataFrame joins driven by a loop whose only driver action is a count of the
-rows a round added.  State lives in a Parquet table in the session's shared checkpoint folder (one partition
-per round, see ``RoundTable``), so each round plans against a short lineage, a lost executor costs at most
-one round, and nothing is rewritten.  Cycles terminate the loops (visited sets / unresolved nodes).
+Both traversals are rounds of DataFrame joins; the loop stops when a round adds no rows, which the driver
+learns from the file system after the round's write (no extra count job).  State lives in a Parquet table
+in the session's shared checkpoint folder (one partition per round, see ``RoundTable``), so each round plans
+against a short lineage, a lost executor costs at most one round, and nothing is rewritten.  Cycles
+terminate the loops (visited sets / unresolved nodes).
 """
 
 from __future__ import annotations
@@ -52,10 +53,13 @@ class RoundTable:
         self.schema = f"{schema}, rnd int"
         self.path = f"{checkpoint_dir(spark).rstrip('/')}/rounds/{what}-{uuid.uuid4().hex}"
 
-    def append(self, df: DataFrame, rnd: int) -> int:
-        """Write this round's rows; returns how many there were."""
+    def append(self, df: DataFrame, rnd: int) -> bool:
+        """Write this round's rows; True when the round added any.  The answer comes from the file system
+        (``partitionBy`` creates ``rnd=<r>`` only for rows that exist), so no extra Spark job is run."""
         df.withColumn("rnd", F.lit(rnd).cast("int")).write.mode("append").partitionBy("rnd").parquet(self.path)
-        return self.round(rnd).count()
+        jvm = self.spark.sparkContext._jvm
+        part = jvm.org.apache.hadoop.fs.Path(f"{self.path}/rnd={rnd}")
+        return bool(part.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(part))
 
     def all(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
@@ -82,7 +86,7 @@ def subtree(edges: DataFrame, node_ids: DataFrame, root: str) -> DataFrame:
         frontier = state.round(rnd - 1).select(F.col("id").alias("parent"), salts)
         nxt = (frontier.join(e, ["parent", "_salt"]).select(F.col("child").alias("id")).distinct()
                .join(state.all().select("id"), "id", "left_anti"))
-        if state.append(nxt, rnd) == 0:
+        if not state.append(nxt, rnd):
             break
     return state.all().select("id")
 
@@ -118,7 +122,7 @@ def height_under(edges: DataFrame, node_ids: DataFrame) -> DataFrame:
         fresh = (done.join(outdeg, "parent").where(F.col("n") == F.col("deg"))
                  .select(F.col("parent").alias("id"), (F.col("mh") + 1).cast("int").alias("h"))
                  .join(resolved.select("id"), "id", "left_anti"))
-        if state.append(fresh, rnd) == 0:
+        if not state.append(fresh, rnd):
             break
     resolved = state.all().select("id", "h")
     partial = (e.join(resolved, e.child == resolved.id).groupBy("parent")
