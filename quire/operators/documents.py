@@ -1,8 +1,8 @@
 """Document text: page assembly, text cache, empty-text routing, and the plug point for a byte parser.
 
-A document's text is one value assembled from its pages; pages of one document are grouped by ``doc_id``
-(the group is one document, bounded by that document's size) and ordered by ``page_no`` inside the
-aggregate, so no global sort is needed.
+A document's text is one value assembled from its pages, in two levels (blocks of pages, then blocks per
+document) ordered inside the aggregates, so neither a global sort nor one group of all a document's page
+rows is needed.
 """
 
 from __future__ import annotations
@@ -19,19 +19,33 @@ from quire.functions.text import path_key
 PAGE_SCHEMA = "doc_id string, page_no int, page_text string, ok boolean"
 
 
+PAGES_PER_BLOCK = 64
+
+
 def concat_pages(pages: DataFrame, doc: str = "doc_id", page_no: str = "page_no", text: str = "page_text",
                  ok: str | None = "ok", sep: str = "", strip: bool = False) -> DataFrame:
     """``(doc_id, text)``: page texts in page order.
 
     Default: failed pages skipped, no separator (the extraction used for analysis).  ``sep='\\n', strip=True``:
     blank pages skipped, separator after every page, whole text stripped, empty text -> null (payload mode).
+
+    Two levels, so a document with a huge page count is not one group of page rows: pages are first joined
+    per block of ``PAGES_PER_BLOCK`` consecutive pages, then the (few) block texts per document.
     """
-    src = pages.where(F.col(ok)) if ok else pages
+    keep = F.col(ok) if ok else F.lit(True)
     if strip:
-        src = src.where(strip_ws(F.col(text)) != "")
-    parts = F.array_sort(F.collect_list(F.struct(F.col(page_no).alias("p"), F.col(text).alias("t"))))
-    joined = F.array_join(F.transform(parts, lambda x: F.concat(x.t, F.lit(sep))), "")
-    out = src.groupBy(doc).agg(joined.alias("text"))
+        keep = keep & (strip_ws(F.col(text)) != "")
+
+    def ordered_join(order: str, value: str):
+        parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("t"))))
+        return F.array_join(F.transform(parts, lambda x: x.t), "")
+
+    # Skipped pages become null values (dropped by collect_list), so every document keeps its row: '' when
+    # nothing is left in the default mode, null in payload mode.
+    blocks = (pages.withColumn("_blk", F.call_function("div", F.col(page_no), F.lit(PAGES_PER_BLOCK)))
+              .withColumn("_t", F.when(keep, F.concat(F.col(text), F.lit(sep))))
+              .groupBy(doc, "_blk").agg(ordered_join(page_no, "_t").alias("_bt")))
+    out = blocks.groupBy(doc).agg(ordered_join("_blk", "_bt").alias("text"))
     if strip:
         out = out.withColumn("text", F.nullif(strip_ws(F.col("text")), F.lit("")))
     return out

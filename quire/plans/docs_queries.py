@@ -213,15 +213,16 @@ def q_order_by_priority(spark, sf):
 
 
 @query("concat_pages", S.with_ctes("""
-SELECT doc_id, string_agg(page_text, '' ORDER BY page_no) AS text FROM page_texts WHERE ok GROUP BY doc_id""",
+SELECT doc_id, coalesce(string_agg(CASE WHEN ok THEN page_text END, '' ORDER BY page_no), '') AS text
+FROM page_texts GROUP BY doc_id""",
     "page_texts"))
 def q_concat_pages(spark, sf):
     return D.concat_pages(tables.page_texts(spark, sf))
 
 
 @query("concat_pages_payload", S.with_ctes(f"""
-SELECT doc_id, nullif({S.strip_ws("string_agg(page_text || chr(10), '' ORDER BY page_no)")}, '') AS text
-FROM page_texts WHERE {S.strip_ws('page_text')} <> '' GROUP BY doc_id""", "page_texts"))
+SELECT doc_id, nullif({S.strip_ws(f"string_agg(CASE WHEN {S.strip_ws('page_text')} <> '' THEN page_text || chr(10) END, '' ORDER BY page_no)")}, '') AS text
+FROM page_texts GROUP BY doc_id""", "page_texts"))
 def q_concat_pages_payload(spark, sf):
     return D.concat_pages(tables.page_texts(spark, sf), ok=None, sep="\n", strip=True)
 
@@ -231,9 +232,7 @@ SELECT doc_id, CASE WHEN coalesce(length(text), 0) > 0 THEN 'ok' ELSE 'no_text'
 FROM (SELECT p.doc_id, string_agg(CASE WHEN ok THEN page_text END, '' ORDER BY page_no) AS text
       FROM page_texts p GROUP BY p.doc_id) t""", "page_texts"))
 def q_drop_empty_text(spark, sf):
-    pages = tables.page_texts(spark, sf)
-    docs = pages.select("doc_id").distinct().join(D.concat_pages(pages), "doc_id", "left")
-    return D.drop_empty_text(docs).select("doc_id", "status")
+    return D.drop_empty_text(D.concat_pages(tables.page_texts(spark, sf))).select("doc_id", "status")
 
 
 @query("text_cache_lookup", S.with_ctes("""

@@ -80,8 +80,9 @@ def q_archive_manifest_memos(spark, sf):
 
 
 _PAYLOAD_DOCS = f"""
-SELECT '/pdfs/' || doc_id || '.pdf' AS path, nullif({S.strip_ws("string_agg(page_text || chr(10), '' ORDER BY page_no)")}, '') AS text
-FROM page_texts WHERE {S.strip_ws('page_text')} <> '' GROUP BY doc_id"""
+SELECT '/pdfs/' || doc_id || '.pdf' AS path,
+       nullif({S.strip_ws(f"string_agg(CASE WHEN {S.strip_ws('page_text')} <> '' THEN page_text || chr(10) END, '' ORDER BY page_no)")}, '') AS text
+FROM page_texts GROUP BY doc_id"""
 
 
 def _payload_docs(spark, sf):
