@@ -78,8 +78,9 @@ def extract_text(files: DataFrame, parse_pages: Callable[[bytes], list[str]],
                  path: str = "path", content: str = "content") -> DataFrame:
     """Plug point for a byte-level parser: ``(path, content)`` rows -> page table.
 
-    ``parse_pages`` turns one file's bytes into its page texts; a page that raises is dropped (``ok=false``),
-    a file that raises yields no pages.  Runs per Arrow batch inside the tasks that read the files."""
+    ``parse_pages`` turns one file's bytes into its page texts; a page the parser could not read is given as
+    a non-string item and kept with ``ok=false``; a file that raises yields one failed page, so it still gets
+    a (empty) text and a ``no_text`` ledger status.  Runs per Arrow batch inside the tasks that read the files."""
     def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
@@ -87,6 +88,7 @@ def extract_text(files: DataFrame, parse_pages: Callable[[bytes], list[str]],
                 try:
                     pages = parse_pages(data)
                 except Exception:
+                    rows.append((p, 0, None, False))
                     continue
                 for i, t in enumerate(pages):
                     rows.append((p, i, t if isinstance(t, str) else None, isinstance(t, str)))

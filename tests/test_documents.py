@@ -21,3 +21,12 @@ def test_concat_pages_all_failed_pages_gives_empty_text(spark):
                                "doc_id string, page_no int, page_text string, ok boolean")
     got = D.drop_empty_text(D.concat_pages(df)).first()
     assert (got.text, got.status) == ("", "no_text")
+
+
+def test_extract_text_plug_point(spark):
+    files = spark.createDataFrame([("/a", bytearray(b"p1\np2\n")), ("/bad", bytearray(b"\xff"))],
+                                  "path string, content binary")
+    parse = lambda data: bytes(data).decode("utf-8").split("\n")[:-1]
+    pages = D.extract_text(files, parse)
+    got = {r.doc_id: (r.text, r.status) for r in D.drop_empty_text(D.concat_pages(pages)).collect()}
+    assert got == {"/a": ("p1p2", "ok"), "/bad": ("", "no_text")}

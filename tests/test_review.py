@@ -28,3 +28,24 @@ def test_contract_review_flow(spark):
     assert "Child Contract Descriptions:\n- kid\n" in req2["K1"] and "Parent Contract Description: parent one" in req2["K4"]
     man = {r.contract_number: r.status for r in out["manifest"].collect()}
     assert man == {"K1": "copied", "K4": "copied", "Error": "invalid"}
+
+
+def test_memo_review_flow(spark):
+    from quire.operators.review import memo_review
+    files = spark.createDataFrame([(f"/m/{i}.pdf",) for i in range(4)], "path string")
+    processed = spark.createDataFrame([("/m/0.pdf", "ok")], "path string, status string")
+    known = spark.createDataFrame([("M1", "2024-01-01")], "memo_id string, review_date string")
+    texts = spark.createDataFrame([(f"/m/{i}.pdf", f"text {i}") for i in range(4)], "path string, text string")
+    a1 = spark.createDataFrame([
+        ("/m/1.pdf", '{"memo_id": "M1", "first_pass_non_compliance_score": 7, "contains_dei": true}'),
+        ("/m/2.pdf", '{"memo_id": "M2", "first_pass_non_compliance_score": "2"}'),
+        ("/m/3.pdf", "oops")], "path string, response string")
+    a2 = spark.createDataFrame([
+        ("/m/2.pdf", '{"memo_id": "M2", "second_pass_score": 9, "priority_level": "HIGH", '
+                     '"second_pass_violations": ["x"]}')], "path string, response string")
+    out = memo_review(files, processed, known, texts, a1, a2, "2025-01-01")
+    res = {r.memo_id: (r.flagged, r.priority_level, r.second_pass_score) for r in out["results"].collect()}
+    assert res == {"M1": (True, "", 0), "M2": (True, "HIGH", 9), "Error": (False, "", 0)}
+    assert [r.memo_id for r in out["ledger_rows"].collect()] == ["M2"]
+    assert sorted(r.memo_id for r in out["manifest"].collect()) == ["M1", "M2"]
+    assert {r.flag: r.n for r in out["flag_counts"].collect()}["contains_dei"] == 1
