@@ -22,6 +22,25 @@ def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def process_batch(batch: DataFrame, batch_id: int, results_dir: str, ledger_dir: str,
+                  process: Callable[[DataFrame], DataFrame], key: str = "path",
+                  status: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """One micro-batch: anti-join the ledger of *earlier* batches, transform, and overwrite this batch's
+    ``batch_id`` partitions of results and ledger.  Running it again for the same ``batch_id`` (a replay
+    after a failure) rewrites the same partitions, so nothing is duplicated or lost."""
+    spark = batch.sparkSession
+    ledger = _read_or_empty(spark, ledger_dir, f"`{key}` string, status string, batch_id long")
+    done = ledger.where(F.col("batch_id") < F.lit(batch_id)).select(key)
+    fresh = batch.join(done, key, "left_anti")
+    out = process(fresh).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(results_dir))
+    marks = status(fresh) if status is not None else fresh.select(key, F.lit("ok").alias("status"))
+    (marks.select(key, "status").withColumn("batch_id", F.lit(batch_id).cast("long"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+     .parquet(ledger_dir))
+
+
 def incremental_ingest(spark: SparkSession, source_dir: str, schema: T.StructType, results_dir: str,
                        ledger_dir: str, checkpoint: str, process: Callable[[DataFrame], DataFrame],
                        key: str = "path", status: Callable[[DataFrame], DataFrame] | None = None,
@@ -31,20 +50,10 @@ def incremental_ingest(spark: SparkSession, source_dir: str, schema: T.StructTyp
 
     ``process(df) -> df`` builds result rows (it must keep ``key``); ``status(df)`` (optional) gives the
     ledger status per key, default ``ok``."""
-
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        ledger = _read_or_empty(spark, ledger_dir, f"`{key}` string, status string, batch_id long")
-        done = ledger.where(F.col("batch_id") < F.lit(batch_id)).select(key)
-        fresh = batch.join(done, key, "left_anti")
-        out = process(fresh).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(results_dir))
-        marks = status(fresh) if status is not None else fresh.select(key, F.lit("ok").alias("status"))
-        (marks.select(key, "status").withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-         .parquet(ledger_dir))
-
     q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source_dir)
-         .writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+         .writeStream
+         .foreachBatch(lambda batch, batch_id: process_batch(batch, batch_id, results_dir, ledger_dir, process,
+                                                             key, status))
+         .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()

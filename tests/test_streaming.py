@@ -18,3 +18,17 @@ def test_incremental_ingest_is_idempotent_and_incremental(spark, tmp_dir):
     res = spark.read.parquet(out)
     assert res.count() == 40 and res.select("path").distinct().count() == 40
     assert spark.read.parquet(ledger).count() == 40
+
+
+def test_replayed_batch_is_not_duplicated(spark, tmp_dir):
+    from quire.streaming.ingest import process_batch
+    out, ledger = f"{tmp_dir}/out", f"{tmp_dir}/ledger"
+    b0 = spark.range(0, 5).select(F.col("id").cast("string").alias("path"))
+    b1 = spark.range(3, 9).select(F.col("id").cast("string").alias("path"))
+    proc = lambda df: df.withColumn("x", F.lit(1))
+    process_batch(b0, 0, out, ledger, proc)
+    process_batch(b1, 1, out, ledger, proc)
+    process_batch(b1, 1, out, ledger, proc)          # replay of batch 1 after a failure
+    res = spark.read.parquet(out)
+    assert res.count() == 9 and res.select("path").distinct().count() == 9
+    assert spark.read.parquet(ledger).count() == 9
