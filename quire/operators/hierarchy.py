@@ -1,7 +1,7 @@
 """Reporting-line hierarchy: edges, reachability from a root, height under every node, cycle report.
 
 Both traversals are rounds of DataFrame joins; the loop stops when a round adds no rows, which the driver
-learns from the file system after the round's write (no extra count job).  State lives in a Parquet table
+learns from a one-row read of what the round just wrote (the round is never recomputed).  State lives in a Parquet table
 in the session's shared checkpoint folder (one partition per round, see ``RoundTable``), so each round plans
 against a short lineage, a lost executor costs at most one round, and nothing is rewritten.  Cycles
 terminate the loops (visited sets / unresolved nodes).
@@ -54,12 +54,10 @@ class RoundTable:
         self.path = f"{checkpoint_dir(spark).rstrip('/')}/rounds/{what}-{uuid.uuid4().hex}"
 
     def append(self, df: DataFrame, rnd: int) -> bool:
-        """Write this round's rows; True when the round added any.  The answer comes from the file system
-        (``partitionBy`` creates ``rnd=<r>`` only for rows that exist), so no extra Spark job is run."""
+        """Write this round's rows; True when the round added any (a partition-pruned ``isEmpty`` on what was
+        just written: it reads at most one row of this round's files, never recomputes the round)."""
         df.withColumn("rnd", F.lit(rnd).cast("int")).write.mode("append").partitionBy("rnd").parquet(self.path)
-        jvm = self.spark.sparkContext._jvm
-        part = jvm.org.apache.hadoop.fs.Path(f"{self.path}/rnd={rnd}")
-        return bool(part.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(part))
+        return not self.round(rnd).isEmpty()
 
     def all(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)

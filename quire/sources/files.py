@@ -12,29 +12,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _existing(spark: SparkSession, roots: list[str]) -> list[str]:
+def _existing(spark: SparkSession, roots: list[str], glob: str) -> list[str]:
     """Roots that exist (a missing folder is skipped, as the reference only warns)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    from pyspark.errors import AnalysisException
+
     out = []
     for r in roots:
-        p = jvm.org.apache.hadoop.fs.Path(r)
-        if p.getFileSystem(conf).exists(p):
+        try:
+            spark.read.format("binaryFile").option("pathGlobFilter", glob).load(r).schema
             out.append(r)
+        except AnalysisException:
+            continue
     return out
 
 
 def scan_documents(spark: SparkSession, roots: str | list[str], recursive: bool = True,
                    glob: str = "*.pdf") -> DataFrame:
-    """``(path, length, modificationTime)`` of every file matching ``glob`` below the roots."""
+    """``(path, length, modificationTime)`` of every file matching ``glob`` below the roots.
+
+    All roots are listed in one load; only if one of them is missing are they checked one by one (the
+    reference warns about a missing folder and goes on)."""
+    from pyspark.errors import AnalysisException
+
     roots = [roots] if isinstance(roots, str) else list(roots)
-    found = _existing(spark, roots)
-    schema = "path string, modificationTime timestamp, length long"
-    if not found:
-        return spark.createDataFrame([], schema)
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
+    try:
+        return reader.load(roots).select("path", "length", "modificationTime")
+    except AnalysisException:
+        found = _existing(spark, roots, glob)
+    if not found:
+        return spark.createDataFrame([], "path string, length long, modificationTime timestamp")
     return reader.load(found).select("path", "length", "modificationTime")
 
 
