@@ -1,7 +1,7 @@
 """Reporting-line hierarchy: edges, reachability from a root, height under every node, cycle report.
 
 Both traversals are rounds of DataFrame joins; the loop stops when a round adds no rows, which the driver
-learns from a one-row read of what the round just wrote (the round is never recomputed).  State lives in a Parquet table
+learns from an ``Observation`` metric collected by the round's write (no extra job, nothing recomputed).  State lives in a Parquet table
 in the session's shared checkpoint folder (one partition per round, see ``RoundTable``), so each round plans
 against a short lineage, a lost executor costs at most one round, and nothing is rewritten.  Cycles
 terminate the loops (visited sets / unresolved nodes).
@@ -9,7 +9,7 @@ terminate the loops (visited sets / unresolved nodes).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quire.functions.text import trim_id
@@ -54,10 +54,12 @@ class RoundTable:
         self.path = f"{checkpoint_dir(spark).rstrip('/')}/rounds/{what}-{uuid.uuid4().hex}"
 
     def append(self, df: DataFrame, rnd: int) -> bool:
-        """Write this round's rows; True when the round added any (a partition-pruned ``isEmpty`` on what was
-        just written: it reads at most one row of this round's files, never recomputes the round)."""
-        df.withColumn("rnd", F.lit(rnd).cast("int")).write.mode("append").partitionBy("rnd").parquet(self.path)
-        return not self.round(rnd).isEmpty()
+        """Write this round's rows; True when the round added any.  The row count is an ``Observation`` metric
+        of the write itself, so no extra job runs."""
+        obs = Observation(f"round-{rnd}")
+        (df.withColumn("rnd", F.lit(rnd).cast("int")).observe(obs, F.count(F.lit(1)).alias("n"))
+         .write.mode("append").partitionBy("rnd").parquet(self.path))
+        return obs.get["n"] > 0
 
     def all(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
