@@ -58,18 +58,25 @@ MEMO_P1_RESPONSE = """CASE d.doc_id % 9
        || ', "first_pass_justification": "length ' || CAST(d.n_chars AS STRING) || '"}'
 END"""
 
-MEMO_P2_RESPONSE = """CASE doc_id % 8
+
+def memo_p2_response(alias: str = "") -> str:
+    """Pass-2 memo answer built from a documents row (``alias`` prefixes the columns, e.g. ``"d."``)."""
+    d = alias
+    return f"""CASE {d}doc_id % 8
   WHEN 6 THEN ''
-  WHEN 7 THEN '{"memo_id": "M' || CAST(doc_id AS STRING) || '", "second_pass_violations": "Pronoun guidance", '
-              || '"priority_level": "HIGH"}'
-  ELSE '{"memo_id": "' || CASE WHEN doc_id % 16 = 1 THEN 'Not found' ELSE 'M' || CAST(doc_id AS STRING) END
+  WHEN 7 THEN '{{"memo_id": "M' || CAST({d}doc_id AS STRING) || '", "second_pass_violations": "Pronoun guidance", '
+              || '"priority_level": "HIGH"}}'
+  ELSE '{{"memo_id": "' || CASE WHEN {d}doc_id % 16 = 1 THEN 'Not found' ELSE 'M' || CAST({d}doc_id AS STRING) END
        || '", "second_pass_violations": '
-       || CASE WHEN doc_id % 3 = 0 THEN '[]' ELSE '["violation ' || CAST(doc_id % 5 AS STRING) || '", "term ' || lang || '"]' END
-       || ', "second_pass_score": ' || CAST(doc_id % 10 + 1 AS STRING) || ', "suggested_remediation": "revise section '
-       || CAST(doc_id % 7 AS STRING) || '", "priority_level": "'
-       || CASE doc_id % 4 WHEN 0 THEN 'High' WHEN 1 THEN 'medium' WHEN 2 THEN 'low' ELSE '' END || '"}'
+       || CASE WHEN {d}doc_id % 3 = 0 THEN '[]' ELSE '["violation ' || CAST({d}doc_id % 5 AS STRING) || '", "term ' || {d}lang || '"]' END
+       || ', "second_pass_score": ' || CAST({d}doc_id % 10 + 1 AS STRING) || ', "suggested_remediation": "revise section '
+       || CAST({d}doc_id % 7 AS STRING) || '", "priority_level": "'
+       || CASE {d}doc_id % 4 WHEN 0 THEN 'High' WHEN 1 THEN 'medium' WHEN 2 THEN 'low' ELSE '' END || '"}}'
 END"""
 
+
+MEMO_P2_RESPONSE = memo_p2_response()
+
 RESP_CTES = [
     f"c_p1 AS (SELECT seq, {CONTRACT_P1_RESPONSE} AS response FROM contracts)",
     f"c_p2 AS (SELECT seq, {CONTRACT_P2_RESPONSE} AS response FROM contracts)",

@@ -64,7 +64,7 @@ LEFT JOIN (SELECT memo_id AS k, arg_max_null(second_pass_score, seq) AS s, arg_m
                  WHERE doc_id % 4 <> 0 AND length(text) > 0),
 mq1 AS (SELECT t.path AS seq, {DQ.MEMO_P1_RESPONSE} AS response
         FROM documents d JOIN mtodo t ON d.doc_id = t.doc_id LEFT JOIN labels l ON d.doc_id = l.doc_id),
-mq2 AS (SELECT t.path AS seq, {DQ.MEMO_P2_RESPONSE.replace('doc_id', 'd.doc_id').replace('lang', 'd.lang')} AS response
+mq2 AS (SELECT t.path AS seq, {DQ.memo_p2_response('d.')} AS response
         FROM documents d JOIN mtodo t ON d.doc_id = t.doc_id),
 """, 1)
 
@@ -83,7 +83,7 @@ def q_memo_review_run(spark, sf):
         known=spark.createDataFrame([], "memo_id string, review_date string"),
         texts=m.select(F.col("file_path").alias("path"), "text"),
         answers1=keyed.selectExpr("path", f"{DQ.MEMO_P1_RESPONSE} as response"),
-        answers2=keyed.selectExpr("path", f"{DQ.MEMO_P2_RESPONSE.replace('doc_id', 'd.doc_id').replace('lang', 'd.lang')} as response"),
+        answers2=keyed.selectExpr("path", f"{DQ.memo_p2_response('d.')} as response"),
         run_date=tables.RUN_DATE)
     return out["results"].select("path", "memo_id", "first_pass_non_compliance_score", "second_pass_score",
                                  "priority_level", "flagged")
