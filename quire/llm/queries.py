@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quire.llm import mixing, radix, url_rules
+from quire.llm import mixing, ngram_lm, packing, passages, radix, repetition, set_join, templates, toxicity, url_rules
 from quire.llm.store import table
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
+LM_ORDER = 2
+TOXIC_TRAIN = "crc32(cast(doc_id as string)) % 5 != 0"
 MIX_WEIGHTS, MIX_SHARE, MIX_COPIES = [3.0, 1.0, 2.0], 1.5, 2
 
 
@@ -31,11 +34,44 @@ select u.page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from u
 """
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.similar_groups(table(spark, sf_dir, "documents"), set_join.Similarity(k=3, num=90, den=100))
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetition_rules(table(spark, sf_dir, "documents"))
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix_sources(table(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_SHARE, MIX_COPIES)
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    model = ngram_lm.train(docs.where(~held).select("text"), order=LM_ORDER)
+    return ngram_lm.score(docs, model, {"doc_id": F.col("doc_id"), "held_out": held})
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), TOXIC_TRAIN)
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    return out.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -48,7 +84,14 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(text) as te
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_quality_rules": op4_quality_rules,
     "op5_source_mix": op5_source_mix,
+    "op6_lm_scoring": op6_lm_scoring,
+    "op7_toxicity": op7_toxicity,
+    "op8_packing": op8_packing,
+    "op9_html_extraction": op9_html_extraction,
     "op10_exact_dedup": op10_exact_dedup,
 }
 SQL = {"op1_url_filters": OP1_SQL, "op10_exact_dedup": OP10_SQL}
