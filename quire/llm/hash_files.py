@@ -7,10 +7,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quire.llm.store import partitions, scratch_path
 
 
 def bucket_bits(partitions: int) -> int:
@@ -82,3 +88,35 @@ class HashFiles:
                 for o, (part, (dtype, _)) in zip(out, values.items(), strict=True):
                     o[a:b][hit] = self.array(f"{kind}-{bucket}-{part}", dtype)[at[hit]]
         return (*out, found)
+
+
+def store_set(hashes: DataFrame, name: str) -> tuple[str, int]:
+    """The column ``h`` of distinct 64-bit numbers as sorted arrays; their place and the bits of their buckets."""
+    spark = hashes.sparkSession
+    bits, uri = bucket_bits(partitions(spark)), scratch_path(spark, name)
+
+    def note(table: pa.Table) -> pa.Table:
+        put(uri, f"s-{table['bucket'][0].as_py()}-k", np.sort(table["h"].to_numpy().view(np.uint64)))
+        return pa.table({"n": pa.array([table.num_rows], pa.int64())})
+
+    cut = hashes.select("h", F.shiftrightunsigned("h", 64 - bits).cast("int").alias("bucket"))
+    cut.groupBy("bucket").applyInArrow(note, "n long").agg(F.sum("n")).collect()
+    return uri, bits
+
+
+def rows_in(df: DataFrame, h: Column, stored: tuple[str, int], found: bool) -> DataFrame:
+    """The rows of ``df`` whose ``h`` is in the stored set (or, with ``found`` false, is not), where they are read:
+    no row is shuffled, however large the set is.  A null ``h`` is not in any set."""
+    uri, bits = stored
+    packed = df.select(F.struct("*").alias("row"), h.alias("h"))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = HashFiles(uri, bits)
+        for batch in batches:
+            column = batch.column(1)
+            known = column.is_valid().to_numpy(zero_copy_only=False)
+            value, back = np.unique(column.fill_null(0).to_numpy().view(np.uint64), return_inverse=True)
+            hit = files.look(value, "s", "k", {})[-1][back] & known
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(hit == found))], ["row"])
+
+    return packed.mapInArrow(keep, T.StructType([packed.schema["row"]])).select("row.*")

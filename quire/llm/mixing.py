@@ -50,9 +50,9 @@ def source_targets(sizes: DataFrame, weights: list[float], share: float, max_cop
 
 def mix_sources(docs: DataFrame, weights: list[float], share: float = 1.0, max_copies: int = 2,
                 importance: Column | None = None, seed: int = 7, id_col: str = "doc_id", text_col: str = "text",
-                source_col: str = "source") -> DataFrame:
-    """One row (doc_id, source, size, source_size, target, copies, taken) per row of ``docs``; copies is 0 to
-    ``max_copies``.
+                source_col: str = "source", carry: list[str] | None = None) -> DataFrame:
+    """One row (row, doc_id, source, size, source_size, target, copies, taken) per row of ``docs``; copies is 0 to
+    ``max_copies``; ``row`` is a struct of the columns named by ``carry`` (by default the id).
 
     ``importance`` (a column over ``size``; by default ln(2 + size), so long documents are likelier) sets the
     unequal inclusion odds.  Null texts have size 0 and null sources form one source.  Repeated rows are taken one
@@ -74,15 +74,17 @@ def mix_sources(docs: DataFrame, weights: list[float], share: float = 1.0, max_c
         .withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
         .withColumn("rate", F.when(F.col("weighted") > 0, F.col("left") / F.col("weighted")).otherwise(0.0)), "mix-plan")
 
-    ranked = _with_plan(base, plan, ["source_size", "target", "whole", "left", "rate"])
     u = (F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     p = F.least(F.greatest(F.col("rate") * F.col("weight"), F.lit(1e-9)), F.lit(1 - 1e-9))
     q = u / (1 - u) * (1 - p) / p
     # the order of q as a number from 0 to 1, spread evenly enough over the bins
-    ranked = ranked.withColumn("rank", q / (1 + q))
-    ranked = ranked.withColumns({"b1": F.floor(F.col("rank") * BINS).cast("int"),
+    def rank(rows: DataFrame) -> DataFrame:
+        rows = _with_plan(rows, plan, ["source_size", "target", "whole", "left", "rate"]).withColumn("rank", q / (1 + q))
+        return rows.withColumns({"b1": F.floor(F.col("rank") * BINS).cast("int"),
                                  "b2": F.floor(F.col("rank") * BINS * BINS).cast("long")})
 
+    ranked = rank(base)
+
     edge1 = _edge(ranked.where("left > 0").groupBy("source", "b1").agg(F.sum("size").alias("n"), F.max("left").alias("left")),
                   "b1", F.lit(0).cast("long"))
     edge1 = written(edge1, "mix-edge1")
@@ -93,6 +95,12 @@ def mix_sources(docs: DataFrame, weights: list[float], share: float = 1.0, max_c
         edge2.select(F.col("source").alias("s"), "e_b2", F.col("e_before").alias("e_before")),
         F.col("source").eqNullSafe(F.col("s"))).drop("s"), "mix-edges")
 
+    if carry:
+        base = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{id_col}`").alias("doc_id"),
+                           F.col(f"`{source_col}`").alias("source"), word_count(F.col(f"`{text_col}`")).alias("size"))
+        ranked = rank(base.withColumn("weight", weight))
+    else:
+        ranked = ranked.withColumn("row", F.struct(F.col("doc_id").alias(id_col)))
     full = _with_plan(ranked, edges, ["e_b1", "e_b2", "e_before"])
     inner = Window.partitionBy("source").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = full.where("left > 0 and b1 = e_b1 and b2 = e_b2").withColumn("upto", F.col("e_before") + F.sum("size").over(inner))
@@ -101,7 +109,7 @@ def mix_sources(docs: DataFrame, weights: list[float], share: float = 1.0, max_c
     rest = full.where("not (left > 0 and b1 <=> e_b1 and b2 <=> e_b2)").withColumn(
         "more", F.expr("int(coalesce(left > 0 and (b1 < e_b1 or b1 = e_b1 and b2 < e_b2), false))"))
     out = last.drop("upto").unionByName(rest).withColumn("copies", (F.col("whole") + F.col("more")).cast("long"))
-    return out.select("doc_id", "source", "size", "source_size", "target", "copies",
+    return out.select("row", "doc_id", "source", "size", "source_size", "target", "copies",
                       (F.col("copies") * F.col("size")).alias("taken"))
 
 

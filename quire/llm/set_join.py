@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import words as W
-from quire.llm.hash_files import HashFiles, bucket_bits, cut_points, joined, put
+from quire.llm.hash_files import HashFiles, bucket_bits, cut_points, joined, put, rows_in, store_set
 from quire.llm.store import partitions, scratch_path, written
 
 FREQUENT = 20  # a shingle that so many sets have in their low end goes last in the order
@@ -69,12 +69,6 @@ def _set_keys(values: np.ndarray, bounds: np.ndarray, n: np.ndarray) -> np.ndarr
     return W.mix(total[bounds[1:]] - total[bounds[:-1]] + n.astype(np.uint64))
 
 
-def text_hashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    whole = W.Words.__new__(W.Words)
-    whole.data, whole.start, whole.end = data, offsets[:-1], offsets[1:]
-    return whole.hashes()
-
-
 def _sketches(values: np.ndarray, doc: np.ndarray, n: np.ndarray) -> list[bytes]:
     """Parity of the shingles per low hash bits: 128 to 8192 bits, about half the size of the set."""
     bits = np.clip(1 << np.ceil(np.log2(np.maximum(n, 2) / 2)).astype(np.int64), 128, 8192)
@@ -123,7 +117,7 @@ def _scan(batches: Iterator[pa.RecordBatch], sim: Similarity, bits: int, names:
             low.append(values[(place < 2 * sim.prefix(n)[doc] + 8) & first[doc]])
             none = pa.nulls(b - a)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.array(n), _signed(keys), _signed(text_hashes(data, offsets)),
+                [batch.column(0).slice(a, b - a), pa.array(n), _signed(keys), batch.column(2).slice(a, b - a),
                  pa.array(_sketches(values, doc, n), pa.binary()), none.cast(pa.int32()), none.cast(pa.binary()),
                  none.cast(pa.binary())], names)
             if sum(map(len, low)) >= FLUSH:
@@ -305,7 +299,7 @@ class _Join:
             files, done = HashFiles(uri, bits), set()
             for batch in batches:
                 for a, b, data, offsets in W.chunks(batch.column(0), CHUNK_BYTES):
-                    th, at = np.unique(text_hashes(data, offsets), return_index=True)
+                    th, at = np.unique(batch.column(1).slice(a, b - a).to_numpy().view(np.uint64), return_index=True)
                     key, hit = files.look(th, "w", "k", {"v": ("<i8", 0)})
                     take = [i for i in np.flatnonzero(hit).tolist() if int(key[i]) not in done]
                     if take:
@@ -316,7 +310,7 @@ class _Join:
                             [pa.array(key[take]), pa.array([values[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())],
                             ["key", "shingles"])
 
-        sets = written(self.docs.select("text").mapInArrow(whole, "key long, shingles binary"), "sets-whole")
+        sets = written(self.docs.select("text", "th").mapInArrow(whole, "key long, shingles binary"), "sets-whole")
         sets = written(sets.groupBy("key").agg(F.min("shingles").alias("shingles")), "sets-once")
 
         def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,14 +326,28 @@ class _Join:
                        .mapInArrow(linked, "a long, b long"), "sets-links")
 
 
+def drop_similar(docs: DataFrame, sim: Similarity, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each group of linked ones: the one with the least id.
+
+    Rows that equal it in id and text all stay (exact copies are for exact deduplication), as do texts without
+    shingles.  Rows are dropped where they are read, by a 64-bit hash of id and text.
+    """
+    groups = similar_groups(docs, sim, id_col, text_col).where("not (doc_id <=> component_id)")
+    gone = store_set(groups.select(F.xxhash64("doc_id", "th").alias("h")).distinct(), "similar")
+    th = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    return rows_in(docs, F.xxhash64(F.col(f"`{id_col}`"), th), gone, False)
+
+
 def similar_groups(docs: DataFrame, sim: Similarity, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row (doc_id, n_shingles, component_id) per row of ``docs``; the id is the least reachable by links.
+    """One row (doc_id, n_shingles, component_id, th) per row of ``docs``; the component is named by the least id
+    reachable by links, th is a hash of the text.
 
     Null and empty texts and texts without words have no shingles, are linked with nothing and keep their own id.
     Texts with the same set are linked.  A null id is never a component's id unless all its ids are null.  Repeated
     rows stay; other columns are ignored; an empty table gives an empty result.
     """
-    slim = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    slim = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
+                       F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("th"))
     join = _Join(slim, sim)
     short, hot = join.lists()
     lead = written(hot.groupBy("token").agg(F.min(F.struct("pos", "n", "key")).alias("l"), F.count("*").alias("c"))
@@ -363,6 +371,6 @@ def similar_groups(docs: DataFrame, sim: Similarity, id_col: str = "doc_id", tex
     named = join.reps.select("key", "first").join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     least = named.groupBy("comp").agg(F.min("first").alias("component_id"))
     named = written(named.select("key", "comp").join(written(least, "sets-least"), "comp").select("key", "component_id"), "sets-named")
-    rows = join.rows.select("doc_id", "n", "key")
-    out = rows.where("n > 0").join(named, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return out.unionByName(rows.where("n = 0").selectExpr("doc_id", "n as n_shingles", "doc_id as component_id"))
+    rows = join.rows.select("doc_id", "n", "key", "th")
+    out = rows.where("n > 0").join(named, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "th")
+    return out.unionByName(rows.where("n = 0").selectExpr("doc_id", "n as n_shingles", "doc_id as component_id", "th"))

@@ -2,24 +2,25 @@
 
 The training rows are split in three by a hash of their ids: the lexicon is learned on the first part, the trees
 on the second, the calibration on the third, so no step sees rows that an earlier one has fitted.  The lexicon holds
-words, and beginnings of words, that are far more frequent in toxic than in other texts.  Features are
-computed for all texts in two passes over the table (lexicon counts, features); trees and calibration are fitted
-by Spark ML on the small feature table.
+words, and beginnings of words, that are far more frequent in toxic than in other texts.  Trees and calibration
+are fitted by Spark ML on the small table of the labelled rows' features; scoring is one pass in which rows stay
+where they are read.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.llm import words as W
 from quire.llm.store import written
@@ -173,15 +174,55 @@ def learn_lexicon(labelled: DataFrame, min_toxic: int = 5, min_ratio: float = 6.
     return [(int(np.int64(r.key).view(np.uint64)), math.log(r.ratio)) for r in top.collect()]
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, train: str, id_col: str = "doc_id", text_col: str = "text",
-                   label_col: str = "toxic", trees: int = 20, depth: int = 4, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """One row (row id, score, predicted) per row of ``docs``, with the columns of FEATURES.
+@dataclass
+class Scorer:
+    """A fitted lexicon, trees and calibration curve; without trees the score is ``share`` for every text."""
 
-    ``train`` is a condition over ``doc_id``; only labels of rows that meet it are used, at most ``max_labelled`` of
-    them (the smallest hashes of their ids).  The score is the calibrated probability of label 1; null and empty
-    texts are scored by their features (all zero).  Without both labels in the training rows the score is their
-    share of label 1 (0 without labels).  Repeated rows stay; ids may be null (such rows are scored, not learned from);
-    other columns are ignored.
+    keys: np.ndarray
+    weights: np.ndarray
+    trees: GBTClassificationModel | None
+    curve: IsotonicRegressionModel | None
+    share: float
+
+    def features(self, docs: DataFrame, text: str) -> DataFrame:
+        """``docs`` as a struct ``row`` with an array ``x`` of its text's features."""
+        keys, weights = self.keys, self.weights
+        persons = np.array(sorted(word_key(w) for w in SECOND_PERSON), np.uint64)
+        packed = docs.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("text"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for a, b, data, offsets in W.chunks(batch.column(1)):
+                    x = dense_features(data, offsets, keys, weights, persons)
+                    ends = pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(ends, pa.array(x.reshape(-1)))], ["row", "x"])
+
+        schema = T.StructType([packed.schema["row"], T.StructField("x", T.ArrayType(T.DoubleType()))])
+        return packed.mapInArrow(run, schema)
+
+    def score(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
+        """(row, score, predicted) per row of ``docs``; ``row`` is a struct of all its columns."""
+        out = self.features(docs, text_col)
+        if self.trees is None:
+            out = out.withColumn("score", F.lit(self.share))
+        else:
+            out = self.curve.transform(_margin(self.trees, out)).withColumn("score", F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)))
+        return out.select("row", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def _margin(trees: GBTClassificationModel, rows: DataFrame) -> DataFrame:
+    return trees.transform(rows.withColumn("features", array_to_vector("x"))).withColumn("margin", vector_to_array(F.col("rawPrediction"))[1])
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, train: str, id_col: str = "doc_id", text_col: str = "text",
+                 label_col: str = "toxic", trees: int = 20, depth: int = 4, max_labelled: int = MAX_LABELLED) -> Scorer:
+    """A scorer learned from the labelled rows whose id meets the condition ``train`` (over ``doc_id``).
+
+    At most ``max_labelled`` labels are used (the smallest hashes of their ids), a bounded sample for
+    fitting.  Null and empty texts have features of zero.  Rows with a null id or label are not learned from; an id
+    that is labelled twice counts as toxic if it is so once.  Without both labels in the parts for trees and
+    calibration the score is the share of label 1 (0 without labels).
     """
     slim = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     known = (labels.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("toxic"))
@@ -189,35 +230,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: str, id_col: str =
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .withColumn("h", F.xxhash64("doc_id", F.lit(11))).orderBy("h", "doc_id").limit(max_labelled)
              .withColumn("part", F.pmod("h", F.lit(5)).cast("int")))
-    known = written(known.select("doc_id", "toxic", "part"), "tox-labels")  # at most max_labelled small rows
-    small = F.broadcast(known)
+    known = written(known.select("doc_id", "toxic", "part"), "tox-labels")
+    small = F.broadcast(known)  # at most max_labelled rows of two numbers
     lexicon = sorted(learn_lexicon(slim.join(small.where("part < 2"), "doc_id").select("text", "toxic")))
-    keys = np.array([k for k, _ in lexicon], np.uint64)
-    weights = np.array([w for _, w in lexicon], np.float64)
-    persons = np.array(sorted(word_key(w) for w in SECOND_PERSON), np.uint64)
-    id_type = dict(docs.dtypes)[id_col]
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, data, offsets in W.chunks(batch.column(1)):
-                x = dense_features(data, offsets, keys, weights, persons)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), *[pa.array(x[:, i]) for i in range(len(FEATURES))]], ["doc_id", *FEATURES])
-
-    rows = written(slim.mapInArrow(features, f"doc_id {id_type}, " + ", ".join(f"{f} double" for f in FEATURES)), "tox-features")
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    fit = vectors.transform(rows.join(small, "doc_id"))
-    share = known.agg(F.avg("toxic")).first()[0] or 0.0
-    seen = {(r.p, r.toxic) for r in fit.selectExpr("case when part < 2 then 0 when part < 4 then 1 else 2 end as p", "toxic").distinct().collect()}
-    if not {(1, 0), (1, 1), (2, 0), (2, 1)} <= seen:
-        out = rows.withColumn("score", F.lit(float(share)))
-    else:
-        trees_model = GBTClassifier(labelCol="toxic", featuresCol="features", maxIter=trees, maxDepth=depth, stepSize=0.2,
-                                    checkpointInterval=-1, seed=5, minInstancesPerNode=5).fit(
-            written(fit.where("part in (2, 3)").select("features", F.col("toxic").cast("double")), "tox-fit").coalesce(4))
-        raw = vector_to_array(F.col("rawPrediction"))[1]
-        held = trees_model.transform(fit.where("part = 4")).select(raw.alias("margin"), F.col("toxic").cast("double").alias("toxic"))
-        curve = IsotonicRegression(labelCol="toxic", featuresCol="margin", predictionCol="score").fit(written(held, "tox-curve"))
-        out = curve.transform(trees_model.transform(vectors.transform(rows)).withColumn("margin", raw))
-        out = out.withColumn("score", F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)))
-    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int")).select("doc_id", "score", "predicted", *FEATURES)
+    share = float(known.agg(F.avg("toxic")).first()[0] or 0.0)
+    scorer = Scorer(np.array([k for k, _ in lexicon], np.uint64), np.array([w for _, w in lexicon], np.float64), None, None, share)
+    fit = written(scorer.features(slim.join(small.where("part >= 2"), "doc_id"), "text").select(
+        "x", F.col("row.toxic").cast("double").alias("toxic"), (F.col("row.part") < 4).alias("grow")), "tox-features")
+    seen = {(r.grow, r.toxic) for r in fit.select("grow", "toxic").distinct().collect()}
+    if len(seen) == 4:
+        grow = fit.where("grow").select(array_to_vector("x").alias("features"), "toxic")
+        scorer.trees = GBTClassifier(labelCol="toxic", maxIter=trees, maxDepth=depth, stepSize=0.2, checkpointInterval=-1,
+                                     seed=5, minInstancesPerNode=5).fit(grow.coalesce(4))
+        held = _margin(scorer.trees, fit.where("not grow")).select("margin", "toxic")
+        scorer.curve = IsotonicRegression(labelCol="toxic", featuresCol="margin", predictionCol="score").fit(held)
+    return scorer

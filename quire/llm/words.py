@@ -130,3 +130,10 @@ def shingle_sets(words: Words, hashes: np.ndarray, k: int) -> tuple[np.ndarray,
         new[1:] = (values[1:] != values[:-1]) | (docs[1:] != docs[:-1])
         values, docs = values[new], docs[new]
     return values, np.searchsorted(docs, np.arange(len(words.count) + 1))
+
+
+def text_hashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """One 64-bit hash per whole text."""
+    whole = Words.__new__(Words)
+    whole.data, whole.start, whole.end = data, offsets[:-1], offsets[1:]
+    return whole.hashes()
