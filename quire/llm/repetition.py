@@ -54,10 +54,12 @@ def _cover(start: np.ndarray, length: np.ndarray | int, n: int) -> np.ndarray:
 def duplicate_lines(words: Words) -> np.ndarray:
     """Per text, its lines with a word that equal an earlier line."""
     data, offsets = words.data, words.offsets
+    if not len(data):
+        return np.zeros(len(offsets) - 1, np.int64)
     starts = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(data == 10) + 1]))
     starts = starts[starts < len(data)]
     stops = np.append(starts[1:], len(data))
-    stops = stops - (data[stops - 1] == 10) if len(stops) else stops
+    stops = stops - (data[stops - 1] == 10)
     with_word = np.searchsorted(words.start, stops) > np.searchsorted(words.start, starts)
     starts, stops = starts[with_word], stops[with_word]
     line = Words.__new__(Words)
