@@ -34,6 +34,7 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "center
 CLOSED_BY_SAME = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
                   "td": {"td", "th"}, "th": {"td", "th"}}
 ENDS_PARAGRAPH = BLOCK - {"body", "html", "head"}
+CONTAINERS = {"body", "center", "div", "section", "table", "tbody", "td", "tr"}
 ASIDE_TAGS = {"head", "nav", "footer", "aside", "form", "menu", "search", "dialog", "button"}
 # fixed values: words of class, id and role attributes that mark what is not the article
 ASIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs",
@@ -164,13 +165,13 @@ def main_element(once: list[str], blocks: list[list[tuple[str, bool, str]]]) ->
     spread: Counter[tuple[str, str]] = Counter()
     for page in blocks:
         spread.update({(path, text) for path, _, text in page})
-    varying = [(path, len(text) * k) for (path, text), k in spread.items() if k < max(2, len(blocks))]
+    varying = {path for (path, _), k in spread.items() if k < max(2, len(blocks))}
     aside = {path for page in blocks for path, out, _ in page if out}
-    total = sum(size for path, size in varying if path not in aside)
+    varying = {path for path in varying if path not in aside}
     best = ""
     for path in once:
-        held = sum(size for p, size in varying if p not in aside and _holds(p, path))
-        if total and held >= 0.8 * total and len(path) > len(best):
+        held = varying and all(_holds(p, path) for p in varying)
+        if held and len(path) > len(best) and re.split("[.]", path.rsplit("/", 1)[1])[0] in CONTAINERS:
             best = path
     return best
 
