@@ -79,40 +79,30 @@ def clean_currency(x) -> Column:
 
 
 def money(x) -> Column:
-    """Amount as DECIMAL(20,2): sums become exact and independent of row order."""
-    return col_of(x).cast("decimal(20,2)")
+    """Amount as DECIMAL(28,2): sums become exact and independent of row order.
+
+    An amount of 1e26 or more (or infinite) is no amount of money and counts as 0, like text without a number."""
+    return F.coalesce(col_of(x).try_cast("decimal(28,2)"), F.when(col_of(x).isNotNull(), F.lit(0)).cast("decimal(28,2)"))
 
 
 def to_cents(x) -> Column:
-    """Exact cents of an amount as BIGINT."""
-    return (col_of(x).cast("decimal(38,2)") * F.lit(100)).cast("bigint")
+    """Exact cents of an amount as DECIMAL(38,0); null if the amount has no cents of that size."""
+    return (col_of(x).try_cast("decimal(36,2)") * F.lit(100)).try_cast("decimal(38,0)")
 
 
 def format_currency(x) -> Column:
     """Amount -> ``$1.23B`` / ``$4.56M`` / ``$7.89K`` / ``$12.34``; negatives fall to the plain branch.
 
-    Two decimals, no thousands separators.  Rounding is half-up on exact integer cents (the reference
-    rounds binary doubles, so the two differ only on exact ties).
+    The unit is chosen by the amount as it is, before rounding, so 999,999.999 is ``$1000.00K``.  Two decimals, no
+    thousands separators.  Rounding is half-up on exact decimals (the reference rounds binary doubles, so the two
+    differ only on exact ties).
     """
-    cents = to_cents(x)
-    scaled = None
-    suffix = None
-    for step, sfx in UNIT_STEPS:
-        cond = cents >= F.lit(step * 100)
-        val = idiv(cents + F.lit(step // 2), step)
-        scaled = F.when(cond, val) if scaled is None else scaled.when(cond, val)
-        suffix = F.when(cond, F.lit(sfx)) if suffix is None else suffix.when(cond, F.lit(sfx))
-    scaled = scaled.otherwise(cents)
-    suffix = suffix.otherwise(F.lit(""))
-    mag = F.abs(scaled)
-    return F.concat(
-        F.lit("$"),
-        F.when(scaled < 0, F.lit("-")).otherwise(F.lit("")),
-        idiv(mag, 100).cast("string"),
-        F.lit("."),
-        F.lpad((mag % F.lit(100)).cast("string"), 2, "0"),
-        suffix,
-    )
+    amount = col_of(x).try_cast("decimal(36,9)")
+    text = F.concat(F.lit("$"), F.round(amount, 2).cast("decimal(36,2)").cast("string"))
+    for step, suffix in reversed(UNIT_STEPS):
+        scaled = F.round(amount / F.lit(step).cast("decimal(10,0)"), 2).cast("decimal(36,2)")
+        text = F.when(amount >= step, F.concat(F.lit("$"), scaled.cast("string"), F.lit(suffix))).otherwise(text)
+    return text
 
 
 def pad_right(x, width: int) -> Column:

@@ -72,9 +72,17 @@ def clean_reason(x) -> Column:
     return F.when(c.isNull() | (c == F.lit("nan")), F.lit("")).otherwise(c)
 
 
-def list_to_text(x, sep: str = "; ") -> Column:
-    """Array of strings -> one text value for CSV export."""
-    return F.array_join(col_of(x), sep)
+def list_to_text(x) -> Column:
+    """Array of strings -> one JSON text value for CSV export; ``text_to_list`` reads it back."""
+    return F.to_json(col_of(x))
+
+
+def text_to_list(x) -> Column:
+    """The array of strings that ``list_to_text`` wrote; other text is a list of that one value, blank text empty."""
+    c = col_of(x)
+    return (F.when(F.trim(c) == "", F.array().cast("array<string>"))
+            .when(F.ltrim(c).startswith("["), F.coalesce(F.from_json(c, "array<string>"), F.array(c)))
+            .when(c.isNotNull(), F.array(c)))
 
 
 def is_sentinel(x) -> Column:

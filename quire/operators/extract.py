@@ -1,7 +1,7 @@
 """Structured extraction: request text, JSON response decoding with defaults, rule tables over text.
 
 Decoding parses each response once with ``from_json`` against an all-string schema (typed fields would turn
-``"true"`` / ``"7"`` into nulls), then converts per field with explicit rules.  Rule tables are small
+``"true"`` / ``"7"`` into nulls) with a field for corrupt records, then converts per field with explicit rules.  Rule tables are small
 parameter rows unrolled into one expression per rule, evaluated inside whole-stage codegen on the document's
 own partition: no join, no shuffle, no broadcast of anything that grows with the data.
 """
@@ -83,9 +83,20 @@ MEMO_PASS2 = [
 ]
 
 
-def is_json_object(c: Column) -> Column:
-    """Parses as JSON and is an object (``try_parse_json``: null on malformed or empty text)."""
-    return F.coalesce(F.try_parse_json(c).isNotNull() & F.ltrim(c).startswith("{"), F.lit(False))
+CORRUPT = "_corrupt"
+
+
+def parse_object(c: Column, fields: list[Field]) -> Column:
+    """The response as a struct of strings, in one parse; of a key that occurs twice the last value stays.  The
+    field ``_corrupt`` is set where the text is not JSON; the struct is null for empty or null text."""
+    schema = T.StructType([*[T.StructField(f.name, T.StringType()) for f in fields], T.StructField(CORRUPT, T.StringType())])
+    return F.from_json(c, schema, {"columnNameOfCorruptRecord": CORRUPT})
+
+
+def is_object(text: Column, parsed: Column) -> Column:
+    """Whether the text was a JSON object (a one-element array would also fill the struct)."""
+    t = F.trim(F.translate(text, "\t\r\n", "   "))
+    return F.coalesce(parsed.isNotNull() & parsed[CORRUPT].isNull() & t.startswith("{") & t.endswith("}"), F.lit(False))
 
 
 def _lit_value(v, kind: str) -> Column:
@@ -103,8 +114,8 @@ def _convert(v: Column, f: Field) -> Column:
     if f.kind == "bool":
         lv = F.lower(v)
         return F.when(lv == "true", F.lit(True)).when(lv == "false", F.lit(False)).otherwise(d)
-    if f.kind == "int":
-        return F.when(v.rlike(r"^-?[0-9]{1,9}$"), v.cast("int")).otherwise(d)
+    if f.kind == "int":  # any JSON number (or number in quotes); a fraction is cut toward minus infinity
+        return F.coalesce(F.floor(v.try_cast("double")).try_cast("int"), d)
     if f.kind == "list":
         return (F.when(v.isNull(), d)
                 .when(F.ltrim(v).startswith("["), F.coalesce(F.from_json(v, "array<string>"), d))
@@ -117,13 +128,12 @@ def decode_response(df: DataFrame, col: str, fields: list[Field], error_text: st
 
     Absent key or JSON null -> the field default; unusable response (not a JSON object, empty) -> the error
     record, whose description carries the first 100 characters of the error text."""
-    schema = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
-    parsed = df.withColumn("_ok", is_json_object(F.col(col))).withColumn("_j", F.from_json(F.col(col), schema))
+    parsed = df.withColumn("_j", parse_object(F.col(col), fields)).withColumn("_ok", is_object(F.col(col), F.col("_j")))
     cols = {}
     for f in fields:
         err = (F.lit(error_text[:ERROR_BUDGET]) if f.on_error == "<error>" else _lit_value(f.on_error, f.kind))
         cols[f.name] = F.when(F.col("_ok"), _convert(F.col(f"_j.{f.name}"), f)).otherwise(err)
-    return parsed.withColumns(cols).withColumn("is_error", ~F.col("_ok")).drop("_ok", "_j")
+    return parsed.withColumns({**cols, "is_error": ~F.col("_ok")}).drop("_ok", "_j")
 
 
 # ---------------------------------------------------------------- rule tables over text
@@ -139,31 +149,36 @@ class Rule:
     pattern: str
 
 
-def rule_hits(text, rules: list[Rule]) -> Column:
-    """Array of the rules whose pattern occurs in the text, in precedence order."""
-    t = col_of(text)
-    structs = [F.struct(F.lit(r.precedence).alias("precedence"), F.lit(r.rule_id).alias("rule_id"),
-                        F.lit(r.grp).alias("grp"), F.lit(r.verdict).alias("verdict"),
-                        F.lit(r.weight).alias("weight"), t.rlike(r.pattern).alias("hit"))
-               for r in sorted(rules, key=lambda r: (r.precedence, r.rule_id))]
-    return F.filter(F.array(*structs), lambda x: x.hit)
+def _ordered(rules: list[Rule]) -> list[Rule]:
+    return sorted(rules, key=lambda r: (r.precedence, r.rule_id))
 
 
 def rule_match(df: DataFrame, text: str, rules: list[Rule], keep: list[str]) -> DataFrame:
     """One row per (document, matching rule)."""
-    return (df.select(*keep, F.explode(rule_hits(text, rules)).alias("r"))
+    t = col_of(text)
+    hits = [F.when(t.rlike(r.pattern), F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.grp).alias("grp"),
+                                                F.lit(r.verdict).alias("verdict"))) for r in _ordered(rules)]
+    return (df.select(*keep, F.explode(F.array(*hits)).alias("r")).where(F.col("r").isNotNull())
             .select(*keep, "r.rule_id", "r.grp", "r.verdict"))
 
 
 def classify_rules(df: DataFrame, text: str, rules: list[Rule], default_verdict: str,
                    default_reason: str = "No rule matched") -> DataFrame:
-    """Single verdict per document: the matching rule with the lowest precedence decides; reason names it."""
-    top = F.element_at(F.col("_h"), 1)
-    return (df.withColumn("_h", rule_hits(text, rules))
-            .withColumn("verdict", F.when(F.size("_h") > 0, top.verdict).otherwise(F.lit(default_verdict)))
-            .withColumn("reason", F.when(F.size("_h") > 0, F.concat(F.lit("rule "), top.rule_id))
-                        .otherwise(F.lit(default_reason)))
-            .drop("_h"))
+    """Single verdict per document: the matching rule with the lowest precedence decides; reason names it.  The rules
+    are one chain of cases, so patterns after the first match are not tried."""
+    t, first = col_of(text), F.lit(None).cast("int")
+    ordered = _ordered(rules)
+    if ordered:
+        first = F.when(t.rlike(ordered[0].pattern), 0)
+        for i, r in enumerate(ordered[1:], 1):
+            first = first.when(t.rlike(r.pattern), i)
+
+    def pick(values: list[str], other: str) -> Column:
+        return F.coalesce(F.try_element_at(F.array(*[F.lit(v) for v in values]).cast("array<string>"), F.col("_i") + 1), F.lit(other))
+
+    return (df.withColumn("_i", first)
+            .withColumns({"verdict": pick([r.verdict for r in ordered], default_verdict),
+                          "reason": pick([f"rule {r.rule_id}" for r in ordered], default_reason)}).drop("_i"))
 
 
 def tag_topics(df: DataFrame, text: str, rules: list[Rule], categories: list[str]) -> DataFrame:
@@ -182,8 +197,9 @@ def tag_topics(df: DataFrame, text: str, rules: list[Rule], categories: list[str
 
 def score_and_priority(df: DataFrame, text: str, rules: list[Rule], high: int = 7, medium: int = 4) -> DataFrame:
     """Score 1..10 = weighted count of matching rules, clamped; priority from the two cut-offs (parameters)."""
-    hits = rule_hits(text, rules)
-    raw = F.aggregate(hits, F.lit(0), lambda acc, x: acc + x.weight)
+    t, raw = col_of(text), F.lit(0)
+    for r in rules:
+        raw = raw + F.when(t.rlike(r.pattern), r.weight).otherwise(0)
     score = F.least(F.lit(10), F.greatest(F.lit(1), raw)).cast("int")
     return (df.withColumn("score", score)
             .withColumn("priority", F.when(F.col("score") >= high, F.lit("high"))

@@ -1,24 +1,19 @@
 """Reporting-line hierarchy: edges, reachability from a root, height under every node, cycle report.
 
-Both traversals are rounds of DataFrame joins; the loop stops when a round adds no rows, which the driver
-learns from an ``Observation`` metric collected by the round's write (no extra job, nothing recomputed).  State lives in a Parquet table
-in the session's shared checkpoint folder (one partition per round, see ``RoundTable``), so each round plans
-against a short lineage, a lost executor costs at most one round, and nothing is rewritten.  Cycles
-terminate the loops (visited sets / unresolved nodes).
+Both traversals double the distance they look at in every round, so a chain of n positions takes about log2(n)
+rounds of joins instead of n.  A round's tables are written to the session's shared checkpoint folder, so each round
+plans against a plain scan and a lost executor costs at most one round.  Cycles end the rounds: no walk without a
+repeated position is longer than the number of positions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import trim_id
 from quire.operators.org import ID, SUPERVISOR
-from quire.session import cut_lineage
-
-MAX_ROUNDS = 100_000
-# Salt buckets per parent for the reachability join (managers with a huge number of reports).
-SALTS = 32
+from quire.session import stored
 
 
 def nodes(df: DataFrame, id_col: str = ID) -> DataFrame:
@@ -40,55 +35,48 @@ def edge_validity(edges: DataFrame, node_ids: DataFrame) -> DataFrame:
             .select("parent", "child"))
 
 
-class RoundTable:
-    """Iteration state as a Parquet table in the shared checkpoint folder, one ``rnd`` partition per round.
-
-    Each round appends only its new rows, so total writes are O(result) rather than O(result x rounds), the
-    state is always a single file scan (short plans), and reading one round is a pruned partition read."""
-
-    def __init__(self, spark, schema: str, what: str):
-        import uuid
-        from quire.session import checkpoint_dir
-        self.spark = spark
-        self.schema = f"{schema}, rnd int"
-        self.path = f"{checkpoint_dir(spark).rstrip('/')}/rounds/{what}-{uuid.uuid4().hex}"
-
-    def append(self, df: DataFrame, rnd: int) -> bool:
-        """Write this round's rows; True when the round added any.  The row count is an ``Observation`` metric
-        of the write itself, so no extra job runs."""
-        obs = Observation(f"round-{rnd}")
-        (df.withColumn("rnd", F.lit(rnd).cast("int")).observe(obs, F.count(F.lit(1)).alias("n"))
-         .write.mode("append").partitionBy("rnd").parquet(self.path))
-        return obs.get["n"] > 0
-
-    def all(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
-
-    def round(self, rnd: int) -> DataFrame:
-        return self.all().where(F.col("rnd") == F.lit(rnd))
+def _tops(single: DataFrame, n: int) -> DataFrame:
+    """``(id, top)``: where the chain of only supervisors above each position of ``single`` (id, up) ends, by
+    pointer jumping.  Chains that run into a cycle have no end and are left out."""
+    jump, width = single, 1
+    done = None
+    while True:
+        ahead = jump.select(F.col("id").alias("up"), F.col("up").alias("next"))
+        both = stored(jump.join(ahead, "up", "left"), "jump")
+        ended = both.where("next is null").selectExpr("id", "up as top")
+        done = ended if done is None else done.unionByName(ended)
+        jump, width = both.where("next is not null").selectExpr("id", "next as up"), width * 2
+        if width > n or jump.isEmpty():
+            return done
+        # positions that have ended still end the chains that now point at them
+        jump = stored(jump.join(done.selectExpr("id as up", "top"), "up", "left").select(
+            "id", F.coalesce("top", "up").alias("up")), "jump")
 
 
 def subtree(edges: DataFrame, node_ids: DataFrame, root: str) -> DataFrame:
     """All positions reachable from ``root`` including itself, each once; unknown root -> empty.
 
-    ``edges`` must be valid edges (both ends are positions).  Round r joins the rows reached in round r - 1
-    with the edges and keeps children not reached before."""
-    spark = edges.sparkSession
-    # Edges are stored partitioned by (parent, salt): a manager with a third of all reports is spread over
-    # SALTS partitions, and the (small) frontier is replicated once per salt to meet them.
-    e = cut_lineage(edges.select("parent", "child").distinct()
-                    .withColumn("_salt", F.pmod(F.xxhash64("child"), F.lit(SALTS)).cast("int"))
-                    .repartition("parent", "_salt"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-    state = RoundTable(spark, "id string", "subtree")
-    state.append(node_ids.where(F.col("id") == F.lit(root)).select("id"), 0)
-    for rnd in range(1, MAX_ROUNDS):
-        frontier = state.round(rnd - 1).select(F.col("id").alias("parent"), salts)
-        nxt = (frontier.join(e, ["parent", "_salt"]).select(F.col("child").alias("id")).distinct()
-               .join(state.all().select("id"), "id", "left_anti"))
-        if not state.append(nxt, rnd):
-            break
-    return state.all().select("id")
+    ``edges`` must be valid edges (both ends are positions).  Positions with one supervisor (nearly all) are
+    replaced by the top of their chain of only supervisors, which ends at the root, at a position without a
+    supervisor or at one with several.  What is left to walk round by round is the graph of the positions with
+    several supervisors."""
+    e = stored(edges.select("parent", "child").where((F.col("child") != root) & (F.col("child") != F.col("parent"))).distinct(), "edges")
+    ups = stored(e.groupBy("child").agg(F.count(F.lit(1)).alias("n"), F.min("parent").alias("up")), "ups")
+    single = ups.where("n = 1").selectExpr("child as id", "up")
+    tops = stored(_tops(single, ups.count()), "tops")
+    several = e.join(ups.where("n > 1").select("child"), "child", "left_semi")
+    hops = several.join(tops.selectExpr("id as parent", "top"), "parent", "left").select(
+        F.coalesce("top", "parent").alias("parent"), F.col("child").alias("id")).distinct()
+    # a supervisor on or under a cycle without an end is not below the root
+    hops = stored(hops.join(single.selectExpr("id as parent"), "parent", "left_anti"), "hops")
+    reached = stored(node_ids.where(F.col("id") == F.lit(root)).select("id").distinct(), "reached")
+    frontier = reached
+    while not frontier.isEmpty():
+        frontier = stored(hops.join(frontier.withColumnRenamed("id", "parent"), "parent", "left_semi").select("id").distinct()
+                          .join(reached, "id", "left_anti"), "frontier")
+        reached = reached.unionByName(frontier)
+    below = tops.join(reached.withColumnRenamed("id", "top"), "top", "left_semi").select("id")
+    return reached.unionByName(below)
 
 
 def subtree_rows(raw: DataFrame, reached: DataFrame, filter_col=None, id_col: str = ID) -> DataFrame:
@@ -99,39 +87,35 @@ def subtree_rows(raw: DataFrame, reached: DataFrame, filter_col=None, id_col: st
 
 
 def height_under(edges: DataFrame, node_ids: DataFrame) -> DataFrame:
-    """Longest downward path under every position (leaves 0), bottom-up in rounds.
-
-    A node is resolved once every child edge (duplicates counted) leads to a resolved node; its height is
-    1 + the highest child.  Nodes that can reach a cycle never resolve: they get 1 + the highest resolved
-    child, or -1 without one.  Output: ``id``, ``height``, ``resolved``.
-
-    Per round: one join of the edges with the resolved set, a partial aggregation per parent, and an append
-    of the newly resolved nodes; the loop ends when a round resolves nothing."""
-    spark = edges.sparkSession
-    # Edges are stored partitioned by child (the join key of every round); out-degrees are computed once.
-    e = cut_lineage(edges.select("parent", "child").repartition("child"))
-    ids = cut_lineage(node_ids.select("id"))
-    outdeg = cut_lineage(e.groupBy("parent").agg(F.count(F.lit(1)).alias("deg")))
-    state = RoundTable(spark, "id string, h int", "heights")
-    state.append(ids.join(outdeg.select(F.col("parent").alias("id")), "id", "left_anti")
-                 .withColumn("h", F.lit(0).cast("int")), 0)
-    for rnd in range(1, MAX_ROUNDS):
-        resolved = state.all().select("id", "h")
-        done = (e.join(resolved, e.child == resolved.id)
-                .groupBy("parent").agg(F.count(F.lit(1)).alias("n"), F.max("h").alias("mh")))
-        fresh = (done.join(outdeg, "parent").where(F.col("n") == F.col("deg"))
-                 .select(F.col("parent").alias("id"), (F.col("mh") + 1).cast("int").alias("h"))
-                 .join(resolved.select("id"), "id", "left_anti"))
-        if not state.append(fresh, rnd):
+    """Longest downward path under every position (leaves 0).
+
+    Positions that can reach a cycle are not resolved: they get 1 + the highest resolved child, or -1 without one.
+    Output: ``id``, ``height``, ``resolved``.
+
+    Round k knows the pairs (position, ancestor) exactly 2^k edges apart.  A path of 2^k to 2^(k+1) - 1 edges below a
+    position is its first 2^k edges and a shorter path below where they end, so one join of the pairs with the
+    heights so far and one maximum per ancestor extend all heights.  The pairs of the next round are the pairs
+    joined with themselves; a position with one supervisor has one ancestor at each distance, so there are about as
+    many pairs as positions.  Whatever still has a descendant 2^k >= n edges below can reach a cycle."""
+    e = stored(edges.select("parent", "child").distinct(), "edges")
+    ids = stored(node_ids.select("id").distinct(), "ids")
+    pairs, width, n = e.selectExpr("child as id", "parent as up"), 1, ids.count()
+    heights = stored(pairs.selectExpr("up as id", "1 as h").distinct(), "heights")
+    while True:
+        ahead = pairs.selectExpr("id as up", "up as next")
+        pairs, width = stored(pairs.join(ahead, "up").selectExpr("id", "next as up").distinct(), "pairs"), width * 2
+        if pairs.isEmpty() or width > n:
             break
-    resolved = state.all().select("id", "h")
-    partial = (e.join(resolved, e.child == resolved.id).groupBy("parent")
-               .agg((F.max("h") + 1).cast("int").alias("ph")))
-    return (ids.join(resolved.withColumn("resolved", F.lit(True)), "id", "left")
-            .join(partial.withColumnRenamed("parent", "id"), "id", "left")
-            .select("id",
-                    F.coalesce(F.col("h"), F.col("ph"), F.lit(-1)).cast("int").alias("height"),
-                    F.coalesce(F.col("resolved"), F.lit(False)).alias("resolved")))
+        longer = pairs.join(heights, "id", "left").selectExpr("up as id", f"{width} + coalesce(h, 0) as h")
+        heights = stored(heights.unionByName(longer).groupBy("id").agg(F.max("h").cast("int").alias("h")), "heights")
+    open_ = stored(pairs.selectExpr("up as id").distinct().withColumn("_open", F.lit(True)), "open")
+    known = stored(ids.join(heights, "id", "left").join(open_, "id", "left").select(
+        "id", F.coalesce("h", F.lit(0)).alias("h"), F.col("_open").isNull().alias("resolved")), "known")
+    under = (e.join(open_.selectExpr("id as parent"), "parent", "left_semi")
+             .join(known.where("resolved").selectExpr("id as child", "h"), "child")
+             .groupBy("parent").agg((F.max("h") + 1).alias("ph")).withColumnRenamed("parent", "id"))
+    return known.join(under, "id", "left").select(
+        "id", F.when(F.col("resolved"), F.col("h")).otherwise(F.coalesce("ph", F.lit(-1))).cast("int").alias("height"), "resolved")
 
 
 def cycle_report(heights: DataFrame) -> DataFrame:

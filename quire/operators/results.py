@@ -23,24 +23,26 @@ PARENT_HEAD = "Parent Contract Description: "
 CHILD_HEAD = "Child Contract Descriptions:\n"
 CHILD_BULLET = "- "
 
-# Most child lines that can ever reach the text budget: each bullet line is at least "- " + "\n".
-MAX_CONTEXT_CHILDREN = TEXT_BUDGET // (len(CHILD_BULLET) + 1) + 1
-# Salt groups used to split a parent with a huge number of children before ranking.
-CONTEXT_SALTS = 64
+
+def match_key(key: Column, valid: Column, *spread: str) -> Column:
+    """A join key that matches only where ``valid``: other rows get keys of their own, spread by a hash of
+    ``spread``, so sentinels and nulls neither match nor meet in one task."""
+    return F.when(valid, key).otherwise(F.concat(F.lit("\x00"), F.xxhash64(*spread).cast("string")))
 
 
 # ---------------------------------------------------------------- ledgers
 
 def unprocessed(files: DataFrame, ledger: DataFrame, key: str = "path", status: str | None = "status") -> DataFrame:
     """Files not in the processed ledger; ledger rows with status ``retry`` do not count as processed."""
-    done = ledger.where(F.col(status) != F.lit("retry")) if status and status in ledger.columns else ledger
+    done = ledger.where(~F.col(status).eqNullSafe("retry")) if status and status in ledger.columns else ledger
     return files.join(done.select(key).distinct(), key, "left_anti")
 
 
 def skip_reviewed(records: DataFrame, reviewed: DataFrame, key: str = "contract_number") -> DataFrame:
     """Drop records whose id is already reviewed; sentinel ids (``Not found`` / ``Error``) always pass."""
-    known = reviewed.select(key).where(~is_sentinel(key)).distinct()
-    return records.join(known, key, "left_anti")
+    known = reviewed.select(F.col(key).alias("_known")).where(~is_sentinel(key)).distinct()
+    own = match_key(F.col(key), F.col(key).isNotNull() & ~is_sentinel(key), *records.columns)
+    return records.withColumn("_own", own).join(known, F.col("_own") == F.col("_known"), "left_anti").drop("_own")
 
 
 def new_ledger_rows(records: DataFrame, ledger: DataFrame, run_date: str, key: str = "contract_number") -> DataFrame:
@@ -68,21 +70,30 @@ def known_ids_update(known: DataFrame, new_ids: DataFrame, key: str = "contract_
 
 # ---------------------------------------------------------------- appends and defaults
 
-def backfill_columns(df: DataFrame, schema: T.StructType, defaults: dict) -> DataFrame:
-    """Add missing columns with their default and fill nulls of present ones (``coalesce``), in schema order."""
+def _default(defaults: dict, f: T.StructField) -> Column:
+    d = defaults.get(f.name)
+    return (F.array(*[F.lit(x) for x in d]) if isinstance(d, list) else F.lit(d)).cast(f.dataType)
+
+
+def backfill_columns(df: DataFrame, schema: T.StructType, defaults: dict, fill: tuple[str, ...] = ()) -> DataFrame:
+    """Columns in schema order, absent ones with their default.  Present columns keep their nulls, except those
+    named by ``fill``, whose nulls take the default too."""
     cols = []
     for f in schema.fields:
-        d = F.lit(defaults.get(f.name)).cast(f.dataType)
-        if f.name in df.columns:
+        d = _default(defaults, f)
+        if f.name in fill and f.name in df.columns:
             cols.append(F.coalesce(F.col(f.name).cast(f.dataType), d).alias(f.name))
+        elif f.name in df.columns:
+            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
         else:
             cols.append(d.alias(f.name))
     return df.select(*cols)
 
 
-def append_results(existing: DataFrame, new: DataFrame, schema: T.StructType, defaults: dict) -> DataFrame:
-    """``UNION ALL`` by column name of old and new rows, missing columns filled with defaults."""
-    return backfill_columns(existing.unionByName(new, allowMissingColumns=True), schema, defaults)
+def append_results(existing: DataFrame, new: DataFrame, schema: T.StructType, defaults: dict,
+                   fill: tuple[str, ...] = ()) -> DataFrame:
+    """``UNION ALL`` of old and new rows by column name; a column that one side lacks takes its default there."""
+    return backfill_columns(existing, schema, defaults, fill).unionByName(backfill_columns(new, schema, defaults, fill))
 
 
 # ---------------------------------------------------------------- per-key first / last
@@ -105,18 +116,20 @@ def detail_lookup(df: DataFrame, batch: DataFrame, key: str = "contract_number")
 # ---------------------------------------------------------------- second pass: answers and upsert
 
 def attach_second_pass(results: DataFrame, answers: DataFrame, key: str = "contract_number",
-                       request_key: str = "request_id", seq: str = "aseq") -> DataFrame:
+                       request_key: str = "request_id", seq: str = "aseq", echo: str = "contract_number") -> DataFrame:
     """Route pass-2 answers to rows by the request id (last answer wins; unmatched answers dropped).
 
-    Status is lower-cased; an empty / ``nan`` reason becomes the placeholder.  The id echoed in the answer is
-    kept as ``echoed_id``."""
-    last = last_per_key(answers, request_key, ["second_pass_munchable", "second_pass_reason", key], seq)
+    ``key`` is the column of ``results`` that holds the request id, such as the file path; sentinel ids take no
+    answer.  Status is lower-cased; an empty / ``nan`` reason becomes the placeholder.  The id echoed in the answer
+    is kept as ``echoed_id``."""
+    known = answers.where(_not_sentinel(request_key))
+    last = last_per_key(known, request_key, ["second_pass_munchable", "second_pass_reason", echo], seq)
     st, rs = normalize_status(F.col("a_status"), F.col("a_reason"))
-    joined = results.join(
-        last.select(F.col(request_key).alias(key), F.col("second_pass_munchable").alias("a_status"),
-                    F.col("second_pass_reason").alias("a_reason"), F.col(key).alias("echoed_id"),
+    joined = results.withColumn("_own", match_key(F.col(key), _not_sentinel(key), *results.columns)).join(
+        last.select(F.col(request_key).alias("_own"), F.col("second_pass_munchable").alias("a_status"),
+                    F.col("second_pass_reason").alias("a_reason"), F.col(echo).alias("echoed_id"),
                     F.lit(True).alias("_hit")),
-        key, "left")
+        "_own", "left").drop("_own")
     return (joined.withColumn("second_pass_munchable",
                               F.when(F.col("_hit"), st).otherwise(F.col("second_pass_munchable")))
             .withColumn("second_pass_reason", F.when(F.col("_hit"), rs).otherwise(F.col("second_pass_reason")))
@@ -131,8 +144,9 @@ def upsert_results(results: DataFrame, updates: DataFrame, key: str = "contract_
     """Overwrite ``columns`` on every row with a matching key by the key's last update; sentinel keys never
     match; reasons are cleaned (null / whole-value ``nan`` -> '').  Row count is unchanged."""
     last = last_per_key(updates.where(~is_sentinel(key) & F.col(key).isNotNull()), key, list(columns), seq)
-    u = last.select(key, *[F.col(c).alias(f"_u_{c}") for c in columns], F.lit(True).alias("_hit"))
-    out = results.join(u, key, "left")
+    u = last.select(F.col(key).alias("_own"), *[F.col(c).alias(f"_u_{c}") for c in columns], F.lit(True).alias("_hit"))
+    own = match_key(F.col(key), F.col(key).isNotNull() & ~is_sentinel(key), *results.columns)
+    out = results.withColumn("_own", own).join(u, "_own", "left").drop("_own")
     for c in columns:
         out = out.withColumn(c, F.when(F.col("_hit"), F.col(f"_u_{c}")).otherwise(F.col(c)))
     for c in columns:
@@ -157,44 +171,35 @@ def context_parent(records: DataFrame, key: str = "contract_number", parent: str
                .agg(F.min_by(F.col(desc), F.col(seq)).alias("parent_description"))
                .select(F.col(key).alias("_pkey"), *[F.col(c).alias(f"_p_{c}") for c in scope],
                        "parent_description"))
-    cond = records[parent] == parents["_pkey"]
+    rows = records.withColumn("_own", match_key(F.col(parent), _not_sentinel(parent), seq))
+    cond = rows["_own"] == parents["_pkey"]
     for c in scope:
-        cond = cond & (records[c] == parents[f"_p_{c}"])
-    return records.join(parents, cond, "left").drop("_pkey", *[f"_p_{c}" for c in scope])
-
-
-def first_k_per_key(df: DataFrame, key: str | list[str], order: str, k: int, salts: int = CONTEXT_SALTS) -> DataFrame:
-    """Exactly the first ``k`` rows per ``key`` by ``order``, skew-safe.
-
-    Stage 1 ranks inside ``(key, salt)`` groups, so a key holding a third of all rows is spread over
-    ``salts`` tasks; stage 2 ranks the at most ``salts * k`` survivors per key.  Any row in the true first
-    ``k`` of its key is also in the first ``k`` of its salt group, so the result is exact."""
-    keys = [key] if isinstance(key, str) else list(key)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(order)), F.lit(salts)))
-    w1 = Window.partitionBy(*keys, "_salt").orderBy(F.col(order))
-    stage1 = salted.withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= k).drop("_rn", "_salt")
-    w2 = Window.partitionBy(*keys).orderBy(F.col(order))
-    return stage1.withColumn("_rn", F.row_number().over(w2)).where(F.col("_rn") <= k).drop("_rn")
+        cond = cond & (rows[c] == parents[f"_p_{c}"])
+    return rows.join(parents, cond, "left").drop("_own", "_pkey", *[f"_p_{c}" for c in scope])
 
 
 def context_children(records: DataFrame, parent: str = "parent_contract_number", desc: str = "description",
-                     seq: str = "seq", within: list[str] | None = None) -> DataFrame:
-    """``(parent, child_block)``: heading plus one ``- description`` line per child in ``seq`` order.
-
-    Only the first children that can reach the text budget are kept (each line takes at least three
-    characters, so later children are always cut off), chosen with a skew-safe two-stage top-k; the list
-    collected per parent is therefore bounded whatever the fan-out.  ``within`` as in ``context_parent``."""
-    scope = list(within or [])
-    first = first_k_per_key(records.where(_not_sentinel(parent)).select(parent, *scope, seq, desc),
-                            [parent, *scope], seq, MAX_CONTEXT_CHILDREN)
-    return (first.groupBy(parent, *scope)
-            .agg(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), F.col(desc).alias("d")))).alias("_c"))
-            .select(F.col(parent).alias("_ckey"), *[F.col(c).alias(f"_c_{c}") for c in scope],
-                    F.concat(F.lit(CHILD_HEAD),
-                             F.array_join(F.transform("_c", lambda x: F.concat(F.lit(CHILD_BULLET),
-                                                                               F.coalesce(x.d, F.lit("")),
-                                                                               F.lit("\n"))), "")
-                             ).alias("child_block")))
+                     seq: str = "seq", within: list[str] | None = None, budget: int = TEXT_BUDGET) -> DataFrame:
+    """``(parent, child_block)``: heading plus one ``- description`` line per child in ``seq`` order, cut to
+    ``budget`` characters.
+
+    A child is kept while the lines before it leave room in the budget.  The running length is first taken inside
+    (parent, task), so a parent with very many children is cut down by all tasks before its rows meet; it is
+    never more than the running length over the whole parent, so no line of the block is lost.  ``within`` as in
+    ``context_parent``."""
+    keys = [parent, *(within or [])]
+    line = F.concat(F.lit(CHILD_BULLET), F.coalesce(F.col(desc), F.lit("")), F.lit("\n"))
+    kept = (records.where(_not_sentinel(parent)).select(*keys, seq, line.alias("_line"))
+            .withColumn("_task", F.spark_partition_id()))
+    for scope in ([*keys, "_task"], keys):
+        before = Window.partitionBy(*scope).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
+        kept = (kept.withColumn("_used", F.coalesce(F.sum(F.length("_line")).over(before), F.lit(0)))
+                .where(F.col("_used") < F.lit(budget - len(CHILD_HEAD))))
+    lines = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), F.col("_line").alias("l"))))
+    block = F.concat(F.lit(CHILD_HEAD), F.array_join(F.col("_c.l"), ""))
+    return (kept.groupBy(*keys).agg(lines.alias("_c"))
+            .select(F.col(parent).alias("_ckey"), *[F.col(c).alias(f"_c_{c}") for c in within or []],
+                    F.substring(block, 1, budget).alias("child_block")))
 
 
 def context_text(records: DataFrame, key: str = "contract_number", parent: str = "parent_contract_number",
@@ -205,7 +210,7 @@ def context_text(records: DataFrame, key: str = "contract_number", parent: str =
     ``within=["chunk_no"]`` (with ``chunk_rows``) restricts it to one chunk as the reference does."""
     scope = list(within or [])
     with_parent = context_parent(records, key, parent, desc, seq, scope)
-    kids = context_children(records, parent, desc, seq, scope)
+    kids = context_children(records, parent, desc, seq, scope, budget)
     cond = with_parent[key] == kids["_ckey"]
     for c in scope:
         cond = cond & (with_parent[c] == kids[f"_c_{c}"])
@@ -223,7 +228,8 @@ def parent_child_verdict(records: DataFrame, verdict: str = "second_pass_munchab
     """A child of a parent whose verdict is ``false`` is ``false``; otherwise its own verdict."""
     pv = (records.where(_not_sentinel(key)).groupBy(key)
           .agg(F.min_by(F.lower(F.col(verdict)), F.col(seq)).alias("_pv")).withColumnRenamed(key, "_pk"))
-    j = records.join(pv, records[parent] == pv["_pk"], "left")
+    j = records.withColumn("_own", match_key(F.col(parent), _not_sentinel(parent), seq)).join(
+        pv, F.col("_own") == F.col("_pk"), "left").drop("_own")
     return j.withColumn("final_verdict",
                         F.when(F.col("_pv") == F.lit("false"), F.lit("false")).otherwise(F.lower(F.col(verdict)))
                         ).drop("_pk", "_pv")
@@ -278,13 +284,10 @@ def sample_first_n(df: DataFrame, n: int = 3, seq: str = "seq") -> DataFrame:
 # ---------------------------------------------------------------- distributions
 
 def status_distribution(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Value counts per status column, nulls dropped, long form ``(column, status, n)``."""
-    parts = [df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("status")).agg(F.count(F.lit(1)).alias("n"))
-             .select(F.lit(c).alias("column"), "status", "n") for c in columns]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Value counts per column, nulls dropped, long form ``(column, status, n)``, most frequent first; one pass."""
+    return (df.select(*columns).unpivot([], columns, "column", "status").where(F.col("status").isNotNull())
+            .groupBy("column", "status").agg(F.count(F.lit(1)).alias("n"))
+            .orderBy("column", F.col("n").desc(), "status"))
 
 
 def flag_counts(df: DataFrame, flags: list[str]) -> DataFrame:

@@ -16,7 +16,7 @@ RULE_WIDTH = 85
 
 
 def with_clean_money(df: DataFrame, cols=("total_value", "fy25_value")) -> DataFrame:
-    """Replace money text columns with cleaned DECIMAL(20,2) amounts."""
+    """Replace money text columns with cleaned DECIMAL(28,2) amounts."""
     return df.withColumns({c: money(clean_currency(c)) for c in cols})
 
 

@@ -117,7 +117,7 @@ def _decode_sql(src: str, fields: list[X.Field], error_text_: str = X.PARSE_ERRO
             conv = f"CASE WHEN lower({v}) = 'true' THEN true WHEN lower({v}) = 'false' THEN false ELSE {str(f.default).lower()} END"
             err = str(f.on_error).lower()
         elif f.kind == "int":
-            conv = f"CASE WHEN regexp_matches({v}, '^-?[0-9]{{1,9}}$') THEN CAST({v} AS INTEGER) ELSE {f.default} END"
+            conv = f"coalesce(TRY_CAST(floor(TRY_CAST({v} AS DOUBLE)) AS INTEGER), {f.default})"
             err = str(f.on_error)
         elif f.kind == "list":
             d = "[" + ", ".join(f"'{x}'" for x in f.default) + "]::VARCHAR[]"
@@ -133,8 +133,8 @@ def _decode_sql(src: str, fields: list[X.Field], error_text_: str = X.PARSE_ERRO
 
 
 def _listify(sql: str, cols: list[str]) -> str:
-    """Arrays leave as text (``'; '``-joined) so both engines compare plain strings."""
-    return f"SELECT * REPLACE ({', '.join(f'array_to_string({c}, {chr(39)}; {chr(39)}) AS {c}' for c in cols)}) FROM ({sql}) t"
+    """Arrays leave as JSON text so both engines compare plain strings."""
+    return f"SELECT * REPLACE ({', '.join(f'CAST(to_json({c}) AS VARCHAR) AS {c}' for c in cols)}) FROM ({sql}) t"
 
 
 def _q(body: str, *names: str) -> str:
@@ -166,7 +166,7 @@ def q_decode_memo_pass2(spark, sf):
 
 
 @query("list_to_text", _q(f"""
-SELECT seq, array_to_string(second_pass_violations, '; ') AS violations_text
+SELECT seq, CAST(to_json(second_pass_violations) AS VARCHAR) AS violations_text
 FROM ({_decode_sql("m_p2", X.MEMO_PASS2)}) t"""))
 def q_list_to_text(spark, sf):
     return _memo2(spark, sf).select("seq", list_to_text("second_pass_violations").alias("violations_text"))
@@ -197,6 +197,30 @@ def q_flag_by_priority(spark, sf):
     return d.where((F.lower("priority_level") == "high") & ~is_sentinel("memo_id")).select("seq", "memo_id")
 
 
+_ODD = """CASE doc_id % 9
+  WHEN 0 THEN '{"memo_id": "old", "first_pass_non_compliance_score": 1, "memo_id": "M' || CAST(doc_id AS STRING) || '", "first_pass_non_compliance_score": 8.0}'
+  WHEN 1 THEN '{"memo_id": "M1", "first_pass_non_compliance_score": 7.5}'
+  WHEN 2 THEN '{"memo_id": "M2", "first_pass_non_compliance_score": "7.5", "contains_dei": "TRUE"}'
+  WHEN 3 THEN '{"memo_id": "M3", "first_pass_non_compliance_score": 12345678901}'
+  WHEN 4 THEN '{"memo_id": "M4", "first_pass_non_compliance_score": 9'
+  WHEN 5 THEN '[{"memo_id": "M5"}]'
+  WHEN 6 THEN '{"memo_id": null, "first_pass_non_compliance_score": null, "contains_dei": 1}'
+  WHEN 7 THEN CAST(NULL AS STRING)
+  ELSE '{"memo_id": 17, "first_pass_non_compliance_score": -2.5, "contains_dei": true}' END"""
+
+
+@query("decode_memo_odd", """
+SELECT doc_id AS seq, CASE doc_id % 9 WHEN 0 THEN 'M' || doc_id WHEN 1 THEN 'M1' WHEN 2 THEN 'M2' WHEN 3 THEN 'M3' WHEN 6 THEN 'Not found'
+                            WHEN 8 THEN '17' ELSE 'Error' END AS memo_id,
+       CAST(CASE doc_id % 9 WHEN 0 THEN 8 WHEN 1 THEN 7 WHEN 2 THEN 7 WHEN 8 THEN -3 ELSE 0 END AS INTEGER) AS first_pass_non_compliance_score,
+       doc_id % 9 IN (2, 8) AS contains_dei, doc_id % 9 IN (4, 5, 7) AS is_error
+FROM documents""", note="answers with repeated keys, fractions, large numbers, cut text, arrays and nulls; expected values by hand")
+def q_decode_memo_odd(spark, sf):
+    rows = tables.load(spark, sf, "documents").selectExpr("doc_id as seq", f"{_ODD} as response")
+    return X.decode_response(rows, "response", X.MEMO_PASS1).select(
+        "seq", "memo_id", "first_pass_non_compliance_score", "contains_dei", "is_error")
+
+
 @query("flag_counts", _q(" UNION ALL ".join(
     f"SELECT '{f}' AS flag, count(*) FILTER (WHERE {f}) AS n FROM ({_decode_sql('m_p1', X.MEMO_PASS1)}) t"
     for f in MEMO_FLAGS)))
@@ -351,7 +375,7 @@ MEMO_UPSERT_COLUMNS = ["second_pass_violations", "second_pass_score", "suggested
 
 @query("upsert_memo_results", _q(f"""
 SELECT r.seq, r.memo_id,
-       CASE WHEN u.k IS NULL THEN '' ELSE array_to_string(u.v, '; ') END AS second_pass_violations,
+       CASE WHEN u.k IS NULL THEN '[]' ELSE CAST(to_json(u.v) AS VARCHAR) END AS second_pass_violations,
        CASE WHEN u.k IS NULL THEN 0 ELSE u.s END AS second_pass_score,
        CASE WHEN u.k IS NULL THEN '' ELSE u.r END AS suggested_remediation,
        CASE WHEN u.k IS NULL THEN '' ELSE u.p END AS priority_level,

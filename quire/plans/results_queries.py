@@ -21,7 +21,7 @@ def _c(spark, sf):
 
 @query("unprocessed", S.with_ctes("""
 SELECT file_path AS path FROM contracts
-WHERE file_path NOT IN (SELECT path FROM processed_log WHERE status <> 'retry')""", "processed_log"))
+WHERE file_path NOT IN (SELECT path FROM processed_log WHERE coalesce(status, '') <> 'retry')""", "processed_log"))
 def q_unprocessed(spark, sf):
     files = _c(spark, sf).select(F.col("file_path").alias("path"))
     return R.unprocessed(files, tables.processed_log(spark, sf))
@@ -63,32 +63,24 @@ def q_known_ids_update(spark, sf):
     return R.known_ids_update(ledger, new)
 
 
-def _backfill_sql(src: str) -> str:
-    d = schemas.CONTRACT_DEFAULTS
-    cols = []
-    for f in schemas.CONTRACT_RESULT.fields:
-        if f.name == "seq":
-            cols.append("seq")
-        elif isinstance(d[f.name], bool):
-            cols.append(f"coalesce({f.name}, {str(d[f.name]).lower()}) AS {f.name}")
-        else:
-            cols.append(f"coalesce({f.name}, '{d[f.name]}') AS {f.name}")
-    return f"SELECT {', '.join(cols)} FROM {src}"
+def _in_order(src: str) -> str:
+    return f"SELECT {', '.join(f.name for f in schemas.CONTRACT_RESULT.fields)} FROM {src}"
 
 
 _DROPPED = ["first_pass_munchable", "first_pass_reason", "is_idiq"]
 
 
-@query("backfill_columns", S.with_ctes(_backfill_sql(
-    "(SELECT * EXCLUDE (first_pass_munchable, first_pass_reason, is_idiq), NULL::VARCHAR AS first_pass_munchable, "
-    "NULL::VARCHAR AS first_pass_reason, NULL::BOOLEAN AS is_idiq FROM contracts) t"), "contracts"))
+@query("backfill_columns", S.with_ctes(_in_order(
+    "(SELECT * REPLACE (coalesce(second_pass_reason, '') AS second_pass_reason, '' AS first_pass_munchable, "
+    "'' AS first_pass_reason, false AS is_idiq) FROM contracts) t"), "contracts"))
 def q_backfill_columns(spark, sf):
-    return R.backfill_columns(_c(spark, sf).drop(*_DROPPED), schemas.CONTRACT_RESULT, schemas.CONTRACT_DEFAULTS)
+    """Absent columns take their default, present ones keep their nulls, but for the reason named to be filled."""
+    return R.backfill_columns(_c(spark, sf).drop(*_DROPPED), schemas.CONTRACT_RESULT, schemas.CONTRACT_DEFAULTS,
+                              fill=("second_pass_reason",))
 
 
-@query("append_results", S.with_ctes(_backfill_sql("""
-(SELECT * EXCLUDE (second_pass_munchable, second_pass_reason), NULL::VARCHAR AS second_pass_munchable,
-        NULL::VARCHAR AS second_pass_reason FROM contracts WHERE seq % 2 = 0
+@query("append_results", S.with_ctes(_in_order("""
+(SELECT * REPLACE ('' AS second_pass_munchable, '' AS second_pass_reason) FROM contracts WHERE seq % 2 = 0
  UNION ALL BY NAME SELECT * FROM contracts WHERE seq % 2 = 1) t"""), "contracts"))
 def q_append_results(spark, sf):
     c = _c(spark, sf)
@@ -133,7 +125,8 @@ SELECT c.seq, c.contract_number,
             WHEN a.a_reason IS NULL OR a.a_reason IN ('', 'nan') THEN 'No reason provided' ELSE a.a_reason END
          AS second_pass_reason,
        a.echoed_id
-FROM contracts c LEFT JOIN ({_LAST_ANSWER}) a ON c.contract_number = a.request_id""", "pass2_answers"))
+FROM contracts c LEFT JOIN ({_LAST_ANSWER}) a ON c.contract_number = a.request_id
+  AND c.contract_number NOT IN {SENT} AND c.contract_number <> ''""", "pass2_answers"))
 def q_attach_second_pass(spark, sf):
     out = R.attach_second_pass(_c(spark, sf), tables.pass2_answers(spark, sf))
     return out.select("seq", "contract_number", "second_pass_munchable", "second_pass_reason", "echoed_id")
@@ -189,10 +182,8 @@ _CHILDREN = f"""
 SELECT parent_contract_number AS ck,
        'Child Contract Descriptions:' || chr(10) ||
        string_agg('- ' || coalesce(description, '') || chr(10), '' ORDER BY seq) AS child_block
-FROM (SELECT *, row_number() OVER (PARTITION BY parent_contract_number ORDER BY seq) AS rn FROM contracts
-      WHERE parent_contract_number IS NOT NULL AND parent_contract_number <> ''
-        AND parent_contract_number NOT IN {SENT}) x
-WHERE rn <= {R.MAX_CONTEXT_CHILDREN} GROUP BY 1"""
+FROM contracts WHERE parent_contract_number IS NOT NULL AND parent_contract_number <> ''
+  AND parent_contract_number NOT IN {SENT} GROUP BY 1"""
 
 
 @query("context_parent", S.with_ctes(f"""
@@ -202,24 +193,38 @@ def q_context_parent(spark, sf):
     return R.context_parent(_c(spark, sf)).select("seq", "contract_number", "parent_description")
 
 
-@query("context_children", S.with_ctes(f"SELECT ck AS parent_contract_number, child_block FROM ({_CHILDREN}) k",
-                                       "contracts"))
+@query("context_children", S.with_ctes(f"""
+SELECT ck AS parent_contract_number, substring(child_block, 1, 10000) AS child_block FROM ({_CHILDREN}) k""", "contracts"))
 def q_context_children(spark, sf):
     return R.context_children(_c(spark, sf)).withColumnRenamed("_ckey", "parent_contract_number")
 
 
-@query("context_text", S.with_ctes(f"""
+def _context_sql(budget: int) -> str:
+    return S.with_ctes(f"""
 SELECT c.seq, c.contract_number,
        substring('Current Contract Description: ' || coalesce(c.description, '') || chr(10) || chr(10) ||
                  CASE WHEN p.parent_description IS NOT NULL
                       THEN 'Parent Contract Description: ' || p.parent_description || chr(10) || chr(10) ELSE '' END ||
-                 coalesce(k.child_block, ''), 1, 10000) AS context_text
+                 coalesce(k.child_block, ''), 1, {budget}) AS context_text
 FROM contracts c LEFT JOIN ({_PARENTS}) p ON c.parent_contract_number = p.pk
-LEFT JOIN ({_CHILDREN}) k ON c.contract_number = k.ck""", "contracts"))
+LEFT JOIN ({_CHILDREN}) k ON c.contract_number = k.ck""", "contracts")
+
+
+@query("context_text", _context_sql(10_000))
 def q_context_text(spark, sf):
     return R.context_text(_c(spark, sf)).select("seq", "contract_number", "context_text")
 
 
+@query("context_text_short", _context_sql(100), note="a small text budget")
+def q_context_text_short(spark, sf):
+    return R.context_text(_c(spark, sf), budget=100).select("seq", "contract_number", "context_text")
+
+
+@query("context_text_long", _context_sql(1_000_000), note="a budget that holds every child of the largest parent")
+def q_context_text_long(spark, sf):
+    return R.context_text(_c(spark, sf), budget=1_000_000).select("seq", "contract_number", "context_text")
+
+
 @query("build_request", S.with_ctes(f"""
 SELECT c.seq, c.contract_number,
        'Review the contract below.' || chr(10) || substring('Current Contract Description: ' || coalesce(c.description, '')

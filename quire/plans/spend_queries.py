@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.functions.currency import clean_currency, format_currency, report_line
+from quire.functions.currency import clean_currency, format_currency, money, report_line
 from quire.operators import spend
 from quire.plans import sql_parts as S
 from quire.plans.registry import query
@@ -37,6 +37,21 @@ def q_format_currency(spark, sf):
                     format_currency("fy25_value").alias("fy25_fmt"))
 
 
+@query("money_odd", """
+SELECT o_orderkey AS k, CAST(CASE o_orderkey % 5 WHEN 0 THEN 0 WHEN 1 THEN 999999.99 WHEN 2 THEN 0 WHEN 3 THEN 1000000 ELSE 12.5 END
+                             AS DOUBLE) AS amount,
+       CASE o_orderkey % 5 WHEN 0 THEN '$0.00' WHEN 1 THEN '$1000.00K' WHEN 2 THEN '$0.00' WHEN 3 THEN '$1.00M' ELSE '$12.50' END AS text,
+       CASE o_orderkey % 5 WHEN 3 THEN '$1000.00K' END AS unrounded
+FROM orders""", note="amounts too large for money, and the unit at its edge; expected values by hand")
+def q_money_odd(spark, sf):
+    odd = """case o_orderkey % 5 when 0 then concat('$', repeat('123', 12), o_orderkey) when 1 then '999,999.994'
+             when 2 then '9e999 million' when 3 then '999,999.999' else '$12.50' end"""
+    rows = tables.load(spark, sf, "orders").selectExpr("o_orderkey as k", f"{odd} as value")
+    rows = rows.withColumn("number", clean_currency("value")).withColumn("amount", money("number"))
+    return rows.select("k", F.col("amount").cast("double").alias("amount"), format_currency("amount").alias("text"),
+                       F.when(F.col("k") % 5 == 3, format_currency("number")).alias("unrounded"))
+
+
 _SPEND_TOTALS_SQL = """
 SELECT CAST(coalesce(sum(t), 0) AS DOUBLE) AS total_value, CAST(coalesce(sum(f), 0) AS DOUBLE) AS fy25_value,
        CAST(count(*) AS BIGINT) AS n_contracts

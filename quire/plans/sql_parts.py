@@ -34,7 +34,7 @@ def clean_currency(x: str) -> str:
 
 
 def money(e: str) -> str:
-    return f"CAST({e} AS DECIMAL(20,2))"
+    return f"coalesce(TRY_CAST({e} AS DECIMAL(28,2)), 0)"
 
 
 def format_currency(x: str) -> str:

@@ -37,9 +37,14 @@ MEMO_RESULT = T.StructType([
     T.StructField("priority_level", S),
 ])
 
+# Fixed defaults of back-filled memo rows: missing text is '', a missing list is empty.
 MEMO_DEFAULTS = {
-    "memo_id": "Not found", "title": "Not found", "description": "Not found", "date": "Not found",
-    "authoring_office": "Not found", "target_audience": "Not found", **{f: False for f in MEMO_FLAGS},
-    "file_path": "", "first_pass_non_compliance_score": 0, "first_pass_justification": "",
-    "second_pass_violations": None, "second_pass_score": 0, "suggested_remediation": "", "priority_level": "",
+    "memo_id": "", "title": "", "description": "", "date": "", "authoring_office": "", "target_audience": "",
+    **{f: False for f in MEMO_FLAGS}, "file_path": "", "first_pass_non_compliance_score": 0,
+    "first_pass_justification": "", "second_pass_violations": [], "second_pass_score": 0,
+    "suggested_remediation": "", "priority_level": "",
 }
+
+# Memo results as CSV: the list column is JSON text (``functions.text.list_to_text`` / ``text_to_list``).
+MEMO_RESULT_CSV = T.StructType([
+    T.StructField(f.name, S if isinstance(f.dataType, T.ArrayType) else f.dataType) for f in MEMO_RESULT.fields])

@@ -4,33 +4,39 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# what the library wants where the session's configuration says nothing
+DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
 def get_spark(master: str | None = None, app: str = "quire", shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
-    """Session tuned for the library: AQE on (coalescing + skew join), UTC, no UI."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
-        SparkSession.builder.master(master or f"local[{cpus}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-    )
-    for k, v in (extra or {}).items():
+    """The running session, or a new one.
+
+    Nothing that a cluster's configuration (``spark-submit``, ``spark-defaults.conf``) has set is overridden: the master,
+    shuffle partitions and memory are left alone unless passed here (``extra`` takes any other setting)."""
+    conf = SparkConf()
+    builder = SparkSession.builder.appName(app)
+    wanted = {k: v for k, v in DEFAULTS.items() if not conf.contains(k)}
+    if master:
+        wanted["spark.master"] = master
+    if shuffle_partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in {**wanted, **(extra or {})}.items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return builder.getOrCreate()
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -54,6 +60,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a new folder below the shared checkpoint folder, and read back."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss), never a local one."""
     checkpoint_dir(df.sparkSession)

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quire.functions.currency import clean_currency, format_currency, report_line
+from quire.functions.currency import clean_currency, format_currency, money, report_line
 
 # Golden table: input text -> cleaned value (derived by reading the reference's cleaning rules).
 GOLDEN = [
@@ -32,13 +32,26 @@ def test_clean_currency_idempotent_on_clean_values(spark):
 FORMAT = [
     (0, "$0.00"), (12.34, "$12.34"), (999.99, "$999.99"), (1000, "$1.00K"), (1234.5, "$1.23K"),
     (1_000_000, "$1.00M"), (2_345_678.9, "$2.35M"), (1_000_000_000, "$1.00B"), (-5, "$-5.00"),
-    (999_999.99, "$1000.00K"),
+    (999_999.99, "$1000.00K"), (92_233_720_368_547_758.07, "$92233720.37B"), (10**22, "$10000000000000.00B"),
 ]
 
 
+def test_amounts_that_do_not_fit(spark):
+    texts = ["$" + "1234567890123456789012" * 2, "9e999 million", "1e300 million", "$5"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = [r[0] for r in df.select(money(clean_currency("v"))).collect()]
+    assert [float(g) for g in got] == [0.0, 0.0, 0.0, 5.0]
+    assert df.select(F.sum(money(clean_currency("v")))).first()[0] == 5
+
+
+def test_unit_is_chosen_before_rounding(spark):
+    df = spark.createDataFrame([(999_999.999,), (999_999_999.999,), (float("inf"),)], "v double")
+    assert [r[0] for r in df.select(format_currency("v")).collect()] == ["$1000.00K", "$1000.00M", None]
+
+
 def test_format_currency(spark):
     df = spark.createDataFrame([(str(v), w) for v, w in FORMAT], "v string, w string")
-    for r in df.select(format_currency(F.col("v").cast("decimal(20,2)")).alias("f"), "w").collect():
+    for r in df.select(format_currency(F.col("v").cast("decimal(28,2)")).alias("f"), "w").collect():
         assert r.f == r.w
 
 

@@ -9,7 +9,8 @@ def test_decode_cases(spark):
         (3, '{"memo_id": null, "second_pass_score": null}'),                  # explicit nulls
         (4, '{"memo_id": "M4", "second_pass_score": "9", "second_pass_violations": "one text"}'),
         (5, '{"memo_id": "M5", "extra": {"x": 1}, "second_pass_score": 7.5}'),
-        (6, "not json"), (7, ""), (8, "[1, 2]"),
+        (6, "not json"), (7, ""), (8, "[1, 2]"), (9, '[{"memo_id": "M9"}]'), (10, None), (11, '{"memo_id": "cut'),
+        (12, '{"memo_id": "old", "second_pass_score": 8.0, "memo_id": "new"}'),
     ]
     df = spark.createDataFrame(cases, "seq int, response string")
     out = {r.seq: r for r in X.decode_response(df, "response", X.MEMO_PASS2).collect()}
@@ -17,8 +18,9 @@ def test_decode_cases(spark):
     assert out[2].priority_level == "low" and out[2].second_pass_violations == []
     assert out[3].memo_id == "Not found" and out[3].second_pass_score == 0
     assert out[4].second_pass_score == 9 and out[4].second_pass_violations == ["one text"]
-    assert out[5].second_pass_score == 0 and not out[5].is_error
-    for k in (6, 7, 8):
+    assert out[5].second_pass_score == 7 and not out[5].is_error
+    assert out[12].memo_id == "new" and out[12].second_pass_score == 8
+    for k in (6, 7, 8, 9, 10, 11):
         assert out[k].is_error and out[k].priority_level == "unknown" and out[k].memo_id == "Error"
 
 

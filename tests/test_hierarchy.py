@@ -66,3 +66,16 @@ def test_cycle_with_resolved_leaf(spark):
     got = {r.id: (r.height, r.resolved) for r in H.height_under(e, n).collect()}
     assert got == {"leaf": (0, True), "b": (1, False), "a": (-1, False), "self": (-1, False)}
     assert H.cycle_report(H.height_under(e, n)).first().n_unresolved == 3
+
+
+def test_chain_of_a_thousand(spark):
+    edges = [(f"p{i}", f"p{i + 1}") for i in range(1000)] + [("p3", "x"), ("p9", "x"), ("c1", "c2"), ("c2", "c1"), ("c2", "y")]
+    nodes = {n for e in edges for n in e}
+    e = spark.createDataFrame(edges, "parent string, child string")
+    n = spark.createDataFrame([(x,) for x in nodes], "id string")
+    assert sorted(r.id for r in H.subtree(e, n, "p500").collect()) == sorted(f"p{i}" for i in range(500, 1001))
+    assert {r.id for r in H.subtree(e, n, "p4").collect()} == {f"p{i}" for i in range(4, 1001)} | {"x"}
+    assert {r.id for r in H.subtree(e, n, "c1").collect()} == {"c1", "c2", "y"}
+    got = {r.id: (r.height, r.resolved) for r in H.height_under(e, n).collect()}
+    assert all(got[f"p{i}"] == (1000 - i, True) for i in range(1001))
+    assert got["c1"] == (-1, False) and got["c2"] == (1, False) and got["y"] == (0, True)

@@ -57,10 +57,32 @@ def test_chunk_rows_and_ordering(spark):
     assert order == ["true", "false", "n/a", "", ""]
 
 
-def test_first_k_per_key_exact_under_skew(spark):
-    rows = [("hot", i) for i in range(5000)] + [(f"k{i}", i) for i in range(50)]
-    df = spark.createDataFrame(rows, "key string, seq long").repartition(7)
-    got = R.first_k_per_key(df, "key", "seq", 40, salts=16).collect()
-    hot = sorted(r.seq for r in got if r.key == "hot")
-    assert hot == list(range(40))
-    assert sum(1 for r in got if r.key != "hot") == 50
+def test_children_of_a_hot_parent_are_all_kept(spark):
+    rows = [(i, f"C{i}", "hot", f"child {i}") for i in range(5000)] + [(9000 + i, f"D{i}", f"C{i}", "x") for i in range(50)]
+    df = spark.createDataFrame(rows, "seq long, contract_number string, parent_contract_number string, description string").repartition(7)
+    full = "Child Contract Descriptions:\n" + "".join(f"- child {i}\n" for i in range(5000))
+    for budget in (40, 10_000, 10**6):
+        got = {r._ckey: r.child_block for r in R.context_children(df, budget=budget).collect()}
+        assert got["hot"] == full[:budget] and len(got) == 51
+
+
+def test_sentinels_take_no_answer(spark):
+    res = spark.createDataFrame([(1, "Not found", "", ""), (2, "K", "", "")],
+                                "seq int, contract_number string, second_pass_munchable string, second_pass_reason string")
+    ans = spark.createDataFrame([("Not found", "Not found", "TRUE", "x", 1), ("K", "K", "TRUE", "y", 1)],
+                                "request_id string, contract_number string, second_pass_munchable string, second_pass_reason string, aseq int")
+    assert {r.seq: r.second_pass_munchable for r in R.attach_second_pass(res, ans).collect()} == {1: "", 2: "true"}
+
+
+def test_backfill_keeps_nulls_of_present_columns(spark):
+    from quire import schemas
+    df = spark.createDataFrame([("K", None, None)], "contract_number string, vendor_name string, first_pass_reason string")
+    row = R.backfill_columns(df, schemas.CONTRACT_RESULT, schemas.CONTRACT_DEFAULTS, fill=("first_pass_reason",)).first()
+    assert row.vendor_name is None and row.first_pass_reason == "" and row.description == "Not found" and row.is_idiq is False
+
+
+def test_list_text_round_trip(spark):
+    from quire.functions.text import list_to_text, text_to_list
+    lists = [["a; b", "c"], [], ['q"uote', "new\nline"], None]
+    df = spark.createDataFrame([(x,) for x in lists], "v array<string>")
+    assert [r[0] for r in df.select(text_to_list(list_to_text("v"))).collect()] == lists
