@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.currency import strip_ws
 from quire.functions.text import path_key
+from quire.session import stored
 
 PAGE_SCHEMA = "doc_id string, page_no int, page_text string, ok boolean"
 
@@ -63,12 +64,14 @@ def text_cache_lookup(docs: DataFrame, cache: DataFrame, extract: Callable[[Data
 
     ``version`` (e.g. ``["length", "modificationTime"]`` from a binaryFile listing) adds columns to the cache
     key, so a file rewritten in place misses the cache; the default keys on the path alone, as the reference
-    does.  Returns ``(texts, new_cache_rows)``; empty texts are never cached.  ``extract`` maps a DataFrame with
+    does.  Returns ``(texts, new_cache_rows)``; empty texts are never cached.  A key that the cache holds twice
+    counts once (its greatest text).  Extracted texts are stored once, and both results read them.  ``extract`` maps a DataFrame with
     the document columns to one with an added ``text`` column (for example a ``mapInPandas`` parser)."""
     keys = ["path_md5", *(version or [])]
     keyed = docs.withColumn("path_md5", path_key(path))
-    hits = keyed.join(cache.select(*keys, "text"), keys, "inner").withColumn("from_cache", F.lit(True))
-    misses = extract(keyed.join(cache.select(*keys), keys, "left_anti")).withColumn("from_cache", F.lit(False))
+    cached = cache.groupBy(*keys).agg(F.max("text").alias("text"))
+    hits = keyed.join(cached, keys, "inner").withColumn("from_cache", F.lit(True))
+    misses = stored(extract(keyed.join(cached.select(*keys), keys, "left_anti")).withColumn("from_cache", F.lit(False)), "extracted")
     texts = hits.unionByName(misses)
     new_rows = misses.where(F.coalesce(F.length("text"), F.lit(0)) > 0).select(*keys, "text")
     return texts, new_rows
@@ -83,15 +86,11 @@ def extract_text(files: DataFrame, parse_pages: Callable[[bytes], list[str]],
     a (empty) text and a ``no_text`` ledger status.  Runs per Arrow batch inside the tasks that read the files."""
     def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for p, data in zip(b[path], b[content]):
+            for p, data in zip(b[path], b[content]):  # the pages of one file at a time
                 try:
-                    pages = parse_pages(data)
+                    rows = [(p, i, t if isinstance(t, str) else None, isinstance(t, str)) for i, t in enumerate(parse_pages(data))]
                 except Exception:
-                    rows.append((p, 0, None, False))
-                    continue
-                for i, t in enumerate(pages):
-                    rows.append((p, i, t if isinstance(t, str) else None, isinstance(t, str)))
-            yield pd.DataFrame(rows, columns=["doc_id", "page_no", "page_text", "ok"])
+                    rows = [(p, 0, None, False)]
+                yield pd.DataFrame(rows, columns=["doc_id", "page_no", "page_text", "ok"])
 
     return files.select(path, content).mapInPandas(per_batch, PAGE_SCHEMA)

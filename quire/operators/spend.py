@@ -11,8 +11,22 @@ from pyspark.sql import functions as F
 
 from quire.functions.currency import clean_currency, format_currency, money, report_line
 
+# Fixed values that must equal the reference's report: the parent of standalone rows, the width of rules, the columns
+# (heading, width, side), the titles of file and sections, the labels of the summary lines.
 STANDALONE = "Not found"
 RULE_WIDTH = 85
+REPORT_COLUMNS = [("Rank", 4, "left"), ("Vendor", 50, "left"), ("Total Value", 15, "right"), ("FY25", 15, "right")]
+FILE_TITLE = "Contract Analysis Report - Generated on "
+SECTION_TITLES = ("All Contracts", "Munchable Contracts Only")
+TOTAL_LABEL, FY_LABEL, COUNT_LABEL = "Total Contract Value: ", "Total FY25 Value: ", "Number of Unique Contracts: "
+
+
+def top_title(n: int) -> str:
+    return f"Top {n} Vendors by Contract Value:"
+
+
+def header_line() -> str:
+    return " ".join(name.ljust(width) if side == "left" else name.rjust(width) for name, width, side in REPORT_COLUMNS)
 
 
 def with_clean_money(df: DataFrame, cols=("total_value", "fy25_value")) -> DataFrame:
@@ -117,27 +131,27 @@ def _total_lines(both: DataFrame) -> DataFrame:
     def lines(section: int, t: str, f: str, cnt: str):
         return [
             F.struct(F.lit(section).alias("section"), F.lit(3).alias("line_no"),
-                     F.concat(F.lit("Total Contract Value: "), format_currency(t)).alias("line")),
+                     F.concat(F.lit(TOTAL_LABEL), format_currency(t)).alias("line")),
             F.struct(F.lit(section).alias("section"), F.lit(4).alias("line_no"),
-                     F.concat(F.lit("Total FY25 Value: "), format_currency(f)).alias("line")),
+                     F.concat(F.lit(FY_LABEL), format_currency(f)).alias("line")),
             F.struct(F.lit(section).alias("section"), F.lit(5).alias("line_no"),
-                     F.concat(F.lit("Number of Unique Contracts: "), F.col(cnt).cast("string")).alias("line")),
+                     F.concat(F.lit(COUNT_LABEL), F.col(cnt).cast("string")).alias("line")),
         ]
     return both.select(F.inline(F.array(*lines(1, "a_t", "a_f", "a_n"), *lines(2, "s_t", "s_f", "s_n"))))
 
 
-def _fixed_lines(spark, n: int, run_ts: str) -> DataFrame:
-    rows = [(0, 0, f"Contract Analysis Report - Generated on {run_ts}"), (0, 1, "=" * RULE_WIDTH), (0, 2, "")]
-    for section, title in ((1, "All Contracts"), (2, "Munchable Contracts Only")):
+def _fixed_lines(spark, n: int, run_ts: str, titles: tuple[str, str]) -> DataFrame:
+    rows = [(0, 0, FILE_TITLE + run_ts), (0, 1, "=" * RULE_WIDTH), (0, 2, "")]
+    for section, title in enumerate(titles, 1):
         rows += [(section, 0, ""), (section, 1, title), (section, 2, "=" * RULE_WIDTH), (section, 6, ""),
-                 (section, 7, f"Top {n} Vendors by Contract Value:"), (section, 8, "-" * RULE_WIDTH),
-                 (section, 9, f"{'Rank':<4} {'Vendor':<50} {'Total Value':>15} {'FY25':>15}"),
+                 (section, 7, top_title(n)), (section, 8, "-" * RULE_WIDTH),
+                 (section, 9, header_line()),
                  (section, 10, "-" * RULE_WIDTH)]
     return spark.createDataFrame(rows, "section int, line_no int, line string")
 
 
 def spend_report(df: DataFrame, run_ts: str, subset_status: str = "second_pass_munchable", n: int = 100,
-                 subset_value: str = "true") -> DataFrame:
+                 subset_value: str = "true", titles: tuple[str, str] = SECTION_TITLES) -> DataFrame:
     """The full text report as ordered lines ``(section, line_no, line)``: file head, all contracts, status subset.
 
     ``df`` carries cleaned money.  Both sections come from one totals aggregation and one vendor aggregation
@@ -146,7 +160,7 @@ def spend_report(df: DataFrame, run_ts: str, subset_status: str = "second_pass_m
     the report is bounded (about 2 * (n + 11) lines) whatever the input size.
     """
     sub = F.coalesce(F.lower(F.col(subset_status)) == F.lit(subset_value.lower()), F.lit(False))
-    return (_fixed_lines(df.sparkSession, n, run_ts)
+    return (_fixed_lines(df.sparkSession, n, run_ts, titles)
             .unionByName(_total_lines(_both_totals(df, sub)))
             .unionByName(_vendor_lines(df, sub, n)))
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import SENTINELS, file_stem, safe_file_name
+from quire.operators.results import match_key
 
 # Fixed values that must equal the reference: the payload's entity name and flag defaults.
 PAYLOAD_ENTITY = "contract"
@@ -39,16 +40,17 @@ def archive_manifest(records: DataFrame, key: str, seq: str = "seq", path: str =
     base = records.select(seq, key, path).withColumn(
         "dest", F.when(F.col(key).isNull() | F.col(key).isin(*SENTINELS, "") | (safe == ""), F.lit(None))
         .otherwise(F.concat(safe, F.lit(".pdf"))))
-    first = base.where(F.col("dest").isNotNull()).groupBy("dest").agg(F.min(seq).alias("_first"))
-    out = base.join(first, "dest", "left")
+    base = base.withColumn("_own", match_key(F.col("dest"), F.col("dest").isNotNull(), seq))
+    first = base.where(F.col("dest").isNotNull()).groupBy("_own").agg(F.min(seq).alias("_first"))
+    out = base.join(first, "_own", "left")
     taken = F.lit(False)
     if archived is not None:
-        out = out.join(archived.select(F.col("dest"), F.lit(True).alias("_archived")), "dest", "left")
+        out = out.join(archived.select(F.col("dest").alias("_own")).distinct().withColumn("_archived", F.lit(True)), "_own", "left")
         taken = F.coalesce(F.col("_archived"), F.lit(False))
     status = (F.when(F.col("dest").isNull(), F.lit("invalid"))
               .when(taken | (F.col(seq) != F.col("_first")), F.lit("exists"))
               .otherwise(F.lit("copied")))
-    return out.withColumn("status", status).drop("_first", *(["_archived"] if archived is not None else []))
+    return out.withColumn("status", status).drop("_own", "_first", "_archived")
 
 
 def moderation_payload(docs: DataFrame, client_id: str, path: str = "path", text: str = "text") -> DataFrame:

@@ -10,7 +10,7 @@ from quire.functions.text import export_name, safe_dir_name, trim_id
 from quire.operators import hierarchy as H
 from quire.operators import org
 from quire.plans import sql_parts as S
-from quire.plans.registry import query
+from quire.plans.registry import REGISTRY, query
 from quire.session import checkpoint_dir
 from quire.sources import tables
 
@@ -124,6 +124,21 @@ def q_dedupe_positions_last(spark, sf):
     return org.dedupe_positions_last(_pos(spark, sf))
 
 
+@query("dedupe_positions_files", REGISTRY["dedupe_positions_last"].sql, note="last row wins over several files read back")
+def q_dedupe_positions_files(spark, sf):
+    path = scratch(spark, "positions-files")
+    (_pos(spark, sf).repartitionByRange(5, "seq").sortWithinPartitions("seq").drop("seq").write.option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return org.dedupe_positions_last(org.scan_positions(spark, path))
+
+
+@query("group_members", S.with_ctes(f"""
+SELECT DISTINCT lower("Cost Center Desc") AS cc_key, {trim_sql('"Position Number"')} AS position_number
+FROM positions WHERE {trim_sql('"Position Number"')} <> '' AND "Cost Center Desc" <> ''""", "positions"))
+def q_group_members(spark, sf):
+    return org.group_members(_pos(spark, sf))
+
+
 _GROUPS_SQL = f"""
 SELECT lower("Cost Center Desc") AS cc_key, arg_min_null("Cost Center Desc", seq) AS cost_center_desc,
        count(*) AS n_positions
@@ -223,8 +238,12 @@ SELECT seq, "Position Number" AS position_raw FROM positions
 WHERE {trim_sql('"Position Number"')} IN (SELECT id FROM sub) AND lower("Admin") = 'vba'""", "positions",
     extra=[NODES, EDGES, VALID, SUB], recursive=True))
 def q_subtree_export(spark, sf):
+    """Written as a CSV folder with its export name and read back."""
     p, n, e = _graph(spark, sf)
-    return _pos_sel(H.subtree_rows(p, H.subtree(e, n, ROOT), org.match_filters(p, EXPORT_FILTERS)))
+    rows = H.subtree_rows(p, H.subtree(e, n, ROOT), org.match_filters(p, EXPORT_FILTERS))
+    path = org.write_subtree(rows.withColumnRenamed("seq", "row"), scratch(spark, "subtree"), ROOT, EXPORT_FILTERS)
+    back = org.scan_positions(spark, path)
+    return back.select(F.col("row").cast("long").alias("seq"), F.col("`Position Number`").alias("position_raw"))
 
 
 @query("height_under", S.with_ctes("SELECT id, height, resolved FROM heights", "positions",

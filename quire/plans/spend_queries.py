@@ -143,7 +143,7 @@ def _report_section_sql(src: str, title: str, section: int) -> str:
         .replace("CAST(coalesce(sum(f), 0) AS DOUBLE)", "coalesce(sum(f), 0)")
     top = _TOP_SQL.replace("contracts_clean", src)
     line = S.report_line('vendor_rank', 'vendor_name', S.format_currency('total_value'), S.format_currency('fy25_value'))
-    hdr = f"{'Rank':<4} {'Vendor':<50} {'Total Value':>15} {'FY25':>15}"
+    hdr = spend.header_line()
     return f"""
 SELECT {section} AS section, line_no, line FROM (
   SELECT * FROM (VALUES (0, ''), (1, '{title}'), (2, '{"=" * 85}'), (6, ''),

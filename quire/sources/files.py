@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+ARRAY_ROWS = 10_000
+
+
 def _existing(spark: SparkSession, roots: list[str], glob: str) -> list[str]:
     """Roots that exist (a missing folder is skipped, as the reference only warns)."""
     from pyspark.errors import AnalysisException
@@ -62,19 +65,22 @@ def write_results_csv(df: DataFrame, path: str) -> None:
 
 
 def write_processed_log(paths: DataFrame, out: str, path: str = "path", fmt: str = "parquet") -> None:
-    """Append processed paths to the ledger.  ``fmt='json-array'`` writes one JSON array per partition."""
+    """Append processed paths to the ledger.  ``fmt='json-array'`` writes JSON arrays of at most ``ARRAY_ROWS`` paths,
+    one per line."""
     if fmt == "parquet":
         paths.write.mode("append").parquet(out)
         return
-    arrays = (paths.select(path).withColumn("_part", F.spark_partition_id())
-              .groupBy("_part").agg(F.to_json(F.collect_list(path)).alias("value")).select("value"))
+    row = F.monotonically_increasing_id()  # partition in the high bits, row in the partition in the low 33
+    arrays = (paths.select(path).withColumn("_part", F.shiftright(row, 33))
+              .withColumn("_block", F.floor(row.bitwiseAND((1 << 33) - 1) / ARRAY_ROWS))
+              .groupBy("_part", "_block").agg(F.to_json(F.collect_list(path)).alias("value")).select("value"))
     arrays.write.mode("append").text(out)
 
 
 def load_ledger(spark: SparkSession, path: str, fmt: str = "json-array", key: str = "path") -> DataFrame:
-    """Processed paths from JSON-array files (one array per file) or a Parquet / CSV ledger."""
+    """Processed paths from JSON-array files (one array per line) or a Parquet / CSV ledger."""
     if fmt == "json-array":
-        raw = spark.read.option("wholetext", True).text(path)
+        raw = spark.read.text(path)
         return raw.select(F.explode(F.from_json("value", "array<string>")).alias(key))
     if fmt == "csv":
         df = spark.read.option("header", True).csv(path)

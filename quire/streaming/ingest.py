@@ -10,15 +10,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The ledger, empty if its folder is not there yet; any other failure to read it is an error."""
     try:
-        return spark.read.parquet(path)
-    except Exception:  # no ledger yet
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -27,11 +31,14 @@ def process_batch(batch: DataFrame, batch_id: int, results_dir: str, ledger_dir:
                   status: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """One micro-batch: anti-join the ledger of *earlier* batches, transform, and overwrite this batch's
     ``batch_id`` partitions of results and ledger.  Running it again for the same ``batch_id`` (a replay
-    after a failure) rewrites the same partitions, so nothing is duplicated or lost."""
+    after a failure) rewrites the same partitions, so nothing is duplicated or lost.
+
+    Ledger rows with status ``retry`` do not count as done.  A key that a batch holds twice is processed once.  Of the
+    ledger only key and status of done rows are read."""
     spark = batch.sparkSession
     ledger = _read_or_empty(spark, ledger_dir, f"`{key}` string, status string, batch_id long")
-    done = ledger.where(F.col("batch_id") < F.lit(batch_id)).select(key)
-    fresh = batch.join(done, key, "left_anti")
+    done = ledger.where((F.col("batch_id") < F.lit(batch_id)) & ~F.col("status").eqNullSafe("retry")).select(key)
+    fresh = batch.dropDuplicates([key]).join(done, key, "left_anti").persist()
     out = process(fresh).withColumn("batch_id", F.lit(batch_id).cast("long"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(results_dir))
@@ -39,6 +46,7 @@ def process_batch(batch: DataFrame, batch_id: int, results_dir: str, ledger_dir:
     (marks.select(key, "status").withColumn("batch_id", F.lit(batch_id).cast("long"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
      .parquet(ledger_dir))
+    fresh.unpersist()
 
 
 def incremental_ingest(spark: SparkSession, source_dir: str, schema: T.StructType, results_dir: str,

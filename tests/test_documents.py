@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from quire.operators import documents as D
 
 
@@ -30,3 +32,12 @@ def test_extract_text_plug_point(spark):
     pages = D.extract_text(files, parse)
     got = {r.doc_id: (r.text, r.status) for r in D.drop_empty_text(D.concat_pages(pages)).collect()}
     assert got == {"/a": ("p1p2", "ok"), "/bad": ("", "no_text")}
+
+
+def test_cache_rows_that_repeat_do_not_repeat_documents(spark):
+    from quire.functions.text import path_key
+    docs = spark.createDataFrame([("/a",), ("/b",)], "file_path string")
+    cache = docs.where("file_path = '/a'").select(path_key("file_path").alias("path_md5"), F.lit("t").alias("text"))
+    texts, new = D.text_cache_lookup(docs, cache.unionByName(cache), lambda d: d.withColumn("text", F.lit("fresh")))
+    assert sorted((r.file_path, r.text, r.from_cache) for r in texts.collect()) == [("/a", "t", True), ("/b", "fresh", False)]
+    assert [r.text for r in new.collect()] == ["fresh"]

@@ -32,3 +32,27 @@ def test_replayed_batch_is_not_duplicated(spark, tmp_dir):
     res = spark.read.parquet(out)
     assert res.count() == 9 and res.select("path").distinct().count() == 9
     assert spark.read.parquet(ledger).count() == 9
+
+
+def test_retry_is_asked_again_and_a_repeated_path_is_done_once(spark, tmp_dir):
+    from quire.streaming.ingest import process_batch
+    out, ledger = f"{tmp_dir}/out", f"{tmp_dir}/ledger"
+    batch = spark.createDataFrame([("a",), ("a",), ("b",)], "path string")
+    proc = lambda df: df.withColumn("x", F.lit(1))
+    mark = lambda df: df.select("path", F.when(F.col("path") == "b", "retry").otherwise("ok").alias("status"))
+    process_batch(batch, 0, out, ledger, proc, status=mark)
+    process_batch(batch, 1, out, ledger, proc)
+    assert sorted((r.path, r.batch_id) for r in spark.read.parquet(out).collect()) == [("a", 0), ("b", 0), ("b", 1)]
+
+
+def test_a_broken_ledger_is_an_error(spark, tmp_dir):
+    import os
+
+    import pytest
+
+    from quire.streaming.ingest import process_batch
+    os.makedirs(f"{tmp_dir}/ledger")
+    with open(f"{tmp_dir}/ledger/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        process_batch(spark.createDataFrame([("a",)], "path string"), 0, f"{tmp_dir}/out", f"{tmp_dir}/ledger", lambda d: d)
