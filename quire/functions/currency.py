@@ -13,8 +13,6 @@ UNIT_STEPS = [(1_000_000_000, "B"), (1_000_000, "M"), (1_000, "K")]
 
 # Python float() syntax subset accepted on the "million" branch (sign and exponent allowed).
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-# What remains after keeping only digits and dots: a number unless it is empty or a lone dot.
-_PLAIN = r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"
 
 
 def col_of(x) -> Column:
@@ -36,33 +34,21 @@ def strip_ws(c) -> Column:
     return F.trim(col_of(c), F.lit(WHITESPACE))
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` (a lambda over a one-element array): Spark does not
-    share subexpressions that only occur inside CASE branches, so this keeps each regex to one evaluation."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def _plain_number(digits: Column) -> Column:
-    """Digits-and-dots text -> number, keeping the first dot only; empty / lone dot -> 0."""
-    dot = F.instr(digits, ".")
-    first_dot_only = F.when(
-        dot > 0,
-        F.concat(F.substring_index(digits, ".", 1), F.lit("."),
-                 F.replace(F.substring(digits, dot + 1, F.lit(1 << 30)), F.lit("."), F.lit(""))),
-    ).otherwise(digits)
-    return let(first_dot_only, lambda t: F.when(t.rlike(_PLAIN), t.try_cast("double")).otherwise(F.lit(0.0)))
+def _number(text: Column, scale: float = 1.0) -> Column:
+    return F.coalesce(text.try_cast("double") * F.lit(scale), F.lit(0.0))
 
 
 def _clean(s: Column) -> Column:
-    """``s`` is the lower-cased text without ``usd`` / ``$``, stripped."""
-    million = let(F.regexp_replace(strip_ws(F.split_part(s, F.lit(MILLION_WORD), F.lit(1))), ",", ""),
-                  lambda h: F.when(h.rlike(_NUMBER), h.try_cast("double") * F.lit(1_000_000.0)).otherwise(F.lit(0.0)))
-    m_value = let(F.regexp_replace(F.substring(s, F.lit(1), F.length(s) - 1), "[^0-9.]", ""),
-                  lambda d: F.when(d.rlike(_PLAIN), d.try_cast("double") * F.lit(1_000_000.0)).otherwise(F.lit(0.0)))
-    plain = let(F.regexp_replace(s, "[^0-9.]", ""), _plain_number)
-    return (F.when(F.instr(s, MILLION_WORD) > 0, million)
-            .when(F.endswith(s, F.lit("m")), m_value)
-            .otherwise(plain))
+    """``s`` is the lower-cased text without ``usd`` / ``$``, stripped.  Digits and dots that are no number (none, or
+    more than one dot) give 0, except that the plain branch keeps the first dot only."""
+    head = F.replace(strip_ws(F.split_part(s, F.lit(MILLION_WORD), F.lit(1))), F.lit(","), F.lit(""))
+    short = F.regexp_replace(F.substring(s, F.lit(1), F.length(s) - 1), "[^0-9.]", "")
+    digits = F.regexp_replace(s, "[^0-9.]", "")
+    plain = F.concat(F.regexp_extract(digits, r"^[0-9]*\.?", 0),
+                     F.replace(F.regexp_extract(digits, r"^[0-9]*\.?(.*)$", 1), F.lit("."), F.lit("")))
+    return (F.when(F.instr(s, MILLION_WORD) > 0, _number(F.regexp_extract(head, _NUMBER, 0), 1_000_000.0))
+            .when(F.endswith(s, F.lit("m")), _number(short, 1_000_000.0))
+            .otherwise(_number(plain)))
 
 
 def clean_currency(x) -> Column:
@@ -75,7 +61,7 @@ def clean_currency(x) -> Column:
     raw = col_of(x)
     s = strip_ws(F.replace(F.replace(strip_ws(F.lower(raw)), F.lit("usd"), F.lit("")), F.lit("$"), F.lit("")))
     return (F.when(raw.isNull() | (raw == F.lit(NOT_FOUND)), F.lit(0.0))
-            .otherwise(let(s, _clean)))
+            .otherwise(_clean(s)))
 
 
 def money(x) -> Column:
