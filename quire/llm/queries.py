@@ -35,7 +35,7 @@ select u.page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from u
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return set_join.similar_groups(table(spark, sf_dir, "documents"), set_join.Similarity(k=3, num=90, den=100))
+    return set_join.similar_groups(table(spark, sf_dir, "documents"), set_join.Similarity(k=3, num=90, den=100)).drop("th")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,9 +59,10 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), TOXIC_TRAIN)
-    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
-    return out.select("doc_id", held.alias("held_out"), "score", "predicted")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scorer = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), TOXIC_TRAIN)
+    held = F.coalesce(F.crc32(F.col("row.doc_id").cast("string")) % 5 == 0, F.lit(False))
+    return scorer.score(docs).select("row.doc_id", held.alias("held_out"), "score", "predicted")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +74,7 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return radix.exact_groups(table(spark, sf_dir, "documents"))
+    return radix.exact_groups(table(spark, sf_dir, "documents")).drop("row")
 
 
 OP10_SQL = """
