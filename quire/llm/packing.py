@@ -11,12 +11,13 @@ place in its queue, and a second pass over the stored ids cuts the pieces.  No i
 
 from __future__ import annotations
 
+import base64
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,37 +27,46 @@ from quire.llm.store import written
 PIECE = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
          "source string")
 TEXTS_PER_CALL = 256
+_ENCODERS: dict[str, tiktoken.Encoding] = {}
+
+
+def _encoder(tokenizer: str) -> tiktoken.Encoding:
+    """This worker's tokenizer; its own special token is recognised in texts, as by the ``tokenizers`` library."""
+    if tokenizer not in _ENCODERS:
+        import public_tokenizers
+
+        with open(public_tokenizers.path(tokenizer), "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        _ENCODERS[tokenizer] = tiktoken.Encoding(
+            tokenizer, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": len(ranks)})
+    return _ENCODERS[tokenizer]
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """(doc_id, source, part, row, queue, n, ids): ``queue`` counts the source's tokens before it in this part.
 
-    ``tokenizer`` names a file of the installed ``public_tokenizers`` package, so every worker finds its own copy.
+    ``tokenizer`` names a file of ranks in the installed ``public_tokenizers`` package, so every worker finds its own
+    copy.  The ids are those of the ``tokenizers`` library for the same vocabulary (add_special_tokens=False); tests
+    compare them.
     Ids are little-endian unsigned 32-bit numbers.
     """
     id_type = dict(docs.dtypes)["doc_id"]
+    end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import public_tokenizers
-        from tokenizers import Tokenizer
-
-        model = Tokenizer.from_file(public_tokenizers.path(tokenizer))
+        encoder = _encoder(tokenizer)
         part, row, queues = TaskContext.get().partitionId(), 0, {}
         for batch in batches:
             for a in range(0, batch.num_rows, TEXTS_PER_CALL):
                 some = batch.slice(a, TEXTS_PER_CALL)
                 texts = ["" if t is None else t for t in some.column(2).to_pylist()]
                 sources = some.column(1).to_pylist()
-                ids, counts, places = [], [], []
-                for source, text in zip(sources, texts, strict=True):
-                    got = np.array([*model.encode(text, add_special_tokens=False).ids, end_id], "<u4")
-                    ids.append(got.tobytes())
-                    counts.append(len(got))
+                ids = [encoder.encode_to_numpy(t, allowed_special="all").astype("<u4").tobytes() + end for t in texts]
+                counts = [len(x) // 4 for x in ids]
+                places = []
+                for source, size in zip(sources, counts, strict=True):
                     places.append(queues.get(source, 0))
-                    queues[source] = places[-1] + len(got)
+                    queues[source] = places[-1] + size
                 n = len(texts)
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), some.column(1), pa.array([part] * n, pa.int32()), pa.array(range(row, row + n), pa.int64()),
@@ -108,12 +118,12 @@ def cut(first: int, size: int, mine: int, totals: list[int], quantum: int, lengt
     return out
 
 
-def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", length: int = 1024, quantum: int = 256, end_id: int = 0,
+def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.tiktoken", length: int = 1024, quantum: int = 256, end_id: int = 0,
          id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source.
 
     The target share of a source is its share of all tokens, so every sequence has the mixture of the whole and all
-    queues end together; in any prefix of the stream a source is within one quantum of its target.  All sequences
+    queues end together; whenever a quantum ends, no source is more than one quantum behind its target.  All sequences
     are full but the last, which is padded.  Null and empty texts are just the end id.  A null source is a
     source; repeated rows are packed one by one; other columns are ignored; an empty table has no pieces.  Totals are
     one number per source, and every task holds them; sources are meant to be mixture components (up to some
