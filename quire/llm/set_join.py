@@ -1,16 +1,16 @@
 """Exact n-gram Jaccard join and its groups of linked documents, by skipping with set relations.
 
 Every text is a set of shingle hashes; texts with the same set are one set from the start.  Sets are sorted by one
-order of all shingles: by hash, frequent shingles last (frequent: counted over all documents in the low end of
-their sets).  Two sets that are similar enough share a shingle in the short prefixes of this order.
+order of all shingles: by hash, frequent shingles last and by their frequency (counted over all documents in the low
+end of their sets).  Two sets that are similar enough share a shingle in the short prefixes of this order.
 
 - Index lists are skipped by position: a pair is looked at only if the sizes of the sets and the positions of the
   shared shingle in them leave room for the needed overlap.
 - A long list belongs to many highly similar sets.  Its first set (the least position, so the least odd shingles)
   is joined with all others; what the others share follows from that set's answers: those that it links are one
-  group and are skipped among themselves, and only pairs across different groups are looked at later, again by
-  position and size.
-- Pairs that are left are bounded by parity sketches, then checked on the whole sets.
+  group and are skipped among themselves.  The first set outside that group is the next leader, and only pairs
+  across groups that no leader has joined are looked at in the end.
+- Pairs are bounded by parity sketches of the sets, then checked on the whole sets.
 
 Lists are cut by hash, long ones are plain rows in joins of two shuffles that Spark splits, and texts are hashed
 anew when whole sets are needed, so that only the sets of candidate pairs are ever stored.
@@ -35,6 +35,8 @@ LONG_LIST = 64  # longer lists are joined by way of their first set
 FLUSH = 1_500_000
 POSTING = np.dtype([("token", "<u8"), ("key", "<u8"), ("n", "<u4"), ("pos", "<u4")])
 CHUNK_BYTES = 4 << 20
+PARITY = ["p0", "p1", "p2", "p3"]
+LEADERS = 3  # sets of a long list that are joined with all others before its other pairs are looked at
 
 
 @dataclass(frozen=True)
@@ -52,6 +54,11 @@ class Similarity:
         """SQL: whether sets of sizes n and m that first meet at these positions can be similar enough."""
         return f"{self.num + self.den}L * least({n} - {pos}, {m} - {pos2}) >= {self.num}L * ({n} + {m})"
 
+    def near(self, n: str, m: str) -> str:
+        """SQL: whether the parity sketches p0 to p3 and q0 to q3 allow it: each odd bit is a shingle of one set."""
+        odd = " + ".join(f"bit_count(p{i} ^ q{i})" for i in range(4))
+        return f"{self.num + self.den}L * ({n} + {m} - ({odd})) >= {2 * self.num}L * ({n} + {m})"
+
     def enough(self, shared: np.ndarray, both: np.ndarray) -> np.ndarray:
         return (self.num + self.den) * shared >= self.num * both
 
@@ -78,6 +85,12 @@ def _sketches(values: np.ndarray, doc: np.ndarray, n: np.ndarray) -> list[bytes]
     return [odd[a // 8: b // 8] for a, b in zip(lead[:-1].tolist(), lead[1:].tolist(), strict=True)]
 
 
+def _parity(values: np.ndarray, doc: np.ndarray, texts: int) -> list[pa.Array]:
+    """Parity of the shingles per low hash byte, as four numbers of 64 bits per text."""
+    odd = np.bincount(doc * 256 + (values & np.uint64(255)).astype(np.int64), minlength=texts * 256).reshape(texts, 256) & 1
+    return [pa.array(c) for c in np.ascontiguousarray(np.packbits(odd.astype(np.uint8), 1)).view("<i8").reshape(texts, 4).T.copy()]
+
+
 def _folded(sketch: bytes, size: int) -> int:
     """The sketch of fewer bits that the same set has."""
     value, have = int.from_bytes(sketch, "little"), len(sketch)
@@ -103,7 +116,8 @@ def _scan(batches: Iterator[pa.RecordBatch], sim: Similarity, bits: int, names:
         return pa.RecordBatch.from_arrays(
             [none.cast(id_type), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()),
              pa.array(full, pa.int32()), pa.array([tokens[cuts[i]: cuts[i + 1]].tobytes() for i in full], pa.binary()),
-             pa.array([counts[cuts[i]: cuts[i + 1]].astype("<u4").tobytes() for i in full], pa.binary())], names)
+             pa.array([counts[cuts[i]: cuts[i + 1]].astype("<u4").tobytes() for i in full], pa.binary()),
+             *[none.cast(pa.int64())] * 4], names)
 
     id_type = pa.int64()
     for batch in batches:
@@ -119,7 +133,7 @@ def _scan(batches: Iterator[pa.RecordBatch], sim: Similarity, bits: int, names:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(a, b - a), pa.array(n), _signed(keys), batch.column(2).slice(a, b - a),
                  pa.array(_sketches(values, doc, n), pa.binary()), none.cast(pa.int32()), none.cast(pa.binary()),
-                 none.cast(pa.binary())], names)
+                 none.cast(pa.binary()), *_parity(values, doc, b - a)], names)
             if sum(map(len, low)) >= FLUSH:
                 yield flush()
                 low = []
@@ -131,9 +145,11 @@ def _frequent(table: pa.Table, uri: str) -> pa.Table:
     bucket = table["bucket"][0].as_py()
     tokens, counts = joined(table["tokens"], "<u8"), joined(table["counts"], "<u4")
     tokens, back = np.unique(tokens, return_inverse=True)
-    tokens = tokens[np.bincount(back, counts) >= FREQUENT]
-    put(uri, f"f-{bucket}-k", tokens)
-    return pa.table({"n": pa.array([len(tokens)], pa.int64())})
+    total = np.bincount(back, counts)
+    often = total >= FREQUENT
+    put(uri, f"f-{bucket}-k", tokens[often])
+    put(uri, f"f-{bucket}-v", np.minimum(total[often], 2**32 - 1).astype("<u4"))
+    return pa.table({"n": pa.array([int(often.sum())], pa.int64())})
 
 
 def _postings(batches: Iterator[pa.RecordBatch], sim: Similarity, uri: str, bits: int) -> Iterator[pa.RecordBatch]:
@@ -159,14 +175,14 @@ def _postings(batches: Iterator[pa.RecordBatch], sim: Similarity, uri: str, bits
             first = np.zeros(len(n), bool)
             first[np.unique(keys, return_index=True)[1]] = True
             wanted, back = np.unique(values, return_inverse=True)
-            last = files.look(wanted, "f", "k", {})[-1][back]
-            order = np.lexsort((values, last, doc))
+            often = files.look(wanted, "f", "k", {"v": ("<u4", 0)})[0][back]
+            order = np.lexsort((values, often, doc))
             place = np.arange(len(values)) - bounds[:-1][doc]  # doc is ascending either way
             order, place = order[(m := (place < sim.prefix(n)[doc]) & first[doc])], place[m]
             rows = np.empty(len(order), POSTING)
             of = doc[order]
             rows["token"], rows["key"], rows["n"], rows["pos"] = values[order], keys[of], n[of], place
-            hot = last[order]
+            hot = often[order] > 0
             parts.append(rows[~hot])
             if hot.any():
                 h = rows[hot]
@@ -240,14 +256,14 @@ class _Join:
         self.bits = bucket_bits(partitions(self.spark))
         self.uri = scratch_path(self.spark, "sets")
         sim_, bits = sim, self.bits
-        names = ["doc_id", "n", "key", "th", "sketch", "bucket", "tokens", "counts"]
+        names = ["doc_id", "n", "key", "th", "sketch", "bucket", "tokens", "counts", *PARITY]
         schema = (f"doc_id {docs.dtypes[0][1]}, n long, key long, th long, sketch binary, bucket int, tokens binary, "
-                  "counts binary")
+                  "counts binary, " + ", ".join(f"{p} long" for p in PARITY))
         self.scan = written(docs.mapInArrow(lambda it: _scan(it, sim_, bits, names), schema), "sets-scan")
         self.rows = self.scan.where("bucket is null")
         sizes = self.rows.where("n > 0").groupBy("key").agg(
-            F.min("doc_id").alias("first"), F.max("n").alias("n"), F.min(F.struct("th", "sketch")).alias("s"))
-        self.reps = written(sizes.select("key", "first", "n", "s.th", "s.sketch"), "sets-reps")
+            F.min("doc_id").alias("first"), F.max("n").alias("n"), F.min(F.struct("th", "sketch", *PARITY)).alias("s"))
+        self.reps = written(sizes.select("key", "first", "n", "s.th", "s.sketch", *[f"s.{p}" for p in PARITY]), "sets-reps")
 
     def lists(self) -> tuple[DataFrame, DataFrame]:
         """Candidate pairs (a, b) of the short lists, and the rows (token, key, n, pos) of the long ones."""
@@ -326,6 +342,27 @@ class _Join:
                        .mapInArrow(linked, "a long, b long"), "sets-links")
 
 
+_AS_SECOND = {"key": "key2", "n": "n2", "pos": "pos2", "comp": "comp2", **{p: p.replace("p", "q") for p in PARITY}}
+
+
+def _open_lists(hot: DataFrame, comps: DataFrame, led: DataFrame | None) -> DataFrame:
+    """The rows of the long lists that are not all in one group, with their group ``comp`` and whether a leader of
+    their list is in it."""
+    rows = written(hot.join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key")), "sets-open")
+    split = rows.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
+    rows = rows.join(written(split, "sets-split"), "token", "left_semi")
+    if led is None:
+        return written(rows.withColumn("led", F.lit(False)), "sets-rows")
+    groups = rows.join(led, ["token", "key"]).select("token", "comp").distinct().withColumn("led", F.lit(True))
+    return written(rows.join(written(groups, "sets-led"), ["token", "comp"], "left").withColumn("led", F.coalesce("led", F.lit(False))), "sets-rows")
+
+
+def _pairs(rows: DataFrame, others: DataFrame, sim: Similarity, across: str) -> DataFrame:
+    """Distinct pairs (a, b) of the lists that groups, sizes, positions and sketches allow."""
+    near = F.expr(f"{across} and {sim.room('n', 'pos', 'n2', 'pos2')} and {sim.near('n', 'n2')}")
+    return rows.join(others, "token").where(near).selectExpr("least(key, key2) as a", "greatest(key, key2) as b").distinct()
+
+
 def drop_similar(docs: DataFrame, sim: Similarity, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group of linked ones: the one with the least id.
 
@@ -350,24 +387,28 @@ def similar_groups(docs: DataFrame, sim: Similarity, id_col: str = "doc_id", tex
                        F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("th"))
     join = _Join(slim, sim)
     short, hot = join.lists()
-    lead = written(hot.groupBy("token").agg(F.min(F.struct("pos", "n", "key")).alias("l"), F.count("*").alias("c"))
-                   .where("c > 1").select("token", F.col("l.pos").alias("lpos"), F.col("l.n").alias("ln"),
-                                          F.col("l.key").alias("lead")), "sets-lead")
-    star = hot.join(lead, "token").where("key <> lead").where(sim.room("n", "pos", "ln", "lpos")).selectExpr(
-        "least(key, lead) as a", "greatest(key, lead) as b")
-    tried = written(short.unionByName(star).distinct(), "sets-tried")
+    tried = written(short.distinct(), "sets-tried")
     links = join.verify(tried)
     comps = connected(links)
-    # long lists whose sets are not all in one group yet: the pairs across groups
-    open_ = written(hot.join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key")), "sets-open")
-    split = written(open_.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token"), "sets-split")
-    rest = written(open_.join(split, "token", "left_semi"), "sets-rest")
-    other = rest.selectExpr("token", "key as key2", "n as n2", "pos as pos2", "comp as comp2")
-    across = rest.join(other, "token").where("comp < comp2").where(sim.room("n", "pos", "n2", "pos2")).selectExpr(
-        "least(key, key2) as a", "greatest(key, key2) as b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = written(across, "sets-across")
-    if not more.isEmpty():
-        comps = connected(links.unionByName(join.verify(more)))
+    hot = written(hot.join(join.reps.select("key", *PARITY), "key"), "sets-hot")
+    led = None  # (token, key) of the leaders so far
+    for _ in range(LEADERS):
+        rows = _open_lists(hot, comps, led)
+        lead = written(rows.where("not led").groupBy("token").agg(F.min(F.struct("pos", "n", "key", "comp", *PARITY)).alias("l")).select(
+            "token", *[F.col(f"l.{c}").alias(d) for c, d in _AS_SECOND.items()]), "sets-lead")
+        star = _pairs(rows, lead, sim, "comp <> comp2").join(tried, ["a", "b"], "left_anti")
+        star = written(star, "sets-star")
+        led = lead.selectExpr("token", "key2 as key") if led is None else led.unionByName(lead.selectExpr("token", "key2 as key"))
+        if star.isEmpty():
+            break
+        tried = tried.unionByName(star)
+        links = links.unionByName(join.verify(star))
+        comps = connected(links)
+    rows = _open_lists(hot, comps, None)
+    other = rows.select("token", *[F.col(c).alias(d) for c, d in _AS_SECOND.items()])
+    across = written(_pairs(rows, other, sim, "comp < comp2").join(tried, ["a", "b"], "left_anti"), "sets-across")
+    if not across.isEmpty():
+        comps = connected(links.unionByName(join.verify(across)))
     named = join.reps.select("key", "first").join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     least = named.groupBy("comp").agg(F.min("first").alias("component_id"))
     named = written(named.select("key", "comp").join(written(least, "sets-least"), "comp").select("key", "component_id"), "sets-named")
