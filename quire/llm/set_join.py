@@ -32,9 +32,9 @@ from quire.llm.store import partitions, scratch_path, written
 
 FREQUENT = 20  # a shingle that so many sets have in their low end goes last in the order
 LONG_LIST = 64  # longer lists are joined by way of their first set
-FLUSH = 1_500_000
+FLUSH = 500_000
 POSTING = np.dtype([("token", "<u8"), ("key", "<u8"), ("n", "<u4"), ("pos", "<u4")])
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 PARITY = ["p0", "p1", "p2", "p3"]
 LEADERS = 3  # sets of a long list that are joined with all others before its other pairs are looked at
 
