@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from quire.llm.hash_files import rows_in, store_set
 from quire.llm.store import written
 
-FIRST_DIGIT, WIDEN, WIDEST = 48, 16, 1 << 20
+FIRST_DIGIT, WIDEN, WIDEST = 512, 16, 1 << 20
 
 
 def _digit(rest: str, width: int, *lead: str) -> Column:
@@ -55,13 +55,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         shared = written(split.groupBy("digit").agg(
             F.count("*").alias("n"), F.max(F.struct("doc_id", "nr")).alias("top"), F.min("nr").alias("next"))
             .where("n > 1"), "radix-shared")
-        joined = split.join(shared, "digit", "left")
-        settled = settled.unionByName(joined.where("n is null or digit.ended").selectExpr(
-            "row", "doc_id", "if(n is null, doc_id, top.doc_id) as keep_id", "coalesce(n, 1L) as group_size",
-            "coalesce(nr = top.nr, true) as kept", "sha as text_sha256"))
+        on = F.expr("n > 1 and not digit.ended")
+        step = written(split.join(shared, "digit", "left").select(
+            "nr", "row", "doc_id", "sha", F.expr("if(n is null, doc_id, top.doc_id)").alias("keep_id"),
+            F.expr("coalesce(n, 1L)").alias("group_size"), F.expr("coalesce(nr = top.nr, true)").alias("kept"),
+            F.when(on, F.col("next")).alias("grp"),
+            F.when(on, F.expr(f"substring(rest, {width + 1})")).alias("rest")), "radix-step")
+        settled = settled.unionByName(step.where("rest is null").selectExpr(
+            "row", "doc_id", "keep_id", "group_size", "kept", "sha as text_sha256"))
         if shared.where("not digit.ended").isEmpty():
             return settled
-        rows = written(joined.where("n > 1 and not digit.ended").select(
-            "nr", "row", "doc_id", "sha", F.col("next").alias("grp"),
-            F.expr(f"substring(rest, {width + 1})").alias("rest")), "radix")
+        rows = step.where("rest is not null").select("nr", "row", "doc_id", "sha", "grp", "rest")
         width = min(width * WIDEN, WIDEST)
