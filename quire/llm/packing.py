@@ -12,6 +12,7 @@ place in its queue, and a second pass over the stored ids cuts the pieces.  No i
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -27,7 +28,10 @@ from quire.llm.store import written
 PIECE = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
          "source string")
 TEXTS_PER_CALL = 256
+END_OF_TEXT = "<|endoftext|>"
 _ENCODERS: dict[str, tiktoken.Encoding] = {}
+# Unicode's White_Space, as the pattern's \s; the pattern's look-ahead runs out of stack on about a million of them
+_LONG_BLANK = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{100000,}")
 
 
 def _encoder(tokenizer: str) -> tiktoken.Encoding:
@@ -38,10 +42,29 @@ def _encoder(tokenizer: str) -> tiktoken.Encoding:
         with open(public_tokenizers.path(tokenizer), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         _ENCODERS[tokenizer] = tiktoken.Encoding(
-            tokenizer, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": len(ranks)})
+            tokenizer, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={END_OF_TEXT: len(ranks)})
     return _ENCODERS[tokenizer]
 
 
+def encoded(encoder: tiktoken.Encoding, text: str) -> np.ndarray:
+    """The ids of ``text``; one with white space too long for the pattern is cut where the pattern cuts it: a run is
+    one piece, but for its last character where other text follows."""
+    try:
+        return encoder.encode_to_numpy(text, allowed_special="all").astype("<u4")
+    except ValueError:
+        parts, at = [], 0
+        for run in _LONG_BLANK.finditer(text):
+            stop = run.end()
+            if stop < len(text) and not text.startswith(END_OF_TEXT, stop):
+                stop -= 1
+            parts.append(encoder.encode_to_numpy(text[at: run.start()], allowed_special="all").astype("<u4"))
+            parts.append(np.array(encoder._encode_single_piece(text[run.start(): stop].encode()), "<u4"))
+            at = stop
+        if not at:
+            raise
+        return np.concatenate([*parts, encoder.encode_to_numpy(text[at:], allowed_special="all").astype("<u4")])
+
+
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """(doc_id, source, part, row, queue, n, ids): ``queue`` counts the source's tokens before it in this part.
 
@@ -61,7 +84,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                 some = batch.slice(a, TEXTS_PER_CALL)
                 texts = ["" if t is None else t for t in some.column(2).to_pylist()]
                 sources = some.column(1).to_pylist()
-                ids = [encoder.encode_to_numpy(t, allowed_special="all").astype("<u4").tobytes() + end for t in texts]
+                ids = [encoded(encoder, t).tobytes() + end for t in texts]
                 counts = [len(x) // 4 for x in ids]
                 places = []
                 for source, size in zip(sources, counts, strict=True):

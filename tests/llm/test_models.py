@@ -214,3 +214,14 @@ def test_packing_of_odd_rows(spark):
     out = packing.pack(df).collect()
     assert [(x.length, x.doc_tokens) for x in out if x.doc_id is None] == [(1, 1)]
     assert packing.pack(df.where("false")).collect() == []
+
+
+def test_ids_of_long_white_space():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder = packing._encoder("byte_bpe_50k.tiktoken")
+    for text in (" " * 2_000_000, "a b" + "\n" * 2_000_000 + "x  y", "it's" + " \t" * 1_000_000 + "<|endoftext|> x",
+                 "a" + " " * 2_000_000 + "b" + "\r\n" * 600_000 + " ", "\u3000" * 1_100_000 + "\x1c" + " " * 1_100_000 + "9"):
+        assert packing.encoded(encoder, text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
