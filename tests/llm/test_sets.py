@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from helpers import DOCS, edited, frame, hard_texts, lower, prose, with_clash, with_odd_rows, words
 
@@ -157,3 +158,24 @@ def test_window_minima_are_all_minima():
         if doc[start] == doc[start + 29]:
             want.add(min(range(start, start + 30), key=lambda i: key[i]))
     assert set(at.tolist()) == want and len(order) == len(at)
+
+
+@pytest.mark.parametrize("n, second", [(60, 30), (100, 60), (60, 5), (200, 3)])
+def test_passages_with_inner_repeats(n, second):
+    p = passages.Passages()
+    passage = prose(31, n, 10**6).split()
+    passage[second: second + 5] = passage[:5]  # a five-word shingle stands twice
+    a, b = prose(32, 40, 10**6).split() + passage, passage + prose(33, 40, 10**6).split()
+    x, y = (np.array([hash(tuple(w[i: i + 5])) for i in range(len(w) - 4)]).astype(np.uint64) for w in (a, b))
+    assert passages.aligned_spans(x, y, p) == [(40, 40 + n - 5, 0, n - 5)]
+
+
+def test_passages_of_one_refrain():
+    p = passages.Passages()
+    verse = [prose(40 + i, 12, 10**6).split() for i in range(8)]
+    song = [w for v in verse for w in [*v, *prose(39, 6, 10**6).split()]]  # the same line after every verse
+    for a, b in ((song, song), (song[9:], song), (["la"] * 3000, ["la"] * 2000), (song, prose(50, 30, 10**6).split() + song[:70])):
+        x, y = (np.array([hash(tuple(w[i: i + 5])) for i in range(len(w) - 4)]).astype(np.uint64) for w in (a, b))
+        spans = passages.aligned_spans(x, y, p)
+        long = min(len(x), 66 if b[:1] != song[:1] and len(b) == 100 else len(x))
+        assert spans[0][0] == 0 and max(s[1] for s in spans) >= min(long, len(y)) - 1
