@@ -179,3 +179,20 @@ def test_passages_of_one_refrain():
         spans = passages.aligned_spans(x, y, p)
         long = min(len(x), 66 if b[:1] != song[:1] and len(b) == 100 else len(x))
         assert spans[0][0] == 0 and max(s[1] for s in spans) >= min(long, len(y)) - 1
+
+
+def test_passages_behind_earlier_partial_copies(spark):
+    """Exact passages of two later documents, parts of which stand in earlier ones, against brute force."""
+    texts: list[str] = []
+    for t in range(60):
+        w = prose(6000 + t, 50 + t % 11, 10**6).split()
+        parts = [w[:40]] if t % 3 == 0 else [w[:30], w[-30:]] if t % 3 == 1 else [w[:22], w[20:42], w[-22:]]
+        for i, part in enumerate([*parts, w, w]):
+            texts.append(" ".join([prose(7000 + 10 * t + i, 60, 10**6), *part, prose(9000 + 10 * t + i, 60, 10**6)]))
+    texts.append(texts[-1] + " tail")
+    got = defaultdict(set)
+    for r in passages.repeated_passages(frame(spark, texts)).collect():
+        got[r.doc_id].update(range(r.start_word, r.end_word))
+        assert r.source_doc_id < r.doc_id
+    need = brute_repeats(texts, 50)
+    assert len(need) == 61 and all(v <= got[i] for i, v in need.items())
