@@ -1,9 +1,8 @@
 """Mixture-controlled packing by deficit round-robin over source queues.
 
 A source's documents form one queue of token ids.  With every token that is packed, each source earns its target
-share; a source whose deficit has reached one quantum is served one quantum from its queue.  The order in which
-deficits reach a quantum is known in closed form: quantum k of a source with n of all tokens is due at (k + 1) / n,
-so the place of every quantum in the packed stream follows from the sources' totals alone, by exact integer
+share; a sequence serves each source, in one part, the tokens that are due by its end.  When a token is due is known in
+closed form, so the parts of every sequence follow from the sources' totals and targets alone, by exact integer
 arithmetic.  Deficits are thus carried across sequences and partitions without any task that sees the whole
 stream: texts are tokenized once and stored, token counts per (stored partition, source) give each document its
 place in its queue, and a second pass over the stored ids cuts the pieces.  No ids are shuffled.
@@ -141,13 +140,98 @@ def cut(first: int, size: int, mine: int, totals: list[int], quantum: int, lengt
     return out
 
 
-def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.tiktoken", length: int = 1024, quantum: int = 256, end_id: int = 0,
-         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+class Mixture:
+    """The tokens of every source in each window of the stream, when token k of a source with weight w is due at
+    (k + 1/2) / w, rounded down to ticks of one token of the stream; equals go by the order of sources.
+
+    A drained source is due no more, so the others go on in proportion to their weights.
+    """
+
+    def __init__(self, totals: list[int], weights: list[int], length: int):
+        self.length, self.all, self.sum = length, sum(totals), sum(weights)
+        last = max((((2 * n - 1) * self.sum) // (2 * w) for n, w in zip(totals, weights, strict=True)), default=0)
+        exact = (last + 4) * 2 * max(weights, default=1) < 2**62 and 2 * max(totals, default=1) * self.sum < 2**62
+        kind = np.int64 if exact else object
+        self.n, self.w, self.last = np.array(totals, kind), np.array(weights, kind), last
+        ends = np.sort(np.append(0.0, self.n / self.w * self.sum).astype(float))  # where queues drain, by the tick
+        share = (self.w / self.sum).astype(float)
+        self.ends, self.done = ends, np.array([np.minimum(self.n.astype(float), share * e).sum() for e in ends])
+
+    def counts(self, tick: np.ndarray) -> np.ndarray:
+        """Tokens of each source due up to each tick."""
+        odd = ((tick[:, None] + 1) * 2 * self.w - 1) // self.sum
+        return np.minimum(np.maximum((odd + 1) // 2, 0), self.n)
+
+    def ranks(self, k: np.ndarray, mine: np.ndarray) -> np.ndarray:
+        """Places in the stream of the tokens ``k`` of the sources ``mine``."""
+        tick = (2 * k.astype(self.n.dtype) + 1) * self.sum // (2 * self.w[mine])
+        source = np.arange(len(self.n))
+        before = np.where(source < mine[:, None], self.counts(tick), self.counts(tick - 1))
+        return np.where(source == mine[:, None], 0, before).sum(1) + k
+
+    def first(self, place: np.ndarray) -> np.ndarray:
+        """Tokens of each source among the first ``place`` tokens of the stream."""
+        place, slack = place.astype(self.n.dtype), 2 * len(self.n) + 2
+        lo, hi = np.zeros_like(place) - 2, np.zeros_like(place) + self.last + 1
+        if self.n.dtype != object:  # the search begins near the place
+            low, high = (np.interp(place.astype(float) + side, self.done, self.ends) for side in (-slack, slack))
+            low, high = (low * (1 - 2.0**-40)).astype(np.int64) - 4, np.minimum((high * (1 + 2.0**-40)).astype(np.int64) + 4, self.last)
+            lo = np.where((low > -2) & (self.counts(low).sum(1) < place), low, lo)
+            hi = np.where(self.counts(high).sum(1) >= place, high, hi)
+        while (lo + 1 < hi).any():  # fewer than place are due at lo, and not fewer at hi
+            middle = (lo + hi) // 2
+            enough = self.counts(middle).sum(1) >= place
+            lo, hi = np.where(enough, lo, middle), np.where(enough, middle, hi)
+        base = self.counts(hi - 1)
+        equal = self.counts(hi) - base
+        left = (place - base.sum(1))[:, None] - (np.cumsum(equal, 1) - equal)
+        return base + np.minimum(np.maximum(left, 0), equal)
+
+    def cut(self, first: np.ndarray, size: np.ndarray, mine: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(row, start, length, sequence, offset) of the pieces of ``size`` tokens at places ``first`` of the queues."""
+        begin = self.ranks(first, mine) // self.length
+        upto = np.cumsum((self.ranks(first + size - 1, mine) // self.length - begin + 1).astype(np.int64))
+        step = max(1, 2**20 // len(self.n))
+        for a in range(0, int(upto[-1]) if len(upto) else 0, step):
+            at = np.arange(a, min(a + step, int(upto[-1])))
+            row = np.searchsorted(upto, at, "right")
+            window = (begin[row] + at - np.append(0, upto)[row]).astype(np.int64)
+            wanted, back = np.unique(np.append(window, window + 1), return_inverse=True)
+            edges = self.first(np.minimum(wanted * self.length, self.all))
+            low, high = edges[back[: len(at)]], edges[back[len(at):]]
+            of, each = mine[row], np.arange(len(at))
+            part = high - low
+            before = (np.cumsum(part, 1) - part)[each, of]
+            lead = np.maximum(first[row], low[each, of])
+            stop = np.minimum(first[row] + size[row], high[each, of])
+            held = np.flatnonzero(stop > lead)
+            out = (row, lead - first[row], stop - lead, window, before + lead - low[each, of])
+            yield tuple(x[held].astype(np.int64) for x in out)
+
+
+def _weights(shares: dict[str | None, float] | None, names: list[str | None], totals: list[int]) -> list[int]:
+    if shares is None:
+        return totals
+    if missing := [x for x in names if not shares.get(x, 0) > 0]:
+        raise ValueError(f"no target share above zero for the sources {missing}")
+    if all(float(shares[x]).is_integer() for x in names):
+        return [int(shares[x]) for x in names]
+    scale = 2**24 / sum(shares[x] for x in names)
+    return [max(1, round(shares[x] * scale)) for x in names]
+
+
+def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.tiktoken", length: int = 1024, quantum: int | None = None, end_id: int = 0,
+         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+         shares: dict[str | None, float] | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source.
 
-    The target share of a source is its share of all tokens, so every sequence has the mixture of the whole and all
-    queues end together; whenever a quantum ends, no source is more than one quantum behind its target.  All sequences
-    are full but the last, which is padded.  Null and empty texts are just the end id.  A null source is a
+    Every sequence has each source's share of ``length``, in one part, to within a token or two; what rounding leaves is
+    carried on, so up to any sequence a source is within 1 + its share x the number of sources of its target.
+    ``shares`` gives target proportions (any positive numbers; a source without one is an error); with None they are
+    the sources' shares of all tokens, and all queues end together.  Otherwise, when a queue has drained, the rest goes on
+    in proportion to the others' targets, so nothing is left out.  With a ``quantum``, sources are instead served by
+    that many tokens at a time, by their shares of all tokens: whenever a quantum ends, no source is more than one
+    quantum behind, but a sequence has room for few sources.  All sequences are full but the last, which is padded.  Null and empty texts are just the end id.  A null source is a
     source; repeated rows are packed one by one; other columns are ignored; an empty table has no pieces.  Totals are
     one number per source, and every task holds them; sources are meant to be mixture components (up to some
     thousands), not single documents.
@@ -160,27 +244,32 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.tiktoken", length: int
     base = written(per_part.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0).cast("long"))), "pack-base")
     ranked = base.groupBy("source").agg(F.sum("tokens").alias("tokens")).orderBy(F.col("source").asc_nulls_last()).collect()
     names, totals = {r.source: i for i, r in enumerate(ranked)}, [r.tokens for r in ranked]
+    if quantum is not None and shares is not None:
+        raise ValueError("quanta are served by the sources' shares of all tokens")
+    weights = _weights(shares, list(names), totals)
     id_type = dict(slim.dtypes)["doc_id"]
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mixture = Mixture(totals, weights, length)
         for batch in batches:
             for a in range(0, batch.num_rows, TEXTS_PER_CALL):
                 some = batch.slice(a, TEXTS_PER_CALL)
-                source, n = some.column(1).to_pylist(), some.column(2).to_pylist()
-                first, ids = some.column(3).to_pylist(), some.column(4)
-                row, made, sums = [], [], []
-                for i in range(some.num_rows):
-                    raw = memoryview(ids[i].as_buffer())
-                    for piece in cut(first[i], n[i], names[source[i]], totals, quantum, length):
-                        row.append(i)
-                        made.append(piece)
-                        sums.append(zlib.crc32(raw[4 * piece[0]: 4 * (piece[0] + piece[1])]))
-                at = pa.array(row, pa.int32())
-                start, size, seq, off = (pa.array([int(m[j]) for m in made], pa.int64()) for j in range(4))
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0).take(at), start, size, pa.array(sums, pa.int64()), some.column(2).take(at), seq, off,
-                     some.column(1).take(at)],
-                    ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
+                mine, n = np.array([names[x] for x in some.column(1).to_pylist()]), some.column(2).to_numpy()
+                first, raw = some.column(3).to_numpy(), [memoryview(x.as_buffer()) for x in some.column(4)]
+                if quantum is None:
+                    made = mixture.cut(first, n, mine)
+                else:
+                    flat = [(i, *piece) for i in range(len(raw))
+                            for piece in cut(int(first[i]), int(n[i]), int(mine[i]), totals, quantum, length)]
+                    made = [tuple(np.array([int(m[j]) for m in flat], np.int64) for j in range(5))]
+                for row, start, size, seq, off in made:
+                    sums = [zlib.crc32(raw[i][4 * x: 4 * (x + y)]) for i, x, y in zip(
+                        row.tolist(), start.tolist(), size.tolist(), strict=True)]
+                    at = pa.array(row)
+                    yield pa.RecordBatch.from_arrays(
+                        [some.column(0).take(at), pa.array(start), pa.array(size), pa.array(sums, pa.int64()), some.column(2).take(at),
+                         pa.array(seq), pa.array(off), some.column(1).take(at)],
+                        ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
 
     side = base.select("part", F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("s0"), "base")
     placed = stored.withColumns({"s": F.coalesce("source", F.lit("")), "s0": F.col("source").isNull()}).join(

@@ -225,3 +225,42 @@ def test_ids_of_long_white_space():
     for text in (" " * 2_000_000, "a b" + "\n" * 2_000_000 + "x  y", "it's" + " \t" * 1_000_000 + "<|endoftext|> x",
                  "a" + " " * 2_000_000 + "b" + "\r\n" * 600_000 + " ", "\u3000" * 1_100_000 + "\x1c" + " " * 1_100_000 + "9"):
         assert packing.encoded(encoder, text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("totals, weights", [([1000, 10, 333, 1, 333], None), ([500, 700, 20], [1, 3, 2]), ([64], None),
+                                             ([3000, 2900, 40], [10**18, 10**18, 5])])
+def test_windows_of_a_mixture_are_prefixes_of_one_order(totals, weights):
+    weights = weights or totals
+    due = sorted(((2 * k + 1) * sum(weights) // (2 * w), s, k) for s, (n, w) in enumerate(zip(totals, weights)) for k in range(n))
+    mixture = packing.Mixture(totals, weights, 64)
+    for place in range(0, len(due) + 1, 7):
+        got = mixture.first(np.array([place]))[0].tolist()
+        assert got == [sum(s == x for _, x, _ in due[:place]) for s in range(len(totals))]
+    some = due[::11]
+    ranks = mixture.ranks(np.array([k for _, _, k in some]), np.array([s for _, s, _ in some]))
+    assert ranks.tolist() == list(range(0, len(due), 11))
+
+
+@pytest.mark.parametrize("shares", [None, {f"s{i}": 1 + i % 3 for i in range(20)}])
+def test_packing_gives_every_window_its_mixture(spark, shares):
+    texts = [prose(i, 40 + i % 17) for i in range(2000)]
+    out = packing.pack(frame(spark, texts, [f"s{i % 20}" for i in range(2000)]), shares=shares).collect()
+    held, totals, queue = defaultdict(Counter), Counter(), defaultdict(int)
+    for x in sorted(out, key=lambda x: (x.sequence_id, x.offset)):
+        assert x.sequence_id * 1024 + x.offset == sum(totals.values()) and x.offset + x.length <= 1024
+        held[x.sequence_id][x.source] += x.length
+        totals[x.source] += x.length
+    for x in sorted(out, key=lambda x: (x.doc_id, x.start)):
+        assert x.start == queue[x.doc_id]
+        queue[x.doc_id] += x.length
+    assert all(queue[x.doc_id] == x.doc_tokens for x in out) and len(queue) == 2000
+    weights, left = shares or totals, dict(totals)
+    for w in range(max(held)):  # all but the last
+        if not shares or all(left[s] > held[w][s] for s in totals):  # no queue drains
+            active = [s for s in totals if left[s]]
+            for s in active:
+                assert abs(held[w][s] - 1024 * weights[s] / sum(weights[x] for x in active)) <= 4, (w, s)
+        for s in totals:
+            left[s] -= held[w][s]
+    with pytest.raises(ValueError, match="s19"):
+        packing.pack(frame(spark, texts[:20], [f"s{i}" for i in range(20)]), shares={f"s{i}": 1 for i in range(19)})
