@@ -12,7 +12,7 @@ from quire.llm.store import table
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
-LM_ORDER = 2
+LM_ORDER = 3
 TOXIC_TRAIN = "crc32(cast(doc_id as string)) % 5 != 0"
 MIX_WEIGHTS, MIX_SHARE, MIX_COPIES = [3.0, 1.0, 2.0], 1.5, 2
 

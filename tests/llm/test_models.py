@@ -264,3 +264,11 @@ def test_packing_gives_every_window_its_mixture(spark, shares):
             left[s] -= held[w][s]
     with pytest.raises(ValueError, match="s19"):
         packing.pack(frame(spark, texts[:20], [f"s{i}" for i in range(20)]), shares={f"s{i}": 1 for i in range(19)})
+
+
+def test_registered_model_has_the_default_order():
+    import inspect
+
+    from quire.llm import queries
+
+    assert inspect.signature(ngram_lm.train).parameters["order"].default == queries.LM_ORDER
