@@ -25,7 +25,7 @@ from quire.llm.url_rules import url_host
 
 PAGES_PER_GROUP = 64
 # fixed values: HTML's element names by their role
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "select"}
+RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "object", "select"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div",
          "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head",
@@ -49,8 +49,12 @@ _NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^
 _WORD = re.compile(r"[a-z]+")
 
 
-def _marks(attributes: str) -> tuple[str, bool]:
-    """The element's class and id, and whether its attributes mark it as not part of the article."""
+def _marks(attributes: str, in_article: bool = False) -> tuple[str, bool]:
+    """The element's class and id, and whether its attributes mark it as not part of the article.
+
+    Ids name the place of a heading or section, and classes like has-sidebar the layout: they mark nothing.  A header
+    inside the article is its own.
+    """
     if not attributes or attributes.isspace():
         return "", False
     label, out = "", False
@@ -60,22 +64,25 @@ def _marks(attributes: str) -> tuple[str, bool]:
             out |= value in ("", "hidden", "true")
         else:
             label += f".{value}"
-            out |= not ASIDE_WORDS.isdisjoint(_WORD.findall(value))
+            if name != "id":
+                words = {w for c in value.split() if not c.startswith(("has-", "with-", "no-")) for w in _WORD.findall(c)}
+                out |= not ASIDE_WORDS.isdisjoint(words - {"header"} if in_article else words)
     return label, out
 
 
-def read_page(text: str) -> tuple[list[str], list[tuple[str, bool, str]]]:
-    """The paths of the structural elements in page order, and the blocks as (path, aside, text)."""
+def read_page(text: str) -> tuple[list[str], list[tuple[str, str, str]]]:
+    """The paths of the structural elements in page order, and the blocks as (path, aside, text): ``aside`` is the path of
+    the innermost element around it that is not part of an article, or empty."""
     tags: list[str] = []
-    blocks: list[tuple[str, bool, str]] = []
-    stack: list[tuple[str, str, bool]] = []  # name, path, aside
+    blocks: list[tuple[str, str, str]] = []
+    stack: list[tuple[str, str, str]] = []  # name, path, aside
     run: list[str] = []
 
     def close_block() -> None:
         if run:
             words = entities.unescape("".join(run)).split()
             if words:
-                path, aside = (stack[-1][1], stack[-1][2]) if stack else ("", False)
+                path, aside = (stack[-1][1], stack[-1][2]) if stack else ("", "")
                 blocks.append((path, aside, " ".join(words)))
             run.clear()
 
@@ -120,11 +127,11 @@ def read_page(text: str) -> tuple[list[str], list[tuple[str, bool, str]]]:
         if name in CLOSED_BY_SAME:
             while stack and stack[-1][0] in CLOSED_BY_SAME[name]:
                 stack.pop()
-        label, aside = _marks(rest)
-        path = f"{stack[-1][1] if stack else ''}/{name}{label}"
         in_article = any(s[0] in ("article", "main") for s in stack)
-        out = (stack[-1][2] if stack else False) or name in ASIDE_TAGS or (aside and name not in ("html", "body", "article", "main"))
-        out = out or (name == "header" and not in_article)
+        label, aside = _marks(rest, in_article)
+        path = f"{stack[-1][1] if stack else ''}/{name}{label}"
+        marked = name in ASIDE_TAGS or (aside and name not in ("html", "body", "article", "main")) or (name == "header" and not in_article)
+        out = path if marked else stack[-1][2] if stack else ""
         tags.append(path)
         if not rest.endswith("/"):
             stack.append((name, path, out))
@@ -156,7 +163,7 @@ def _holds(path: str, container: str) -> bool:
     return path == container or path.startswith(container + "/")
 
 
-def main_element(once: list[str], blocks: list[list[tuple[str, bool, str]]]) -> str:
+def main_element(once: list[str], blocks: list[list[tuple[str, str, str]]]) -> str:
     """The template element whose slots hold the article; empty for the whole page."""
     for name in ("article", "main"):
         named = [p for p in once if re.split(r"[.]", p.rsplit("/", 1)[1])[0] == name]
@@ -186,7 +193,8 @@ def extract_group(pages: list[str]) -> list[str]:
         inside = main
         if main not in tags:  # a page of another shape than its host's template
             inside = main_element([t for t, k in Counter(tags).items() if k == 1], [blocks])
-        held = [text for path, aside, text in blocks if not aside and (not inside or _holds(path, inside))]
+        held = [text for path, aside, text in blocks if (not inside or _holds(path, inside)) and (
+            not aside or inside and not aside.startswith(inside + "/") and aside != inside)]
         out.append("\n\n".join(held))
     return out
 

@@ -123,3 +123,13 @@ def test_pages_of_one_host(spark):
 def test_template_class():
     a, b = ["/html", "/html/body", "/html/body/p", "/html/body/p"], ["/html", "/html/body", "/html/body/p"]
     assert templates.template([a, b]) == ["/html", "/html/body"]
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<body><div class='has-sidebar'><article><p>one</p></article></div></body>", "one"),
+    ("<body><div class='widget'><article><p>one</p><div class='social'>no</div></article></div></body>", "one"),
+    ("<article><div class='entry-header'><h1>top</h1></div><h2 id='related-work'>Related</h2><p id='social-effects'>two</p>"
+     "<section id='search-algorithms'><p>three</p></section></article>", "top\n\nRelated\n\ntwo\n\nthree"),
+    ("<article><p>let <math><mi>x</mi></math> be</p></article>", "let x be")])
+def test_marks_that_drop_nothing(html, text):
+    assert templates.extract_group([html]) == [text]
