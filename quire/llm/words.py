@@ -16,6 +16,11 @@ import pyarrow.compute as pc
 CHUNK_BYTES = 2 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+# other word rules: ASCII letters (and digits) and everything outside ASCII are word bytes, the rest parts words
+NOT_LETTER = np.ones(256, bool)
+NOT_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
+NOT_ALNUM = NOT_LETTER.copy()
+NOT_ALNUM[48:58] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _RNG = np.random.default_rng(20240607)
@@ -70,9 +75,9 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int
 class Words:
     """Word bounds of a chunk: ``start``/``end`` byte offsets, ``doc`` (row in the chunk), ``count`` per row."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = SPACE):
         self.data, self.offsets = data, offsets
-        inside = ~SPACE[data]
+        inside = ~breaks[data]
         first, last = inside.copy(), inside.copy()
         first[1:] &= ~inside[:-1]
         last[:-1] &= ~inside[1:]
@@ -96,6 +101,24 @@ class Words:
         return mix((sums[end] - sums[self.start]) * _powers(_INV, n + 1)[self.start] + (end - self.start).astype(np.uint64))
 
 
+class Ranges:
+    """Hashes of any byte ranges of one buffer."""
+
+    def __init__(self, data: np.ndarray):
+        self.n = len(data)
+        self.sums = np.zeros(self.n + 1, np.uint64)
+        np.cumsum(_BYTE_VALUE[data] * _powers(_MUL, self.n)[:self.n], out=self.sums[1:])
+        self.back = _powers(_INV, self.n + 1)
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
+
+    def grams(self, k: int) -> np.ndarray:
+        """The hash of the ``k`` bytes from each place on."""
+        n = self.n - k + 1
+        return mix((self.sums[k:] - self.sums[:n]) * self.back[:n] + np.uint64(k))
+
+
 def windows(values: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each run of ``k`` values inside one document, and the position of its first value."""
     n = len(values) - k + 1
