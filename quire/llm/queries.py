@@ -122,6 +122,23 @@ def op12_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP12_SQL = """
+with d as (select row_number() over (order by doc_id nulls first) as nr, doc_id, encode(coalesce(text, '')) as b from documents),
+w as (select nr, i, b[i:i + 99] as s from (select nr, b, unnest(range(1, octet_length(b) - 98)) as i from d)),
+f as (select nr, i, (nr, i) > min((nr, i)) over (partition by s) as again from w),
+m as (select nr, i, coalesce(i > lag(i) over (partition by nr order by i) + 100, true) as fresh from f where again),
+g as (select nr, i, count_if(fresh) over (partition by nr order by i) as span from m),
+sp as (select nr, span, min(i) as a, max(i) + 100 as z from g group by nr, span),
+k as (select nr, a, z, lag(z, 1, 1) over (partition by nr order by a) as since from sp),
+r as (select nr, sum(z - a)::bigint as n_removed, count(*) as n_spans, max(z) as z,
+             string_agg(substr(hex(b), 2 * since - 1, 2 * (a - since)), '' order by a) as head
+      from k join d using (nr) group by nr)
+select doc_id, octet_length(b) as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(head, '') || substr(hex(b), 2 * coalesce(z, 1) - 1))) as kept_sha256
+from d left join r using (nr)
+"""
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = strata_search.build_index(table(spark, sf_dir, "documents"))
     return strata_search.search(index, table(spark, sf_dir, "benchmark"))
@@ -159,4 +176,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_lexical_search": op13_lexical_search,
 }
 SQL = {"op1_url_filters": OP1_SQL, "op10_exact_dedup": OP10_SQL, "op11_source_divergence": OP11_SQL,
+       "op12_run_length_index": OP12_SQL,
        "op13_lexical_search": OP13_SQL}
