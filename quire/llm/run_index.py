@@ -33,7 +33,7 @@ from quire.llm.words import Ranges, mix, text_bytes
 
 GRAM = 24
 CHUNK_BYTES, BLOCK = 4 << 20, 1 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES, LINES = 4 << 20, 4096
 PLACE_BITS = np.uint64(31)
 NULL_ID = -(1 << 63)
 CHUNK = "chunk long, ids binary, ends binary, bytes binary"
@@ -408,11 +408,13 @@ def _mark(limit: int):
         # contents: equal bytes with the anchor at the same place, in the order of their first occurrence
         wide = np.zeros((len(h), int(size.max()) + 4), np.uint8)
         wide[:, :2], wide[:, 2:4] = lead.astype("<u2").view(np.uint8).reshape(-1, 2), size.astype("<u2").view(np.uint8).reshape(-1, 2)
-        line = np.repeat(np.arange(len(h)), size)
-        col = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        wide[line, col + 4] = text[np.repeat(start, size) + col]
+        for a in range(0, len(h), LINES):
+            some, from_ = size[a: a + LINES], start[a: a + LINES]
+            line = np.repeat(np.arange(a, a + len(some)), some)
+            col = np.arange(some.sum()) - np.repeat(np.cumsum(some) - some, some)
+            wide[line, col + 4] = text[np.repeat(from_, some) + col]
         _, first, content, count = np.unique(wide.view(f"V{wide.shape[1]}").ravel(), return_index=True, return_inverse=True, return_counts=True)
-        del wide, line, col
+        del wide
         by = np.argsort(first)
         rank = np.empty_like(by)
         rank[by] = np.arange(len(by))
