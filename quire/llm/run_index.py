@@ -33,7 +33,7 @@ from quire.llm.words import Ranges, mix, text_bytes
 
 GRAM = 24
 CHUNK_BYTES, BLOCK = 4 << 20, 1 << 20
-BUCKET_BYTES, LINES = 4 << 20, 4096
+BUCKET_BYTES, LINES = 1 << 20, 2048
 PLACE_BITS = np.uint64(31)
 NULL_ID = -(1 << 63)
 CHUNK = "chunk long, ids binary, ends binary, bytes binary"
@@ -211,7 +211,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, limit: int) -> tuple[np.ndarr
         cut = np.flatnonzero(first)
         one, last, at = window[cut], window[np.append(cut[1:], len(at)) - 1], at[cut]
         whole = mix(ranges.hashes(one, last + limit) + (at - one).astype(np.uint64))
-        found.append([one + a, last + a, at + a, h[at], whole])
+        found.append([one + a, last + a, at + a, mix(h[at] + np.uint64(1)), whole])  # least hashes are small: spread anew
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
