@@ -69,7 +69,9 @@ class RunIndex:
         runs = len(self.start)
         self.by_symbol = np.argsort(self.symbol, kind="stable")
         self.key = self.symbol[self.by_symbol] * runs + self.by_symbol
-        self.target = np.cumsum(length[self.by_symbol]) - length[self.by_symbol]  # where a run's first row is mapped to
+        self.target = np.empty(runs, np.int64)  # where a run's first row is mapped to
+        self.target[self.by_symbol] = np.cumsum(length[self.by_symbol]) - length[self.by_symbol]
+        self.end = self.start + length - 1
         self.zero = order[:1]
         # intervals of two or more suffixes that agree on ``limit`` bytes, with the first place of each
         k, of = prefix
@@ -96,53 +98,55 @@ class RunIndex:
             todo = todo[(equal == 8) & (most[todo] > done)]
         return out
 
-    def stream(self, data: np.ndarray, bounds: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    def stream(self, data: np.ndarray, bounds: np.ndarray, limit: int, lengths: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Matching statistics of the patterns (``data`` cut at ``bounds``), all streamed at once from their last byte
         to their first: per byte the length of the longest match that begins there and, where it is ``limit`` or more,
-        the first place of those ``limit`` bytes in the indexed texts (else -1)."""
-        size = np.diff(bounds)
-        by = np.argsort(-size, kind="stable")
-        ends, size, runs = bounds[1:][by], size[by], len(self.start)
-        row, length = np.zeros(len(by), np.int64), np.zeros(len(by), np.int64)
-        place = np.repeat(self.zero, len(by))
-        lengths, firsts = np.zeros(len(data), np.int64), np.full(len(data), -1, np.int64)
-        for t in range(int(size[0]) if len(size) else 0):
-            n = int(np.searchsorted(-size, -t))
-            at = ends[:n] - 1 - t
+        the first place of those ``limit`` bytes in the indexed texts (else -1).  Unless all ``lengths`` are asked for,
+        a pattern is left where what is before it is too short to bring its match to ``limit``."""
+        left = np.diff(bounds)  # bytes still to come
+        at = bounds[1:] - 1
+        runs, most = len(self.start), np.zeros(len(data), np.int64)
+        firsts = np.full(len(data), -1, np.int64)
+        row, length = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        place = np.repeat(self.zero, len(at))
+        while True:
+            on = left > 0 if lengths else length + left >= limit
+            on &= left > 0
+            if not on.all():
+                left, at, row, length, place = left[on], at[on], row[on], length[on], place[on]
+            if not len(at):
+                return most, firsts
             c = data[at].astype(np.int64) + 1
-            run = np.searchsorted(self.start, row[:n], "right") - 1
-            j = np.searchsorted(self.key, c * runs + run)
+            run = np.searchsorted(self.start, row, "right") - 1
             off = np.flatnonzero(self.symbol[run] != c)
-            lost = np.zeros(0, np.int64)
+            lost = off[:0]
             if len(off):  # to the nearer of the ends of the runs of c before and after
-                jo, co = j[off], c[off]
-                up, down = np.maximum(jo - 1, 0), np.minimum(jo, runs - 1)
-                has_up = (jo > 0) & (self.symbol[self.by_symbol[up]] == co)
-                has_down = (jo < runs) & (self.symbol[self.by_symbol[down]] == co)
-                last, first = self.last[self.by_symbol[up]], self.first[self.by_symbol[down]]
+                co = c[off]
+                j = np.searchsorted(self.key, co * runs + run[off])
+                up, down = self.by_symbol[np.maximum(j - 1, 0)], self.by_symbol[np.minimum(j, runs - 1)]
+                has_up, has_down = (j > 0) & (self.symbol[up] == co), (j < runs) & (self.symbol[down] == co)
+                last, first = self.last[up], self.first[down]
                 m_up = np.where(has_up, self._common(place[off], last, length[off]), -1)
                 m_down = np.where(has_down, self._common(place[off], first, length[off]), -1)
                 use = m_up >= m_down
-                j[off] = np.where(use, up, down)
-                target = self.by_symbol[j[off]]
-                end = np.append(self.start, len(self.rest))[target + 1] - 1
-                row[off] = np.where(use, end, self.start[target])
+                run[off] = np.where(use, up, down)
+                row[off] = np.where(use, self.end[up], self.start[down])
                 place[off] = np.where(use, last, first)
                 length[off] = np.maximum(m_up, m_down)
                 lost = off[length[off] < 0]
-            row[:n] = self.target[np.minimum(j, runs - 1)] + row[:n] - self.start[self.by_symbol[np.minimum(j, runs - 1)]]
-            place[:n] -= 1
-            length[:n] += 1
+            row += self.target[run] - self.start[run]
+            place -= 1
+            length += 1
             row[lost], place[lost], length[lost] = 0, self.zero[0], 0
-            lengths[at] = length[:n]
-            hit = np.flatnonzero(length[:n] >= limit)
+            most[at] = length
+            hit = np.flatnonzero(length >= limit)
             if len(hit):
                 firsts[at[hit]] = place[hit]
                 if len(self.lo):
                     k = np.searchsorted(self.lo, row[hit], "right") - 1
                     inside = (k >= 0) & (row[hit] <= self.hi[np.maximum(k, 0)])
                     firsts[at[hit[inside]]] = self.least[k[inside]]
-        return lengths, firsts
+            at, left = at - 1, left - 1
 
 
 def _suffixes(symbol: np.ndarray, rest: np.ndarray, limit: int) -> tuple[np.ndarray, tuple[int, np.ndarray]]:
@@ -192,24 +196,25 @@ def anchors(data: np.ndarray, offsets: np.ndarray, limit: int) -> tuple[np.ndarr
         piece = data[a: a + BLOCK + limit - 1]
         n = len(piece) - limit + 1
         lo = np.clip(offsets[:-1] - a, 0, n)
-        size = np.clip(offsets[1:] - limit + 1 - a, lo, n) - lo
-        window = np.arange(size.sum()) + np.repeat(lo - np.cumsum(size) + size, size)
-        if not len(window):
+        hi = np.clip(offsets[1:] - limit + 1 - a, lo, n)
+        lo, hi = lo[hi > lo], hi[hi > lo]
+        if not len(lo):
             continue
         ranges = Ranges(piece)
         h = ranges.grams(gram)
-        key = ((h >> PLACE_BITS) << PLACE_BITS) | np.arange(len(h), dtype=np.uint64)
-        padded = np.full(-(-len(key) // w) * w, ~np.uint64(0))
-        padded[:len(key)] = key
-        rows = padded.reshape(-1, w)
-        ahead = np.minimum.accumulate(rows, axis=1).ravel()
-        behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-        least = np.minimum(behind[window], ahead[window + w - 1])
-        at = (least & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))).astype(np.int64)
-        first = np.ones(len(at), bool)
-        first[1:] = at[1:] != at[:-1]
-        cut = np.flatnonzero(first)
-        one, last, at = window[cut], window[np.append(cut[1:], len(at)) - 1], at[cut]
+        least, span = ((h >> PLACE_BITS) << PLACE_BITS) | np.arange(len(h), dtype=np.uint64), 1
+        while span * 2 <= w:
+            least, span = np.minimum(least[:-span], least[span:]), span * 2
+        least = np.minimum(least[:n], least[w - span: w - span + n])
+        depth = np.zeros(n + 1, np.int8)
+        depth[lo] += 1
+        depth[hi] -= 1  # where one text's windows end and the next one's begin, nothing changes
+        inside = np.cumsum(depth[:-1], dtype=np.int8) > 0
+        new = np.ones(n + 1, bool)
+        new[1:-1] = least[1:] != least[:-1]
+        new[lo] = new[hi] = True
+        one, last = np.flatnonzero(new[:-1] & inside), np.flatnonzero(new[1:] & inside)
+        at = (least[one] & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))).astype(np.int64)
         whole = mix(ranges.hashes(one, last + limit) + (at - one).astype(np.uint64))
         found.append([one + a, last + a, at + a, mix(h[at] + np.uint64(1)), whole])  # least hashes are small: spread anew
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))

@@ -137,7 +137,8 @@ def test_matching_statistics_of_foreign_patterns():
         patterns = [*[bytes(r.choice(alphabet) for _ in range(r.randrange(0, 80))) for _ in range(10)], texts[2] + texts[3], b"zz"]
         pack = lambda xs: (np.frombuffer(b"".join(xs), np.uint8), np.append(0, np.cumsum([len(x) for x in xs])))
         index = run_index.RunIndex(*pack(texts), limit)
-        length, first = index.stream(*pack(patterns), limit)
+        length, first = index.stream(*pack(patterns), limit, lengths=True)
+        assert index.stream(*pack(patterns), limit)[1].tolist() == first.tolist()
         at = 0
         for p in patterns:
             for i in range(len(p)):
