@@ -1,19 +1,25 @@
 """Reporting-line hierarchy: edges, reachability from a root, height under every node, cycle report.
 
-Both traversals double the distance they look at in every round, so a chain of n positions takes about log2(n)
-rounds of joins instead of n.  A round's tables are written to the session's shared checkpoint folder, so each round
-plans against a plain scan and a lost executor costs at most one round.  Cycles end the rounds: no walk without a
-repeated position is longer than the number of positions.
+Subtrees are ranges of interval labels; heights are resolved from the leaves up, each edge being dropped when its
+child resolves.  A round's tables are written to the session's shared checkpoint folder, so each round plans against a
+plain scan and a lost executor costs at most one round.
 """
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import trim_id
+from quire.operators.labels import below, label_hierarchy
 from quire.operators.org import ID, SUPERVISOR
-from quire.session import stored
+from quire.session import stored, stored_counted
+
+TAIL = 200_000  # pending edges that one task finishes
 
 
 def nodes(df: DataFrame, id_col: str = ID) -> DataFrame:
@@ -35,48 +41,12 @@ def edge_validity(edges: DataFrame, node_ids: DataFrame) -> DataFrame:
             .select("parent", "child"))
 
 
-def _tops(single: DataFrame, n: int) -> DataFrame:
-    """``(id, top)``: where the chain of only supervisors above each position of ``single`` (id, up) ends, by
-    pointer jumping.  Chains that run into a cycle have no end and are left out."""
-    jump, width = single, 1
-    done = None
-    while True:
-        ahead = jump.select(F.col("id").alias("up"), F.col("up").alias("next"))
-        both = stored(jump.join(ahead, "up", "left"), "jump")
-        ended = both.where("next is null").selectExpr("id", "up as top")
-        done = ended if done is None else done.unionByName(ended)
-        jump, width = both.where("next is not null").selectExpr("id", "next as up"), width * 2
-        if width > n or jump.isEmpty():
-            return done
-        # positions that have ended still end the chains that now point at them
-        jump = stored(jump.join(done.selectExpr("id as up", "top"), "up", "left").select(
-            "id", F.coalesce("top", "up").alias("up")), "jump")
-
-
 def subtree(edges: DataFrame, node_ids: DataFrame, root: str) -> DataFrame:
     """All positions reachable from ``root`` including itself, each once; unknown root -> empty.
 
-    ``edges`` must be valid edges (both ends are positions).  Positions with one supervisor (nearly all) are
-    replaced by the top of their chain of only supervisors, which ends at the root, at a position without a
-    supervisor or at one with several.  What is left to walk round by round is the graph of the positions with
-    several supervisors."""
-    e = stored(edges.select("parent", "child").where((F.col("child") != root) & (F.col("child") != F.col("parent"))).distinct(), "edges")
-    ups = stored(e.groupBy("child").agg(F.count(F.lit(1)).alias("n"), F.min("parent").alias("up")), "ups")
-    single = ups.where("n = 1").selectExpr("child as id", "up")
-    tops = stored(_tops(single, ups.count()), "tops")
-    several = e.join(ups.where("n > 1").select("child"), "child", "left_semi")
-    hops = several.join(tops.selectExpr("id as parent", "top"), "parent", "left").select(
-        F.coalesce("top", "parent").alias("parent"), F.col("child").alias("id")).distinct()
-    # a supervisor on or under a cycle without an end is not below the root
-    hops = stored(hops.join(single.selectExpr("id as parent"), "parent", "left_anti"), "hops")
-    reached = stored(node_ids.where(F.col("id") == F.lit(root)).select("id").distinct(), "reached")
-    frontier = reached
-    while not frontier.isEmpty():
-        frontier = stored(hops.join(frontier.withColumnRenamed("id", "parent"), "parent", "left_semi").select("id").distinct()
-                          .join(reached, "id", "left_anti"), "frontier")
-        reached = reached.unionByName(frontier)
-    below = tops.join(reached.withColumnRenamed("id", "top"), "top", "left_semi").select("id")
-    return reached.unionByName(below)
+    ``edges`` must be valid edges (both ends are positions).  A range scan of the interval labels (``labels.py``); for
+    many roots, label the hierarchy once and use ``labels.below``."""
+    return below(label_hierarchy(edges, node_ids), [root]).select("id")
 
 
 def subtree_rows(raw: DataFrame, reached: DataFrame, filter_col=None, id_col: str = ID) -> DataFrame:
@@ -86,36 +56,67 @@ def subtree_rows(raw: DataFrame, reached: DataFrame, filter_col=None, id_col: st
     return rows.where(filter_col) if filter_col is not None else rows
 
 
-def height_under(edges: DataFrame, node_ids: DataFrame) -> DataFrame:
+def _peel(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rest of the rounds in one task: rows (id, child, h) are pending edges (child set), or what is known of a
+    position: its height (``done``) or the most that its resolved children give it so far."""
+    parts = [p for p in parts if len(p)]
+    if not parts:
+        return
+    rows = pd.concat(parts, ignore_index=True)
+    edges, known = rows[rows["child"].notna()], rows[rows["child"].isna()]
+    best = dict(zip(known["id"], known["h"], strict=True))
+    pending, over = Counter(edges["id"]), defaultdict(list)
+    for parent, child in zip(edges["id"], edges["child"], strict=True):
+        over[child].append(parent)
+    ready = known[known["done"]]["id"].tolist()
+    out = []
+    while ready:
+        child = ready.pop()
+        for parent in over.pop(child, ()):
+            best[parent] = max(best.get(parent, 0), best[child] + 1)
+            pending[parent] -= 1
+            if not pending[parent]:
+                ready.append(parent)
+                out.append((parent, best[parent], True))
+    out += [(p, best.get(p, -1), False) for p, n in pending.items() if n]
+    yield pd.DataFrame(out, columns=["id", "height", "resolved"])
+
+
+def height_under(edges: DataFrame, node_ids: DataFrame, tail: int = TAIL) -> DataFrame:
     """Longest downward path under every position (leaves 0).
 
     Positions that can reach a cycle are not resolved: they get 1 + the highest resolved child, or -1 without one.
     Output: ``id``, ``height``, ``resolved``.
 
-    Round k knows the pairs (position, ancestor) exactly 2^k edges apart.  A path of 2^k to 2^(k+1) - 1 edges below a
-    position is its first 2^k edges and a shorter path below where they end, so one join of the pairs with the
-    heights so far and one maximum per ancestor extend all heights.  The pairs of the next round are the pairs
-    joined with themselves; a position with one supervisor has one ancestor at each distance, so there are about as
-    many pairs as positions.  Whatever still has a descendant 2^k >= n edges below can reach a cycle."""
-    e = stored(edges.select("parent", "child").distinct(), "edges")
-    ids = stored(node_ids.select("id").distinct(), "ids")
-    pairs, width, n = e.selectExpr("child as id", "parent as up"), 1, ids.count()
-    heights = stored(pairs.selectExpr("up as id", "1 as h").distinct(), "heights")
-    while True:
-        ahead = pairs.selectExpr("id as up", "up as next")
-        pairs, width = stored(pairs.join(ahead, "up").selectExpr("id", "next as up").distinct(), "pairs"), width * 2
-        if pairs.isEmpty() or width > n:
-            break
-        longer = pairs.join(heights, "id", "left").selectExpr("up as id", f"{width} + coalesce(h, 0) as h")
-        heights = stored(heights.unionByName(longer).groupBy("id").agg(F.max("h").cast("int").alias("h")), "heights")
-    open_ = stored(pairs.selectExpr("up as id").distinct().withColumn("_open", F.lit(True)), "open")
-    known = stored(ids.join(heights, "id", "left").join(open_, "id", "left").select(
-        "id", F.coalesce("h", F.lit(0)).alias("h"), F.col("_open").isNull().alias("resolved")), "known")
-    under = (e.join(open_.selectExpr("id as parent"), "parent", "left_semi")
-             .join(known.where("resolved").selectExpr("id as child", "h"), "child")
-             .groupBy("parent").agg((F.max("h") + 1).alias("ph")).withColumnRenamed("parent", "id"))
-    return known.join(under, "id", "left").select(
-        "id", F.when(F.col("resolved"), F.col("h")).otherwise(F.coalesce("ph", F.lit(-1))).cast("int").alias("height"), "resolved")
+    Rounds from the leaves up, over what is pending only.  A round meets the pending edges with the positions that
+    the last round resolved; an edge whose child is resolved gives its parent a height and leaves the pending ones, and
+    a parent without pending edges is resolved.  Heights a parent has so far and its pending edges are combined by one
+    partial aggregate, so a position with very many children adds a row per task.  As soon as ``tail`` edges or fewer
+    are pending (deep, thin graphs), one task does the rest."""
+    e = edges.select("parent", "child").distinct()
+    leaves = node_ids.select("id").distinct().join(e.selectExpr("parent as id"), "id", "left_anti")
+    fresh = stored(leaves.selectExpr("id", "0 as h"), "resolved")
+    done, best = fresh.selectExpr("id", "h as height", "true as resolved"), None
+    e, left = stored_counted(e, "pending")
+    while left > tail:
+        met = stored(e.join(fresh.withColumnRenamed("id", "child"), "child", "left"), "pending")
+        e = met.where("h is null").select("parent", "child")
+        news = met.where("h is not null").selectExpr("parent as id", "h + 1 as h", "false as open").unionByName(
+            e.selectExpr("parent as id", "cast(null as int) as h", "true as open"))
+        if best is not None:
+            news = news.unionByName(best.selectExpr("id", "h", "false as open"))
+        state = stored(news.groupBy("id").agg(F.max("h").alias("h"), F.max("open").alias("open")), "heights")
+        fresh, best = state.where("not open").select("id", "h"), state.where("open").select("id", "h")
+        done = done.unionByName(fresh.selectExpr("id", "h as height", "true as resolved"))
+        left = e.count()
+        if fresh.isEmpty():
+            return done.unionByName(best.selectExpr("id", "coalesce(h, -1) as height", "false as resolved"))
+    rows = e.selectExpr("parent as id", "child", "cast(null as int) as h", "false as done").unionByName(
+        fresh.join(e.selectExpr("child as id"), "id", "left_semi").selectExpr("id", "cast(null as string) as child", "h", "true as done"))
+    if best is not None:
+        rows = rows.unionByName(best.where("h is not null").selectExpr("id", "cast(null as string) as child", "h", "false as done"))
+    rest = rows.repartition(1).mapInPandas(_peel, "id string, height int, resolved boolean")
+    return done.unionByName(rest)
 
 
 def cycle_report(heights: DataFrame) -> DataFrame:

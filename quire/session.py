@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 from pyspark import SparkConf
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -67,6 +67,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_counted(df: DataFrame, name: str, size: Column | None = None) -> tuple[DataFrame, int]:
+    """As ``stored``, with the number of rows (or the sum of ``size``), taken by the write itself."""
+    seen = Observation()
+    total = F.count(F.lit(1)) if size is None else F.sum(size)
+    back = stored(df.observe(seen, F.coalesce(total, F.lit(0)).alias("n")), name)
+    return back, int(seen.get["n"])
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss), never a local one."""
     checkpoint_dir(df.sparkSession)
