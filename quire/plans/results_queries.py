@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from quire import schemas
 from quire.functions.text import clean_reason, file_stem, normalize_status, path_key, safe_file_name
 from quire.operators import results as R
+from quire.operators.key_ledger import KeyLedger
+from quire.operators.versioned import VersionedTable
 from quire.plans import sql_parts as S
-from quire.plans.registry import query
+from quire.plans.org_queries import scratch
+from quire.plans.registry import REGISTRY, query
 from quire.sources import tables
 
 RUN_DATE = tables.RUN_DATE
@@ -27,6 +30,16 @@ def q_unprocessed(spark, sf):
     return R.unprocessed(files, tables.processed_log(spark, sf))
 
 
+@query("unprocessed_pruned", REGISTRY["unprocessed"].sql,
+       note="ledger of three batches, bucketed by key with Bloom filters; only folders that may hold a key are read")
+def q_unprocessed_pruned(spark, sf):
+    files = _c(spark, sf).select(F.col("file_path").alias("path"))
+    ledger, log = KeyLedger(spark, scratch(spark, "key-ledger"), buckets=16), tables.processed_log(spark, sf)
+    for batch in range(3):
+        ledger.add(log.where(F.pmod(F.xxhash64("path"), F.lit(3)) == batch), batch)
+    return ledger.unprocessed(files)
+
+
 @query("skip_reviewed", S.with_ctes(f"""
 SELECT seq, contract_number FROM pass1_records
 WHERE contract_number NOT IN (SELECT contract_number FROM reviewed_ledger WHERE contract_number NOT IN {SENT})""",
@@ -166,6 +179,21 @@ def q_upsert_results(spark, sf):
     return out.select("seq", "contract_number", *R.UPSERT_COLUMNS, "status_rank")
 
 
+@query("upsert_versioned", REGISTRY["upsert_results"].sql,
+       note="two writes to a versioned table: buckets with changed keys are rewritten, then the commit pointer moves")
+def q_upsert_versioned(spark, sf):
+    a = tables.pass2_answers(spark, sf)
+    st, rs = normalize_status("second_pass_munchable", "second_pass_reason")
+    updates = a.withColumns({"second_pass_munchable": st, "second_pass_reason": rs}).withColumnRenamed("aseq", "useq")
+    table = VersionedTable(spark, scratch(spark, "versioned"))
+    table.create(_c(spark, sf), buckets=16)
+    early = F.pmod(F.xxhash64("contract_number"), F.lit(2)) == 0  # each key's answers come in one of two batches
+    for batch in (updates.where(early), updates.where(~early)):
+        table.upsert(batch)
+    return R.order_by_status(R.upsert_results(table.read(), updates.limit(0))).select(
+        "seq", "contract_number", *R.UPSERT_COLUMNS, "status_rank")
+
+
 @query("order_by_status", S.with_ctes(f"""
 SELECT seq, contract_number, second_pass_munchable, CAST({_status_rank_sql('second_pass_munchable')} AS INTEGER)
        AS status_rank
