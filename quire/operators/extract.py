@@ -90,13 +90,18 @@ def parse_object(c: Column, fields: list[Field]) -> Column:
     """The response as a struct of strings, in one parse; of a key that occurs twice the last value stays.  The
     field ``_corrupt`` is set where the text is not JSON; the struct is null for empty or null text."""
     schema = T.StructType([*[T.StructField(f.name, T.StringType()) for f in fields], T.StructField(CORRUPT, T.StringType())])
-    return F.from_json(c, schema, {"columnNameOfCorruptRecord": CORRUPT})
+    return F.from_json(c, schema, {"columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"})
 
 
 def is_object(text: Column, parsed: Column) -> Column:
-    """Whether the text was a JSON object (a one-element array would also fill the struct)."""
+    """Whether the whole text is one JSON object (a one-element array would also fill the struct).
+
+    The parser stops where the first object ends, so the text is also read as the only element of an array and as the
+    only value of an object: anything that follows the object breaks one of the two."""
     t = F.trim(F.translate(text, "\t\r\n", "   "))
-    return F.coalesce(parsed.isNotNull() & parsed[CORRUPT].isNull() & t.startswith("{") & t.endswith("}"), F.lit(False))
+    alone = (F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1) & (
+        F.size(F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}")))) == 1)
+    return F.coalesce(parsed.isNotNull() & parsed[CORRUPT].isNull() & t.startswith("{") & t.endswith("}") & alone, F.lit(False))
 
 
 def _lit_value(v, kind: str) -> Column:

@@ -197,7 +197,7 @@ def q_flag_by_priority(spark, sf):
     return d.where((F.lower("priority_level") == "high") & ~is_sentinel("memo_id")).select("seq", "memo_id")
 
 
-_ODD = """CASE doc_id % 9
+_ODD = """CASE doc_id % 14
   WHEN 0 THEN '{"memo_id": "old", "first_pass_non_compliance_score": 1, "memo_id": "M' || CAST(doc_id AS STRING) || '", "first_pass_non_compliance_score": 8.0}'
   WHEN 1 THEN '{"memo_id": "M1", "first_pass_non_compliance_score": 7.5}'
   WHEN 2 THEN '{"memo_id": "M2", "first_pass_non_compliance_score": "7.5", "contains_dei": "TRUE"}'
@@ -206,15 +206,20 @@ _ODD = """CASE doc_id % 9
   WHEN 5 THEN '[{"memo_id": "M5"}]'
   WHEN 6 THEN '{"memo_id": null, "first_pass_non_compliance_score": null, "contains_dei": 1}'
   WHEN 7 THEN CAST(NULL AS STRING)
+  WHEN 9 THEN "{'memo_id': 'M9'}"
+  WHEN 10 THEN '{"memo_id": "M10"}{"memo_id": "M10"}'
+  WHEN 11 THEN '{"memo_id": "M11"} x}'
+  WHEN 12 THEN '{"memo_id": "M12"}, "w": {"memo_id": "M12"}'
+  WHEN 13 THEN ' {"memo_id": "M13"}],[{"memo_id": "M13"} '
   ELSE '{"memo_id": 17, "first_pass_non_compliance_score": -2.5, "contains_dei": true}' END"""
 
 
 @query("decode_memo_odd", """
-SELECT doc_id AS seq, CASE doc_id % 9 WHEN 0 THEN 'M' || doc_id WHEN 1 THEN 'M1' WHEN 2 THEN 'M2' WHEN 3 THEN 'M3' WHEN 6 THEN 'Not found'
+SELECT doc_id AS seq, CASE doc_id % 14 WHEN 0 THEN 'M' || doc_id WHEN 1 THEN 'M1' WHEN 2 THEN 'M2' WHEN 3 THEN 'M3' WHEN 6 THEN 'Not found'
                             WHEN 8 THEN '17' ELSE 'Error' END AS memo_id,
-       CAST(CASE doc_id % 9 WHEN 0 THEN 8 WHEN 1 THEN 7 WHEN 2 THEN 7 WHEN 8 THEN -3 ELSE 0 END AS INTEGER) AS first_pass_non_compliance_score,
-       doc_id % 9 IN (2, 8) AS contains_dei, doc_id % 9 IN (4, 5, 7) AS is_error
-FROM documents""", note="answers with repeated keys, fractions, large numbers, cut text, arrays and nulls; expected values by hand")
+       CAST(CASE doc_id % 14 WHEN 0 THEN 8 WHEN 1 THEN 7 WHEN 2 THEN 7 WHEN 8 THEN -3 ELSE 0 END AS INTEGER) AS first_pass_non_compliance_score,
+       doc_id % 14 IN (2, 8) AS contains_dei, doc_id % 14 IN (4, 5, 7, 9, 10, 11, 12, 13) AS is_error
+FROM documents""", note="answers with repeated keys, fractions, large numbers, cut text, arrays, nulls, single quotes and text after the object; expected values by hand")
 def q_decode_memo_odd(spark, sf):
     rows = tables.load(spark, sf, "documents").selectExpr("doc_id as seq", f"{_ODD} as response")
     return X.decode_response(rows, "response", X.MEMO_PASS1).select(

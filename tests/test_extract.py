@@ -1,3 +1,7 @@
+import json
+
+import pytest
+
 from quire.operators import extract as X
 
 
@@ -33,3 +37,25 @@ def test_rules_precedence_and_topics(spark):
     assert tags == {1: "g1,g2", 2: "g2", 3: ""}
     sc = {r.id: (r.score, r.priority) for r in X.score_and_priority(df, "text", rules).collect()}
     assert sc == {1: (8, "high"), 2: (3, "low"), 3: (1, "low")}
+
+
+ODD = ['{"memo_id": "M1"}', ' \n{"memo_id":"M1"}\t', "{'memo_id': 'M1'}", '{"memo_id": \'M1\'}', '{memo_id: "M1"}', '{"memo_id":"M1"}{"memo_id":"M2"}',
+       '{"memo_id":"M1"} x}', '{"memo_id":"M1"} {}', '{"memo_id":"M1"},{"memo_id":"M2"}', '{"memo_id":"M1"}],[{"memo_id":"M2"}',
+       '{"memo_id":"M1"}, "w":{"memo_id":"M2"}', '{"memo_id":"M1"}} {"memo_id":"M2"}', '{"memo_id":"M1",}', '{"memo_id":"M1"}]',
+       '[{"memo_id":"M1"}]', '{"memo_id":"a\nb"}', '{"memo_id":"a\\nb"}', '{}', '{"memo_id":"}{"}', '{"memo_id":"M1"} // x }', "x", '"x"', "1",
+       '{"memo_id":"M1","x":[1,{"y":"]"}]}', '{"memo_id":"M1","x":01}', '{"memo_id":"M1","x":[1,]}', '{"memo_id":"M1"', '{"memo_id":"\\q"}']
+
+
+@pytest.mark.parametrize("col", ["memo_id"])
+def test_accepts_what_the_json_module_accepts(spark, col):
+    def ok(text):
+        try:
+            return isinstance(json.loads(text), dict)
+        except ValueError:
+            return False
+
+    df = spark.createDataFrame(list(enumerate(ODD)), "seq int, response string")
+    got = {r.seq: (r.is_error, r[col]) for r in X.decode_response(df, "response", X.MEMO_PASS1).collect()}
+    for i, text in enumerate(ODD):
+        want = (not ok(text), json.loads(text).get(col, "Not found") if ok(text) else "Error")
+        assert got[i] == want, text
