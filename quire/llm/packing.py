@@ -14,29 +14,34 @@ import base64
 import re
 import zlib
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.store import written
 
+if TYPE_CHECKING:
+    from tiktoken import Encoding
+
 PIECE = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
          "source string")
-TEXTS_PER_CALL = 256
+CALL_BYTES = 1 << 20  # of texts or ids that are worked on at once
 END_OF_TEXT = "<|endoftext|>"
-_ENCODERS: dict[str, tiktoken.Encoding] = {}
+_ENCODERS: dict[str, Encoding] = {}
 # Unicode's White_Space, as the pattern's \s; the pattern's look-ahead runs out of stack on about a million of them
 _LONG_BLANK = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{100000,}")
 
 
-def _encoder(tokenizer: str) -> tiktoken.Encoding:
+def _encoder(tokenizer: str) -> Encoding:
     """This worker's tokenizer; its own special token is recognised in texts, as by the ``tokenizers`` library."""
     if tokenizer not in _ENCODERS:
         import public_tokenizers
+        import tiktoken
 
         with open(public_tokenizers.path(tokenizer), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
@@ -45,7 +50,7 @@ def _encoder(tokenizer: str) -> tiktoken.Encoding:
     return _ENCODERS[tokenizer]
 
 
-def encoded(encoder: tiktoken.Encoding, text: str) -> np.ndarray:
+def encoded(encoder: Encoding, text: str) -> np.ndarray:
     """The ids of ``text``; one with white space too long for the pattern is cut where the pattern cuts it: a run is
     one piece, but for its last character where other text follows."""
     try:
@@ -64,27 +69,37 @@ def encoded(encoder: tiktoken.Encoding, text: str) -> np.ndarray:
         return np.concatenate([*parts, encoder.encode_to_numpy(text[at:], allowed_special="all").astype("<u4")])
 
 
+def _calls(sizes: np.ndarray, limit: int = CALL_BYTES) -> Iterator[tuple[int, int]]:
+    """(first row, number of rows) of runs of rows of about ``limit`` bytes; a larger row is alone."""
+    ends, row = np.cumsum(sizes), 0
+    while row < len(sizes):
+        end = max(row + 1, int(np.searchsorted(ends, (ends[row - 1] if row else 0) + limit, "right")))
+        yield row, end - row
+        row = end
+
+
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """(doc_id, source, part, row, queue, n, ids): ``queue`` counts the source's tokens before it in this part.
 
     ``tokenizer`` names a file of ranks in the installed ``public_tokenizers`` package, so every worker finds its own
     copy.  The ids are those of the ``tokenizers`` library for the same vocabulary (add_special_tokens=False); tests
     compare them.
-    Ids are little-endian unsigned 32-bit numbers.
+    Ids are little-endian unsigned numbers, of 16 bits where the whole vocabulary fits, else of 32.
     """
     id_type = dict(docs.dtypes)["doc_id"]
-    end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
+        kind = "<u2" if max(encoder.n_vocab, end_id + 1) <= 1 << 16 else "<u4"
+        end = np.array([end_id], kind).tobytes()
         part, row, queues = TaskContext.get().partitionId(), 0, {}
         for batch in batches:
-            for a in range(0, batch.num_rows, TEXTS_PER_CALL):
-                some = batch.slice(a, TEXTS_PER_CALL)
+            for a, many in _calls(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy().astype(np.int64)):
+                some = batch.slice(a, many)
                 texts = ["" if t is None else t for t in some.column(2).to_pylist()]
                 sources = some.column(1).to_pylist()
-                ids = [encoded(encoder, t).tobytes() + end for t in texts]
-                counts = [len(x) // 4 for x in ids]
+                ids = [encoded(encoder, t).astype(kind).tobytes() + end for t in texts]
+                counts = [len(x) // len(end) for x in ids]
                 places = []
                 for source, size in zip(sources, counts, strict=True):
                     places.append(queues.get(source, 0))
@@ -220,6 +235,11 @@ def _weights(shares: dict[str | None, float] | None, names: list[str | None], to
     return [max(1, round(shares[x] * scale)) for x in names]
 
 
+def _wide(ids: pa.Buffer, n: int) -> memoryview:
+    """``n`` stored ids as bytes of 32-bit numbers."""
+    return memoryview(ids) if len(ids) == 4 * n else memoryview(np.frombuffer(ids, "<u2").astype("<u4")).cast("B")
+
+
 def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.tiktoken", length: int = 1024, quantum: int | None = None, end_id: int = 0,
          id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
          shares: dict[str | None, float] | None = None) -> DataFrame:
@@ -252,10 +272,11 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.tiktoken", length: int
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mixture = Mixture(totals, weights, length)
         for batch in batches:
-            for a in range(0, batch.num_rows, TEXTS_PER_CALL):
-                some = batch.slice(a, TEXTS_PER_CALL)
+            for a, many in _calls(batch.column(2).to_numpy() * 4):
+                some = batch.slice(a, many)
                 mine, n = np.array([names[x] for x in some.column(1).to_pylist()]), some.column(2).to_numpy()
-                first, raw = some.column(3).to_numpy(), [memoryview(x.as_buffer()) for x in some.column(4)]
+                first = some.column(3).to_numpy()
+                raw = [_wide(x.as_buffer(), size) for x, size in zip(some.column(4), n.tolist(), strict=True)]
                 if quantum is None:
                     made = mixture.cut(first, n, mine)
                 else:
