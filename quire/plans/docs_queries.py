@@ -8,14 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quire import schemas
 from quire.functions.text import error_text, is_sentinel, list_to_text, truncate_text
 from quire.operators import documents as D
 from quire.operators import extract as X
 from quire.operators import results as R
 from quire.plans import sql_parts as S
+from quire.plans.org_queries import scratch
 from quire.plans.registry import query
 from quire.schemas import MEMO_FLAGS
-from quire.sources import tables
+from quire.sources import files, tables
 
 # ---------------------------------------------------------------- responses (shared SQL)
 
@@ -172,6 +174,18 @@ def q_list_to_text(spark, sf):
     return _memo2(spark, sf).select("seq", list_to_text("second_pass_violations").alias("violations_text"))
 
 
+@query("memo_results_csv", _q(f"""
+SELECT seq, nullif(memo_id, '') AS memo_id, CAST(NULL AS VARCHAR) AS title, CAST(to_json(second_pass_violations) AS VARCHAR) AS violations_text,
+       second_pass_score, nullif(suggested_remediation, '') AS suggested_remediation, nullif(priority_level, '') AS priority_level
+FROM ({_decode_sql("m_p2", X.MEMO_PASS2)}) t"""), note="memo results written as CSV with their list column, and read back")
+def q_memo_results_csv(spark, sf):
+    path = scratch(spark, "memo-csv")
+    files.write_results_csv(R.backfill_columns(_memo2(spark, sf), schemas.MEMO_RESULT, schemas.MEMO_DEFAULTS), path)
+    back = files.scan_results_csv(spark, path, schemas.MEMO_RESULT)
+    return back.select("seq", "memo_id", "title", list_to_text("second_pass_violations").alias("violations_text"), "second_pass_score",
+                       "suggested_remediation", "priority_level")
+
+
 @query("error_record", _q(f"""
 SELECT seq, contract_number, description, first_pass_munchable, first_pass_reason
 FROM ({_decode_sql("c_p1", X.CONTRACT_PASS1)}) t WHERE is_error"""))

@@ -246,6 +246,23 @@ def q_subtree_export(spark, sf):
     return back.select(F.col("row").cast("long").alias("seq"), F.col("`Position Number`").alias("position_raw"))
 
 
+CRITERION = ("cost_center", "Nation 6/East")
+
+
+@query("subtree_export_criterion", S.with_ctes(f"""
+SELECT seq, "Position Number" AS position_raw, 'org_chart_cost_center_Nation_6_East_{ROOT}_admin_vba_{RUN_TS}' AS folder,
+       'org_data_cost_center_Nation_6_East_{ROOT}_admin_vba_{RUN_TS}.csv' AS file FROM positions
+WHERE {trim_sql('"Position Number"')} IN (SELECT id FROM sub) AND lower("Admin") = 'vba'""", "positions",
+    extra=[NODES, EDGES, VALID, SUB], recursive=True), note="the criterion stands in the names of the folder and of the file")
+def q_subtree_export_criterion(spark, sf):
+    p, n, e = _graph(spark, sf)
+    rows = H.subtree_rows(p, H.subtree(e, n, ROOT), org.match_filters(p, EXPORT_FILTERS))
+    path = org.write_subtree(rows.withColumnRenamed("seq", "row"), scratch(spark, "subtree"), ROOT, EXPORT_FILTERS, CRITERION, RUN_TS)
+    back = org.scan_positions(spark, path).withColumn("parts", F.split(F.input_file_name(), "/"))
+    return back.select(F.col("row").cast("long").alias("seq"), F.col("`Position Number`").alias("position_raw"),
+                       F.element_at("parts", -3).alias("folder"), F.element_at("parts", -2).alias("file"))
+
+
 @query("height_under", S.with_ctes("SELECT id, height, resolved FROM heights", "positions",
                                    extra=HEIGHT_CTES, recursive=True))
 def q_height_under(spark, sf):

@@ -44,7 +44,3 @@ MEMO_DEFAULTS = {
     "first_pass_justification": "", "second_pass_violations": [], "second_pass_score": 0,
     "suggested_remediation": "", "priority_level": "",
 }
-
-# Memo results as CSV: the list column is JSON text (``functions.text.list_to_text`` / ``text_to_list``).
-MEMO_RESULT_CSV = T.StructType([
-    T.StructField(f.name, S if isinstance(f.dataType, T.ArrayType) else f.dataType) for f in MEMO_RESULT.fields])

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.functions.text import list_to_text, text_to_list
+
 
 ARRAY_ROWS = 10_000
 
@@ -54,12 +56,18 @@ def scan_results_csv(spark: SparkSession, path: str, schema: T.StructType) -> Da
     """Result CSV with header under a declared schema (no type inference: ``true``/``n/a`` stay text).
 
     Empty text cells read back as null, as in the reference's CSV round trip; the declared schema keeps
-    ``true`` / ``n/a`` as text (no boolean or NaN drift)."""
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
-            .csv(path))
+    ``true`` / ``n/a`` as text (no boolean or NaN drift).  Columns that are lists of strings are read from the text that
+    ``write_results_csv`` makes of them."""
+    lists = [f.name for f in schema.fields if isinstance(f.dataType, T.ArrayType)]
+    flat = T.StructType([T.StructField(f.name, T.StringType()) if f.name in lists else f for f in schema.fields])
+    rows = (spark.read.schema(flat).option("header", True).option("multiLine", True).option("escape", '"').csv(path))
+    return rows.withColumns({c: text_to_list(f"`{c}`") for c in lists}) if lists else rows
 
 
 def write_results_csv(df: DataFrame, path: str) -> None:
+    """Result rows as header CSV; a list of strings is one cell of JSON text."""
+    lists = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
+    df = df.withColumns({c: list_to_text(f"`{c}`") for c in lists}) if lists else df
     (df.write.mode("overwrite").option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
