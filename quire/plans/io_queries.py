@@ -15,9 +15,9 @@ from quire.operators import sync
 from quire.plans import docs_queries as DQ
 from quire.plans import sql_parts as S
 from quire.plans.org_queries import scratch
-from quire.plans.registry import query
-from quire.sources import files, tables
-from quire.streaming.ingest import incremental_ingest
+from quire.plans.registry import REGISTRY, query
+from quire.sources import files, folders, tables
+from quire.streaming.ingest import incremental_ingest, keyed_ingest
 
 CLIENT_ID = "client-1"
 
@@ -144,8 +144,7 @@ def q_scan_documents(spark, sf):
 def q_all_pdfs(spark, sf):
     """Listings over several folders (one per language) plus one missing folder, concatenated."""
     root = _land_memos(spark, sf, "lang")
-    langs = [r[0] for r in tables.load(spark, sf, "documents").select("lang").distinct().collect()]
-    roots = [f"{root}/lang={lang}" for lang in sorted(langs)] + [f"{root}/lang=missing"]
+    roots = [f"{root}/{name}" for name in folders.names(spark, root) if name.startswith("lang=")] + [f"{root}/lang=missing"]
     listing = files.scan_documents(spark, roots, recursive=False, glob="*.txt")
     return (listing.withColumn("folder", F.regexp_extract("path", r"/(lang=[^/]+)/", 1))
             .groupBy("folder").agg(F.sum("length").alias("n_bytes")))
@@ -218,6 +217,24 @@ def q_incremental_ingest(spark, sf):
     return spark.read.parquet(out).select("memo_id", "verdict", "status")
 
 
+@query("keyed_ingest", REGISTRY["incremental_ingest"].sql,
+       note="keyed state in the RocksDB store; every file lands twice, some keys are taken up again by the second run")
+def q_keyed_ingest(spark, sf):
+    landing, out, ledger, retry, ckpt = (scratch(spark, f"keyed-{x}") for x in ("landing", "results", "ledger", "retry", "ckpt"))
+    memos = tables.memos(spark, sf).select(F.col("file_path").alias("path"), "memo_id", "text")
+
+    def process(df):
+        return (X.classify_rules(df, "text", DQ.DOC_RULES, "n/a")
+                .withColumn("status", F.when(F.length("text") > 0, F.lit("ok")).otherwise(F.lit("no_text")))
+                .select("memo_id", "verdict", "status"))
+
+    status = F.when((F.col("attempt") == 0) & (F.pmod(F.xxhash64("path"), F.lit(5)) == 0), "retry")
+    for run in range(2):
+        memos.repartition(4).write.parquet(f"{landing}/run{run}")
+        keyed_ingest(spark, landing, memos.schema, out, ledger, retry, ckpt, process, status=status)
+    return spark.read.parquet(out).select("memo_id", "verdict", "status")
+
+
 def _pages_of(data: bytes) -> list[str]:
     """Stand-in byte parser for the plug point: a landed text file's lines are its pages."""
     return bytes(data).decode("utf-8").split("\n")[:-1]

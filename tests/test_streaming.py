@@ -1,6 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
-from quire.streaming.ingest import incremental_ingest
+from quire.streaming.ingest import incremental_ingest, keyed_ingest
 
 
 def test_incremental_ingest_is_idempotent_and_incremental(spark, tmp_dir):
@@ -56,3 +57,40 @@ def test_a_broken_ledger_is_an_error(spark, tmp_dir):
         f.write("not parquet")
     with pytest.raises(Exception):
         process_batch(spark.createDataFrame([("a",)], "path string"), 0, f"{tmp_dir}/out", f"{tmp_dir}/ledger", lambda d: d)
+
+
+def test_keyed_ingest_remembers_retries_and_restarts(spark, tmp_dir):
+    d = {x: f"{tmp_dir}/{x}" for x in ("in", "out", "ledger", "retry", "ckpt")}
+    schema = "path string, text string"
+    failing = {"on": True}
+
+    def land(rows, name):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{d['in']}/{name}")
+
+    def run(status=None):
+        def process(df):
+            if failing["on"]:
+                raise RuntimeError("stopped")
+            return df.select("path", F.length("text").alias("n"))
+
+        keyed_ingest(spark, d["in"], spark.createDataFrame([], schema).schema, d["out"], d["ledger"], d["retry"], d["ckpt"],
+                     process, status=status)
+        return sorted((r.path, r.n) for r in spark.read.parquet(d["out"]).collect())
+
+    land([("a", "x"), ("b", "xx"), ("a", "x")], 1)
+    once = F.when((F.col("path") == "b") & (F.col("attempt") == 0), "retry")
+    with pytest.raises(Exception, match="stopped"):
+        run(once)
+    failing["on"] = False
+    assert run(once) == [("a", 1)]  # the failed batch again; b is put off
+    land([("a", "other"), ("c", "xxx"), ("b", "xx")], 2)
+    assert run(once) == [("a", 1), ("b", 2), ("c", 3)]  # a is known, b is taken up once
+    assert run(once) == [("a", 1), ("b", 2), ("c", 3)]
+    ledger = sorted((r.path, r.status, r.attempt) for r in spark.read.parquet(d["ledger"]).collect())
+    assert ledger == [("a", "ok", 0), ("b", "ok", 1), ("b", "retry", 0), ("c", "ok", 0)]
+    # the state alone knows the keys: no batch reads the ledger or the results
+    land([("a", "x"), ("b", "x"), ("d", "")], 3)
+    d.update(out=f"{tmp_dir}/out2", ledger=f"{tmp_dir}/ledger2")
+    assert run(once) == [("d", 0)]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", "").endswith("HDFSBackedStateStoreProvider") \
+        or not spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")
