@@ -13,6 +13,7 @@ from quire.functions.text import error_text, is_sentinel, list_to_text, truncate
 from quire.operators import documents as D
 from quire.operators import extract as X
 from quire.operators import results as R
+from quire.operators.rule_index import classify_indexed, rule_match_indexed
 from quire.plans import sql_parts as S
 from quire.plans.org_queries import scratch
 from quire.plans.registry import query
@@ -259,6 +260,35 @@ def q_order_by_priority(spark, sf):
                                                         "priority_rank")
 
 
+_WORD_RULES = """
+SELECT word, '(?i) ' || word || '[ ,.]' AS pattern FROM (
+  SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS word FROM benchmark) w WHERE regexp_full_match(word, '[a-z]{5,}')"""
+
+
+def _word_rules(spark, sf) -> list[X.Rule]:
+    """A rule for each longer word of the benchmark items (rules are a parameter of the operator)."""
+    words = tables.load(spark, sf, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("word")).distinct()
+    return [X.Rule(r.word, "word", "seen", 1, 1, f"(?i) {r.word}[ ,.]")
+            for r in words.where(F.col("word").rlike("^[a-z]{5,}$")).toLocalIterator()]
+
+
+@query("rule_match_many", f"""
+SELECT doc_id, word AS rule_id FROM documents, ({_WORD_RULES}) r WHERE contains(lower(text), ' ' || word) AND regexp_matches(text, pattern)""",
+       note="hundreds of rules: an index of their literals names the candidates of each text")
+def q_rule_match_many(spark, sf):
+    docs = tables.load(spark, sf, "documents").select("doc_id", "text")
+    return rule_match_indexed(docs, "text", _word_rules(spark, sf), ["doc_id"]).select("doc_id", "rule_id")
+
+
+@query("classify_many", f"""
+SELECT doc_id, CASE WHEN min(word) IS NULL THEN 'n/a' ELSE 'seen' END AS verdict,
+       coalesce('rule ' || min(word), 'No rule matched') AS reason
+FROM documents LEFT JOIN ({_WORD_RULES}) r ON contains(lower(text), ' ' || word) AND regexp_matches(text, pattern) GROUP BY doc_id""")
+def q_classify_many(spark, sf):
+    docs = tables.load(spark, sf, "documents").select("doc_id", "text")
+    return classify_indexed(docs, "text", _word_rules(spark, sf), "doc_id", "n/a").select("doc_id", "verdict", "reason")
+
+
 # ---------------------------------------------------------------- pages, cache, text budget
 
 
