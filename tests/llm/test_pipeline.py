@@ -47,7 +47,7 @@ def test_empty_table(spark, tmp_dir):
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 14)}
 
 
 def test_queries_against_sql(spark):
@@ -55,7 +55,7 @@ def test_queries_against_sql(spark):
 
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
     for name, sql in __spark_entry__.LLM_SQL.items():
         out = __spark_entry__.LLM[name](spark, sf)
