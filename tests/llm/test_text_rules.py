@@ -1,6 +1,7 @@
 """URL rules, repetition rules and page extraction against brute force."""
 
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -95,6 +96,29 @@ def page(main, nav="Home About", foot="&copy; us"):
             f"{main}<aside>Side</aside><footer>{foot}</footer></body></html>")
 
 
+def extract_group(pages):
+    """Plain version: vectors of occurrences spelled out over the distinct pages, texts inside a tag of their class."""
+    distinct = [templates.read_page(p) for p in sorted(set(pages))]
+    n = len(distinct)
+    tags, texts, size = [], [], Counter()
+    for p in distinct:
+        tags.append(Counter(p.paths))
+        texts.append(Counter(templates.text_token(p.paths[e], t) for e, t in p.blocks))
+        for e, t in p.blocks:
+            size[templates.text_token(p.paths[e], t)] += len(t)
+
+    def vectors(counts):
+        return {t: tuple(c[t] for c in counts) for t in set().union(*counts)}
+
+    tag_class, text_class = vectors(tags), vectors(texts)
+    common = {v for v in tag_class.values() if sum(x > 0 for x in v) >= 3 and 2 * sum(x > 0 for x in v) >= n}
+    constant = {t: v for t, v in text_class.items() if v in common}
+    if 2 * sum(size[t] for t in constant) > sum(size.values()):
+        constant = {}
+    tag_class = {t: v for t, v in tag_class.items() if v in set(constant.values())}
+    return [templates.extract_page(templates.read_page(p), constant, tag_class) for p in pages]
+
+
 @pytest.mark.parametrize(("html", "text"), [
     (None, ""), ("", ""), ("just text", "just text"), ("<p>a <b>b</b>&nbsp;c<br>d<p>e", "a b c d\n\ne"),
     (page("<article><h1>H &amp;amp; i</h1><p><b>One.<br><p>Two\n  three</p><form>f</form><div class='comments'>c</div></article>"),
@@ -104,7 +128,7 @@ def page(main, nav="Home About", foot="&copy; us"):
      "Long enough article text here\n\none\n\ntwo"),
     (page("<article><p>cut off here <b").split("<aside")[0], "cut off here"), ("<article>a < b and c > d</article>", "a < b and c > d")])
 def test_page_text(html, text):
-    assert templates.extract_group([html or ""]) == [text]
+    assert extract_group([html or ""]) == [text]
 
 
 def test_pages_of_one_host(spark):
@@ -120,11 +144,6 @@ def test_pages_of_one_host(spark):
     assert templates.extract_main_text(df.where("false")).collect() == []
 
 
-def test_template_class():
-    a, b = ["/html", "/html/body", "/html/body/p", "/html/body/p"], ["/html", "/html/body", "/html/body/p"]
-    assert templates.template([a, b]) == ["/html", "/html/body"]
-
-
 @pytest.mark.parametrize("html, text", [
     ("<body><div class='has-sidebar'><article><p>one</p></article></div></body>", "one"),
     ("<body><div class='widget'><article><p>one</p><div class='social'>no</div></article></div></body>", "one"),
@@ -132,4 +151,62 @@ def test_template_class():
      "<section id='search-algorithms'><p>three</p></section></article>", "top\n\nRelated\n\ntwo\n\nthree"),
     ("<article><p>let <math><mi>x</mi></math> be</p></article>", "let x be")])
 def test_marks_that_drop_nothing(html, text):
-    assert templates.extract_group([html]) == [text]
+    assert extract_group([html]) == [text]
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<body><form id='aspnetForm'><div class='nav'>menu</div><h1>top</h1><p>the text of the page</p></form></body>", "top\n\nthe text of the page"),
+    ("<article><section class='social-history'><p>one</p></section><p class='search-result'>two</p>"
+     "<p>a <b class='alert'>bold</b> <a class='related'>link</a></p></article>", "one\n\ntwo\n\na bold link"),
+    ("<article><p>x <span class='ad'>buy <span>x</span> more ad</span> y</p><button>Share <b>it</b></button></article>", "x y"),
+    ("<article><p>x <span class='ad'>never closed</p><p>y</p></article>", "x never closed\n\ny"),
+    ("<article><p>x <span class='ad'>closed late</p><p>y</p></article></span>", "x\n\ny"),
+    ("<article><p>one</p></article><article class='comment'>hello</article>", "one"),
+    ("<article><p>one</p><article class='user-comment'>hello</article><div class='post-comments'>no</div></article>", "one")])
+def test_names_break_ties(html, text):
+    assert extract_group([html]) == [text]
+
+
+def test_deep_and_long_pages():
+    deep = "<div class='a'>" * 40_000
+    for html in (deep + "<p>x" + "</div>" * 40_000, deep + "</p>" * 40_000 + "<p>x", deep.replace("div", "b") + "x", "<p>x" + "<b class='ad'>" * 40_000):
+        start = time.perf_counter()
+        assert templates.extract_page(templates.read_page(html), {}, {}) == "x"
+        assert time.perf_counter() - start < 3
+
+
+def hosts_of_pages(seed, n_hosts=12):
+    """Pages with constant, repeated and varying slots, some twice, some hosts with copies of one page only."""
+    r = random.Random(seed)
+    rows = []
+    for h in range(n_hosts):
+        kinds = r.sample(["<div class='x7'>Sign up</div>", "<div><h4>More</h4><p>of this</p></div>", "<p class='z'>All rights</p>"], 2)
+        shared = prose(r.randrange(10**6), 40)
+        for i in range(r.choice([1, 2, 3, 5, 90])):
+            body = "".join(f"<li><i>{prose(r.randrange(10**6), 6)}</i><div class='by'>Reply</div></li>" for _ in range(r.randrange(4)))
+            text = shared if h % 4 == 0 else prose(r.randrange(10**6), 40)
+            html = f"<body>{kinds[0]}<h1>t{i}</h1><p>{text}</p><ul>{body}</ul>{kinds[1] if r.random() < 0.6 else ''}</body>"
+            rows += [(h, html)] * r.choice([1, 1, 2])
+    r.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_templates_against_vectors(spark, seed, monkeypatch):
+    rows = hosts_of_pages(seed)
+    want = {}
+    for h in {h for h, _ in rows}:
+        ids = [i for i, row in enumerate(rows) if row[0] == h]
+        want |= dict(zip(ids, extract_group([rows[i][1] for i in ids]), strict=True))
+    assert any("Reply" not in t and "Sign" not in t for t in want.values())
+    df = spark.createDataFrame([(i, f"https://h{h}.org/{i}", p) for i, (h, p) in enumerate(rows)], "page_id long, url string, html string")
+    for bound in (templates.BROADCAST_TOKENS, 0):
+        monkeypatch.setattr(templates, "BROADCAST_TOKENS", bound)
+        got = {x.page_id: x.text for x in templates.extract_main_text(df.repartition(7)).collect()}
+        assert got == want
+
+
+def test_constant_slots_go_and_varying_slots_stay():
+    pages = [f"<body><div class='x7'>Sign up</div><p>{prose(i, 20)}</p><div class='by'>About us</div></body>" for i in range(100)]
+    assert extract_group(pages) == [prose(i, 20) for i in range(100)]
+    assert extract_group(pages[:2]) == [f"Sign up\n\n{prose(i, 20)}\n\nAbout us" for i in range(2)]  # too few to tell
