@@ -100,6 +100,23 @@ def _folded(sketch: bytes, size: int) -> int:
     return value
 
 
+def _leading(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """The leading bits by which shingles are counted: those of the bucket and 32 more.  Shingles that agree in them are
+    counted as one, which changes the order of shingles alike for all sets and no result."""
+    return tokens >> np.uint64(32 - bits) << np.uint64(32 - bits)
+
+
+def _planes(rows: np.ndarray) -> bytes:
+    """First bytes of all rows, second bytes and so on: sizes, positions and sorted shingles have long runs of equal bytes."""
+    return np.ascontiguousarray(rows.view(np.uint8).reshape(len(rows), -1).T).tobytes()
+
+
+def _rows(cells: pa.ChunkedArray, dtype: np.dtype) -> np.ndarray:
+    """The rows of all cells made by ``_planes``."""
+    parts = [np.frombuffer(x.as_buffer(), np.uint8).reshape(dtype.itemsize, -1) for x in cells]
+    return np.concatenate([np.zeros(0, dtype), *[np.ascontiguousarray(x.T).view(dtype).ravel() for x in parts]])
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
@@ -109,8 +126,9 @@ def _scan(batches: Iterator[pa.RecordBatch], sim: Similarity, bits: int, names:
     low: list[np.ndarray] = []
 
     def flush() -> pa.RecordBatch:
-        tokens, counts = np.unique(np.concatenate(low), return_counts=True)
+        tokens, counts = np.unique(_leading(np.concatenate(low), bits), return_counts=True)
         cuts = cut_points(tokens, bits)
+        tokens = (tokens >> np.uint64(32 - bits)).astype("<u4")  # the bucket has the bits before them
         full = [i for i in range(1 << bits) if cuts[i] < cuts[i + 1]]
         none = pa.nulls(len(full))
         return pa.RecordBatch.from_arrays(
@@ -141,9 +159,10 @@ def _scan(batches: Iterator[pa.RecordBatch], sim: Similarity, bits: int, names:
         yield flush()
 
 
-def _frequent(table: pa.Table, uri: str) -> pa.Table:
+def _frequent(table: pa.Table, uri: str, bits: int) -> pa.Table:
     bucket = table["bucket"][0].as_py()
-    tokens, counts = joined(table["tokens"], "<u8"), joined(table["counts"], "<u4")
+    tokens, counts = joined(table["tokens"], "<u4").astype("<u8"), joined(table["counts"], "<u4")
+    tokens = (tokens << np.uint64(32 - bits)) | (np.uint64(bucket) << np.uint64(64 - bits))
     tokens, back = np.unique(tokens, return_inverse=True)
     total = np.bincount(back, counts)
     often = total >= FREQUENT
@@ -165,7 +184,7 @@ def _postings(batches: Iterator[pa.RecordBatch], sim: Similarity, uri: str, bits
         full = [i for i in range(1 << bits) if cuts[i] < cuts[i + 1]]
         none = pa.nulls(len(full))
         return pa.RecordBatch.from_arrays(
-            [pa.array(full, pa.int32()), pa.array([rows[cuts[i]: cuts[i + 1]].tobytes() for i in full], pa.binary()),
+            [pa.array(full, pa.int32()), pa.array([_planes(rows[cuts[i]: cuts[i + 1]]) for i in full], pa.binary()),
              *[none.cast(pa.int64())] * 4], names)
 
     for batch in batches:
@@ -174,7 +193,7 @@ def _postings(batches: Iterator[pa.RecordBatch], sim: Similarity, uri: str, bits
             keys = _set_keys(values, bounds, n)
             first = np.zeros(len(n), bool)
             first[np.unique(keys, return_index=True)[1]] = True
-            wanted, back = np.unique(values, return_inverse=True)
+            wanted, back = np.unique(_leading(values, bits), return_inverse=True)
             often = files.look(wanted, "f", "k", {"v": ("<u4", 0)})[0][back]
             order = np.lexsort((values, often, doc))
             place = np.arange(len(values)) - bounds[:-1][doc]  # doc is ascending either way
@@ -199,7 +218,7 @@ def _postings(batches: Iterator[pa.RecordBatch], sim: Similarity, uri: str, bits
 
 def _short_lists(table: pa.Table, sim: Similarity) -> pa.Table:
     """Pairs of the short lists of a bucket that size and position allow; the rows of long lists."""
-    rows = joined(table["packed"], POSTING)
+    rows = _rows(table["packed"], POSTING)
     rows = rows[np.lexsort((rows["key"], rows["token"]))]
     if len(rows):
         rows = rows[np.append(True, (rows["token"][1:] != rows["token"][:-1]) | (rows["key"][1:] != rows["key"][:-1]))]
@@ -269,7 +288,7 @@ class _Join:
         """Candidate pairs (a, b) of the short lists, and the rows (token, key, n, pos) of the long ones."""
         sim, uri, bits = self.sim, self.uri, self.bits
         self.scan.where("bucket is not null").select("bucket", "tokens", "counts").groupBy("bucket").applyInArrow(
-            lambda t: _frequent(t, uri), "n long").agg(F.sum("n")).collect()
+            lambda t: _frequent(t, uri, bits), "n long").agg(F.sum("n")).collect()
         posts = written(self.docs.select("text").mapInArrow(
             lambda it: _postings(it, sim, uri, bits), "bucket int, packed binary, token long, key long, n long, pos long"), "sets-posts")
         short = written(posts.where("bucket is not null").select("bucket", "packed").groupBy("bucket").applyInArrow(

@@ -296,9 +296,11 @@ def template_tokens(pages: DataFrame) -> DataFrame:
     shape = tokens.groupBy("host_key", "vector").agg(F.max((F.col("kind") < 2).cast("int")).alias("tagged"),
                                                  F.max((F.col("kind") == 2).cast("int")).alias("texts"))
     parts = tokens.join(shape.where("tagged = 1 and texts = 1"), ["host_key", "vector"])
-    sized = parts.where("kind = 2").groupBy("host_key").agg(F.sum("chars").alias("constant"), F.first("all_chars").alias("all_chars"))
+    sized = parts.where("kind = 2").groupBy("host_key").agg(
+        F.sum("chars").alias("constant"), F.first("all_chars").alias("all_chars"))
     kept = sized.where("2 * constant <= all_chars").select("host_key")
-    return written(parts.join(kept, "host_key").select("host_key", "token", "vector", (F.col("kind") == 2).alias("is_text")), "template")
+    parts = parts.join(kept, "host_key").select("host_key", "token", "vector", (F.col("kind") == 2).alias("is_text"))
+    return written(parts, "template")
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
