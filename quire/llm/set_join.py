@@ -36,6 +36,7 @@ FLUSH = 500_000
 POSTING = np.dtype([("token", "<u8"), ("key", "<u8"), ("n", "<u4"), ("pos", "<u4")])
 CHUNK_BYTES = 1 << 20
 PARITY = ["p0", "p1", "p2", "p3"]
+SMALL_GRAPH = 200_000  # edges of a graph whose components one task finds
 LEADERS = 3  # sets of a long list that are joined with all others before its other pairs are looked at
 
 
@@ -243,10 +244,30 @@ def _short_lists(table: pa.Table, sim: Similarity) -> pa.Table:
                      "n": join(a, pa.array(long["n"].astype(np.int64))), "pos": join(a, pa.array(long["pos"].astype(np.int64)))})
 
 
+def _components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, comp) of the edges of one small graph, by hooking roots to lesser ones."""
+    ends = [np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()]) for b in batches]
+    if not ends:
+        return
+    keys, at = np.unique(np.concatenate(ends, axis=1), return_inverse=True)
+    u, v = at.reshape(2, -1)
+    comp = np.arange(len(keys))
+    while (comp[u] != comp[v]).any():
+        low = np.minimum(comp[u], comp[v])
+        for roots in (comp[u], comp[v]):
+            np.minimum.at(comp, roots, low)
+        while (comp[comp] != comp).any():
+            comp = comp[comp]
+    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(keys[comp])], ["key", "comp"])
+
+
 def connected(links: DataFrame) -> DataFrame:
-    """(key, comp): the least key that each linked key reaches; by alternating large and small stars."""
+    """(key, comp): the least key that each linked key reaches; by alternating large and small stars, until the edges
+    that are left are few enough for one task."""
     edges = written(links.selectExpr("least(a, b) as lo", "greatest(a, b) as hi").where("lo <> hi").distinct(), "links")
     while True:
+        if edges.count() <= SMALL_GRAPH:
+            return written(edges.coalesce(1).mapInArrow(_components, "key long, comp long"), "comps")
         # large star: every larger neighbour of a key goes to the key's least neighbour
         both = edges.selectExpr("lo as u", "hi as v").unionByName(edges.selectExpr("hi as u", "lo as v"))
         least = written(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "star-least")
@@ -298,10 +319,10 @@ class _Join:
         return short.where("a is not null").select("a", "b"), written(hot.distinct(), "sets-hot")
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that are similar enough."""
+        """Those of the distinct ``pairs`` that are similar enough."""
         sim, uri, bits = self.sim, scratch_path(self.spark, "wanted"), self.bits
         side = lambda c: self.reps.selectExpr(f"key as {c}", f"n as n{c}", f"sketch as s{c}", f"th as t{c}")
-        both = written(pairs.distinct(), "sets-pairs").join(side("a"), "a").join(side("b"), "b")
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
         both = both.where(f"{sim.den} * least(na, nb) >= {sim.num} * greatest(na, nb)")
 
         def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,7 +366,7 @@ class _Join:
                             [pa.array(key[take]), pa.array([values[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())],
                             ["key", "shingles"])
 
-        sets = written(self.docs.select("text", "th").mapInArrow(whole, "key long, shingles binary"), "sets-whole")
+        sets = self.docs.select("text", "th").mapInArrow(whole, "key long, shingles binary")
         sets = written(sets.groupBy("key").agg(F.min("shingles").alias("shingles")), "sets-once")
 
         def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,11 +390,11 @@ def _open_lists(hot: DataFrame, comps: DataFrame, led: DataFrame | None) -> Data
     their list is in it."""
     rows = written(hot.join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key")), "sets-open")
     split = rows.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
-    rows = rows.join(written(split, "sets-split"), "token", "left_semi")
+    rows = rows.join(split, "token", "left_semi")
     if led is None:
         return written(rows.withColumn("led", F.lit(False)), "sets-rows")
     groups = rows.join(led, ["token", "key"]).select("token", "comp").distinct().withColumn("led", F.lit(True))
-    return written(rows.join(written(groups, "sets-led"), ["token", "comp"], "left").withColumn("led", F.coalesce("led", F.lit(False))), "sets-rows")
+    return written(rows.join(groups, ["token", "comp"], "left").withColumn("led", F.coalesce("led", F.lit(False))), "sets-rows")
 
 
 def _pairs(rows: DataFrame, others: DataFrame, sim: Similarity, across: str) -> DataFrame:

@@ -196,3 +196,17 @@ def test_passages_behind_earlier_partial_copies(spark):
         assert r.source_doc_id < r.doc_id
     need = brute_repeats(texts, 50)
     assert len(need) == 61 and all(v <= got[i] for i, v in need.items())
+
+
+@pytest.mark.parametrize("bound", [set_join.SMALL_GRAPH, 60, 0])
+def test_components(spark, monkeypatch, bound):
+    r = random.Random(5)
+    edges = [(i, i + 1) for i in range(-40, 0)] + [(100 + r.randrange(120), 100 + r.randrange(120)) for _ in range(70)] + [(7, 7), (3, 9), (9, 3)]
+    least = {x: x for e in edges for x in e}
+    for _ in least:
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    monkeypatch.setattr(set_join, "SMALL_GRAPH", bound)
+    got = {x.key: x.comp for x in set_join.connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: c for x, c in least.items() if any(a != b and x in (a, b) for a, b in edges)}
+    assert set_join.connected(spark.createDataFrame([], "a long, b long")).collect() == []
