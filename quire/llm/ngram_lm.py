@@ -1,12 +1,17 @@
 """Interpolated modified Kneser-Ney n-gram model: counted in Spark, stored as sorted hash arrays, memory-mapped.
 
-Counting: every task turns its training texts into sorted arrays of distinct n-gram keys with counts, cut by the
-keys' leading bits into buckets; a bucket's arrays meet in one task, which merges them.  A key holds 36 bits of the
-context's hash and 28 bits of the word's, so the followers of a context are adjacent and in one bucket.  The highest
-order has raw counts, lower orders have the numbers of distinct preceding words.  Per bucket the arrays of keys,
-discounted probabilities, contexts and back-off weights are written to the shared folder (whole files, put
-in place by a rename, so a repeated task leaves the same files).  Scoring maps them into memory; each worker looks
-up a chunk's distinct n-grams in key order.
+Counting: every task turns its training texts into distinct n-grams of the highest order with counts, cut into buckets
+by the word before the last, which every context of two or more words ends in.  So the lower orders need no
+rows of their own: a bucket's task merges its n-grams, sorted by (word before the last, last word, words further back),
+and each order is a prefix of those columns.  The highest order has raw counts, lower orders have the numbers of
+distinct preceding words; single words sum theirs over the buckets.  Counts are written once to the shared folder and
+discounted when a text is scored.
+
+Files of an order and bucket (whole files, put in place by a rename, so a repeated task leaves the same files):
+n-grams and contexts as sorted 64-bit hashes, of which a directory of slots of 8 to 16 keys holds the leading bits and an
+array the next 32; so a key that was not counted is taken for one that was with odds of about 2**-28 at any size of the
+corpus.  Counts take a byte, larger ones a list beside them; a context has the number of its row among the bucket's
+distinct (sum, ones, twos, more).  Scoring maps the files into memory.
 """
 
 from __future__ import annotations
@@ -20,13 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import words as W
-from quire.llm.hash_files import HashFiles, bucket_bits, cut_points, joined, put
+from quire.llm.hash_files import HashFiles, bucket_bits, cut_points, put
 from quire.llm.store import partitions, scratch_path, written
 
-FLUSH_TOKENS = 2_000_000
+FLUSH_TOKENS = 4_000_000
 SCORE_BYTES = 4 << 20
 END, BEGIN = np.uint64(0xE5D0C3B2A1908F7E), np.uint64(0x1B2C3D4E5F607182)
-CONTEXT = np.uint64(0xFFFFFFFFF0000000)
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+ODD = W.mix(np.arange(1, 5, dtype=np.uint64)) | np.uint64(1)  # a row of four numbers is told by one sum of multiples
 RAW = 0  # kind of table: 0 raw token counts, k > 0 the model's table of order k
 
 
@@ -42,57 +48,106 @@ def token_stream(words: W.Words) -> tuple[np.ndarray, np.ndarray]:
     return stream, bounds
 
 
-def keys_of_order(stream: np.ndarray, bounds: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The key of the n-gram that ends at each token, and the hash of the word before that n-gram."""
-    def back(step: int) -> np.ndarray:
-        out = np.full(len(stream), BEGIN, np.uint64)
-        if step < len(stream):
-            out[step:] = stream[:-step] if step else stream
-        start = np.repeat(bounds[:-1], np.diff(bounds))
-        out[np.arange(len(stream)) - step < start] = BEGIN
-        return out
+def back(stream: np.ndarray, bounds: np.ndarray, step: int) -> np.ndarray:
+    """The value ``step`` places before each token of ``stream``; its last value is that of places before a text."""
+    tokens = stream[:-1]
+    out = np.full(len(tokens), stream[-1], stream.dtype)
+    if step < len(tokens):
+        out[step:] = tokens[: len(tokens) - step]
+    first = np.repeat(bounds[:-1], np.diff(bounds))
+    out[np.arange(len(tokens)) - step < first] = stream[-1]
+    return out
 
-    if order == 1:
-        return stream, back(1)
-    context = np.zeros(len(stream), np.uint64)
-    for step in range(order - 1, 0, -1):
-        context = W.mix(context * np.uint64(0x9E3779B97F4A7C15) + back(step))
-    return (context & CONTEXT) | (stream >> np.uint64(36)), back(order)
 
+def chain(last: np.ndarray, word: np.ndarray, before: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the context and of the n-gram: ``last`` is the context's last word, ``before`` those before it."""
+    context = W.mix(last * FACTOR)
+    for w in before[: order - 2]:
+        context = W.mix(context * FACTOR + w.astype(np.uint64))
+    return context, W.mix((context + word.astype(np.uint64)) * FACTOR)
 
-def _sum_by_key(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    return keys[at], np.add.reduceat(counts, at) if len(at) else counts
 
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed cell."""
+    batch = pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(x).tobytes()], pa.large_binary()) for x in arrays],
+                                       [str(i) for i in range(len(arrays))])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
-def _distinct_pairs(keys: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((firsts, keys))
-    keys, firsts = keys[order], firsts[order]
-    new = np.append(True, (keys[1:] != keys[:-1]) | (firsts[1:] != firsts[:-1])) if len(keys) else np.zeros(0, bool)
-    return keys[new], firsts[new]
+
+def unpack(cell: pa.Scalar) -> list[pa.Buffer]:
+    batch = pa.ipc.open_stream(cell.as_buffer()).read_next_batch()
+    return [c[0].as_buffer() for c in batch.columns]
+
+
+def _starts(columns: list[np.ndarray]) -> np.ndarray:
+    """Where rows of sorted columns differ from the row before."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.append(True, np.logical_or.reduce([c[1:] != c[:-1] for c in columns])))
+
+
+def _sum_by_key(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows in order (by the first column, then the next) and the sums of their counts."""
+    order = np.lexsort(columns[::-1])
+    columns, counts = [c[order] for c in columns], counts[order]
+    at = _starts(columns)
+    return [c[at] for c in columns], np.add.reduceat(counts, at) if len(at) else counts
+
+
+def _grams(ranks: np.ndarray, bounds: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows (word before the last, last word, words further back) of ranks, in order, and their counts."""
+    columns = [back(ranks, bounds, 1), ranks[:-1], *[back(ranks, bounds, j) for j in range(2, order)]]
+    width = int(ranks.max()).bit_length()
+    if width * order > 64:
+        return _sum_by_key(columns, np.ones(len(ranks) - 1, np.int64))
+    code = np.zeros(len(ranks) - 1, np.uint64)
+    for c in columns:
+        code = code << np.uint64(width) | c.astype(np.uint64)
+    code.sort()
+    at = _starts([code])
+    mask, code, counts = np.uint64((1 << width) - 1), code[at], np.diff(np.append(at, len(code)))
+    return [(code >> np.uint64(width * (order - 1 - i)) & mask).astype(np.int64) for i in range(order)], counts
+
+
+CELLS = "kind int, bucket int, cell binary"
+NAMES = ["kind", "bucket", "cell"]
+
+
+def _cells(kind: int, buckets: list[int], cells: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([kind] * len(cells), pa.int32()), pa.array(buckets, pa.int32()),
+                                       pa.array(cells, pa.binary())], NAMES)
 
 
 def _count(batches: Iterator[pa.RecordBatch], order: int, bits: int) -> Iterator[pa.RecordBatch]:
-    """Rows (kind, bucket, keys, values): counts for raw tokens and the highest order, else preceding words."""
+    """Cells of words with counts (kind 0) and of n-grams of the highest order with counts (kind ``order``)."""
     def flush(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        for kind in range(order + 1):
-            k = 1 if kind == RAW else kind
-            found = [keys_of_order(s, b, k) for s, b in parts]
-            keys = np.concatenate([x for x, _ in found])
-            if kind in (RAW, order):
-                keys, values = _sum_by_key(keys, np.ones(len(keys), np.int64))
-                values = values.astype("<u4")
-            else:
-                keys, values = _distinct_pairs(keys, (np.concatenate([x for _, x in found]) >> np.uint64(32)).astype("<u4"))
-            cuts = cut_points(keys, bits)
-            full = [i for i in range(1 << bits) if cuts[i] < cuts[i + 1]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([kind] * len(full), pa.int32()), pa.array(full, pa.int32()),
-                 pa.array([keys[cuts[i]: cuts[i + 1]].tobytes() for i in full], pa.binary()),
-                 pa.array([values[cuts[i]: cuts[i + 1]].tobytes() for i in full], pa.binary())],
-                ["kind", "bucket", "keys", "values"])
+        ends = np.concatenate([np.zeros(1, np.int64), *[np.diff(b) for _, b in parts]]).cumsum()
+        words, ranks = np.unique(np.concatenate([*[s for s, _ in parts], [BEGIN]]), return_inverse=True)
+        counts = np.bincount(ranks[:-1], minlength=len(words)).astype("<u4")
+        cuts = cut_points(words, bits)
+        full = [i for i in range(1 << bits) if counts[cuts[i]: cuts[i + 1]].any()]
+        kept = [cuts[i] + np.flatnonzero(counts[cuts[i]: cuts[i + 1]]) for i in full]
+        yield _cells(RAW, full, [pack(words[k], counts[k]) for k in kept])
+        if order == 1:
+            return
+        columns, counts = _grams(ranks, ends, order)
+        ids = (words >> np.uint64(32)).astype("<u4")
+        at = np.searchsorted(columns[0], cuts)
+        for i in range(1 << bits):
+            cut = slice(at[i], at[i + 1])
+            if at[i] == at[i + 1]:
+                continue
+            lasts, runs = np.unique(columns[0][cut], return_counts=True)
+            used = np.zeros(len(words), bool)
+            for c in columns[1:]:
+                used[c[cut]] = True
+            place = used.cumsum() - 1
+            small = "<u2" if place[-1] < 1 << 16 else "<u4"
+            yield _cells(order, [i], [pack(words[lasts], runs.astype("<u4"), ids[used], counts[cut].astype("<u4"),
+                                           *[place[c[cut]].astype(small) for c in columns[1:]])])
 
     parts, size = [], 0
     for batch in batches:
@@ -106,24 +161,125 @@ def _count(batches: Iterator[pa.RecordBatch], order: int, bits: int) -> Iterator
         yield from flush(parts)
 
 
-def _merge(table: pa.Table, order: int) -> pa.Table:
-    """One row with a bucket's sorted keys, their counts, and how many keys have a count of 1, 2, 3 and 4."""
-    kind, bucket = table["kind"][0].as_py(), table["bucket"][0].as_py()
-    keys, values = joined(table["keys"], "<u8"), joined(table["values"], "<u4")
-    if kind in (RAW, order):
-        keys, counts = _sum_by_key(keys, values.astype(np.int64))
-    else:
-        keys, _ = _distinct_pairs(keys, values)
-        keys, counts = _sum_by_key(keys, np.ones(len(keys), np.int64))
-    few = np.bincount(np.minimum(counts, 5), minlength=6)[1:5]
-    return pa.table({"kind": pa.array([kind], pa.int32()), "bucket": pa.array([bucket], pa.int32()),
-                     "keys": pa.array([keys.tobytes()], pa.binary()),
-                     "counts": pa.array([np.minimum(counts, 2**32 - 1).astype("<u4").tobytes()], pa.binary()),
-                     "total": pa.array([int(counts.sum())], pa.int64()), "n_keys": pa.array([len(keys)], pa.int64()),
-                     **{f"n{i + 1}": pa.array([int(few[i])], pa.int64()) for i in range(4)}})
+def _put_keys(uri: str, name: str, keys: np.ndarray) -> None:
+    """Sorted 64-bit ``keys``: a directory of their leading bits and an array of the 32 bits that follow."""
+    q = max(0, len(keys).bit_length() - 4)
+    slots = keys >> np.uint64(64 - q) if q else np.zeros(len(keys), np.uint64)
+    put(uri, f"{name}-d", np.searchsorted(slots, np.arange((1 << q) + 1, dtype=np.uint64)).astype("<u4"))
+    put(uri, f"{name}-k", (keys << np.uint64(q) >> np.uint64(32)).astype("<u4"))
+
+
+def _put_counts(uri: str, name: str, counts: np.ndarray) -> None:
+    put(uri, f"{name}-c", np.minimum(counts, 255).astype("u1"))
+    large = np.flatnonzero(counts >= 255)
+    put(uri, f"{name}-o", np.concatenate([large, counts[large]]).astype("<i8"))
+
+
+def _find(files: HashFiles, name: str, keys: np.ndarray) -> np.ndarray:
+    """The place of each of ``keys`` among those written as ``name``, -1 if it is not there."""
+    have, slots = files.array(f"{name}-k", "<u4"), files.array(f"{name}-d", "<u4")
+    if not len(have):
+        return np.full(len(keys), -1)
+    q = (len(slots) - 1).bit_length() - 1
+    slot = (keys >> np.uint64(64 - q)).astype(np.int64) if q else np.zeros(len(keys), np.int64)
+    rest = (keys << np.uint64(q) >> np.uint64(32)).astype("<u4")
+    low, end = slots[slot].astype(np.int64), slots[slot + 1].astype(np.int64)
+    high = end.copy()
+    while (going := low < high).any():
+        middle = (low + high) // 2
+        less = going & (have[np.minimum(middle, len(have) - 1)] < rest)
+        high = np.where(going & ~less, middle, high)
+        low = np.where(less, middle + 1, low)
+    return np.where((low < end) & (have[np.minimum(low, len(have) - 1)] == rest), low, -1)
+
 
+def _counts(files: HashFiles, name: str, at: np.ndarray) -> np.ndarray:
+    """Counts at places that ``_find`` gave; 0 where it is -1."""
+    have = files.array(f"{name}-c", "u1")
+    if not len(have):
+        return np.zeros(len(at), np.int64)
+    out = np.where(at < 0, 0, have[at]).astype(np.int64)
+    if (large := out == 255).any():
+        place, value = files.array(f"{name}-o", "<i8").reshape(2, -1)
+        out[large] = value[np.searchsorted(place, at[large])]
+    return out
 
-MERGED = "kind int, bucket int, keys binary, counts binary, total long, n_keys long, n1 long, n2 long, n3 long, n4 long"
+
+MERGED = "kind int, bucket int, cell binary, total long, n_keys long, n1 long, n2 long, n3 long, n4 long"
+
+
+def _noted(kind: int, counts: np.ndarray) -> list:
+    """A row of MERGED: totals of a table, and how many of its keys have a count of 1, 2, 3 and 4."""
+    return [kind, -1, None, int(counts.sum()), len(counts), *np.bincount(np.minimum(counts, 5), minlength=6)[1:5].tolist()]
+
+
+def _table(rows: list[list]) -> pa.Table:
+    types = [pa.int32(), pa.int32(), pa.binary(), *[pa.int64()] * 6]
+    names = [x.split()[0] for x in MERGED.split(", ")]
+    return pa.table({n: pa.array(list(c), t) for n, c, t in zip(names, zip(*rows, strict=True), types, strict=True)})
+
+
+def _singles(ids: np.ndarray, counts: np.ndarray, bits: int) -> list[list]:
+    """Rows with cells of single words' counts, one for each bucket of the words; ``ids`` are sorted."""
+    cuts = np.searchsorted(ids, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32 - bits))
+    return [[1, i, pack(ids[cuts[i]: cuts[i + 1]], counts[cuts[i]: cuts[i + 1]].astype("<i8")), *[0] * 6]
+            for i in range(1 << bits) if cuts[i] < cuts[i + 1]]
+
+
+def _merge(table: pa.Table, order: int, bits: int, uri: str) -> pa.Table:
+    """Merges a bucket's cells and writes its files; returns the totals of each table and cells of single words."""
+    kind, bucket = table["kind"][0].as_py(), table["bucket"][0].as_py()
+    cells = [unpack(c) for c in table["cell"]]
+    if kind == RAW:
+        (words,), counts = _sum_by_key([np.concatenate([np.frombuffer(c[0], "<u8") for c in cells])],
+                                       np.concatenate([np.frombuffer(c[1], "<u4").astype(np.int64) for c in cells]))
+        put(uri, f"{RAW}-{bucket}-k", words)
+        put(uri, f"{RAW}-{bucket}-v", np.minimum(counts, 2**32 - 1).astype("<u4"))
+        rows = [_noted(RAW, counts)]
+        if order == 1:
+            (ids,), counts = _sum_by_key([(words >> np.uint64(32)).astype("<u4")], counts)
+            rows += _singles(ids, counts, bits)
+        return _table(rows)
+
+    parts, sums = [], []
+    for lasts, runs, ids, counts, *columns in cells:
+        ids = np.frombuffer(ids, "<u4")
+        sums.append(np.frombuffer(counts, "<u4").astype(np.int64))
+        width = f"<u{columns[0].size // len(sums[-1])}"
+        parts.append([np.repeat(np.frombuffer(lasts, "<u8"), np.frombuffer(runs, "<u4")),
+                      *[ids[np.frombuffer(c, width)] for c in columns]])
+    grams, counts = _sum_by_key([np.concatenate(c) for c in zip(*parts, strict=True)], np.concatenate(sums))
+    rows = []
+    for k in range(order, 1, -1):
+        name = f"{k}-{bucket}"
+        context, key = chain(grams[0], grams[1], grams[2:], k)
+        at = np.argsort(key)
+        _put_keys(uri, name, key[at])
+        _put_counts(uri, name, counts[at])
+        contexts, of = np.unique(context, return_inverse=True)
+        facts = np.stack([np.bincount(of, x).astype("<i8") for x in (counts, counts == 1, counts == 2, counts > 2)])
+        _, first, row = np.unique((facts.astype(np.uint64) * ODD[:, None]).sum(axis=0), return_index=True, return_inverse=True)
+        _put_keys(uri, f"x{name}", contexts)
+        put(uri, f"x{name}-r", row.astype("<u4" if len(first) > 1 << 16 else "<u2"))
+        put(uri, f"x{name}-f", facts[:, first])
+        rows.append(_noted(k, counts))
+        if k > 2:  # the next order's n-grams: each counts its distinct words before
+            at = _starts(grams[: k - 1])
+            counts = np.diff(np.append(at, len(counts)))
+            grams = [g[at] for g in grams[: k - 1]]
+    (ids,), counts = _sum_by_key([grams[1]], np.ones(len(grams[1]), np.int64))
+    return _table(rows + _singles(ids, counts, bits))
+
+
+def _merge_singles(table: pa.Table, uri: str) -> pa.Table:
+    cells = [unpack(c) for c in table["cell"]]
+    (ids,), counts = _sum_by_key([np.concatenate([np.frombuffer(c[0], "<u4") for c in cells])],
+                                 np.concatenate([np.frombuffer(c[1], "<i8") for c in cells]))
+    name, keys = f"1-{table['bucket'][0].as_py()}", W.mix(ids.astype(np.uint64) * FACTOR)
+    at = np.argsort(keys)
+    _put_keys(uri, name, keys[at])
+    _put_counts(uri, name, counts[at])
+    return _table([_noted(1, counts)])
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -135,84 +291,78 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     return tuple(d if 0 < d < i + 1 else (i + 1) / 2 for i, d in enumerate(raw))
 
 
-def _finish(batches: Iterator[pa.RecordBatch], uri: str, found: dict[int, tuple[float, float, float]],
-            totals: dict[int, int]) -> Iterator[pa.RecordBatch]:
-    """Writes the arrays of each bucket; returns one small row for each."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            kind, bucket = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-            keys = np.frombuffer(batch.column(2)[i].as_buffer(), "<u8")
-            counts = np.frombuffer(batch.column(3)[i].as_buffer(), "<u4")
-            name = f"{kind}-{bucket}"
-            if kind == RAW:
-                put(uri, f"{name}-v", counts)
-            else:
-                cut = np.array([0.0, *found[kind]])[np.minimum(counts, 3)]
-                if kind == 1:
-                    share = totals[1]
-                    contexts = np.zeros(0, np.uint64)
-                else:
-                    contexts, at = np.unique(keys & CONTEXT, return_index=True)
-                    sums = np.add.reduceat(counts.astype(np.float64), at)
-                    share = np.repeat(sums, np.diff(np.append(at, len(keys))))
-                    put(uri, f"{name}-b", (np.add.reduceat(cut, at) / sums).astype("<f4"))
-                put(uri, f"{name}-c", contexts)
-                put(uri, f"{name}-v", ((counts - cut) / share).astype("<f4"))
-            put(uri, f"{name}-k", keys)
-            yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([bucket], pa.int32()),
-                                              pa.array([len(keys)], pa.int64())], ["kind", "bucket", "n"])
-
-
 @dataclass(frozen=True)
 class Model:
-    """Where the arrays of a trained model are, and its few totals."""
+    """Where the arrays of a trained model are, its discounts for counts 0, 1, 2 and more, and its few totals."""
 
     uri: str
     order: int
     bits: int
     train_tokens: int
     vocabulary: int
-    unigram_rest: float  # the mass that unigram discounts leave for the uniform distribution
+    cuts: dict[int, tuple[float, ...]]
+    single_total: int
+    single_rest: float  # the mass that discounts of single words leave for the uniform distribution
 
 
 def train(texts: DataFrame, order: int = 3) -> Model:
     """The model of ``texts`` (its first column); null and empty texts are an end token only."""
     spark = texts.sparkSession
-    bits = bucket_bits(partitions(spark))
-    sparse = texts.mapInArrow(lambda it: _count(it, order, bits), "kind int, bucket int, keys binary, values binary")
-    merged = written(sparse.groupBy("kind", "bucket").applyInArrow(lambda t: _merge(t, order), MERGED), "lm-counts")
-    sums = {r.kind: r for r in merged.groupBy("kind").agg(  # one row per order
-        *[F.sum(c).alias(c) for c in ("total", "n_keys", "n1", "n2", "n3", "n4")]).collect()}
-    found = {k: discounts(r.n1, r.n2, r.n3, r.n4) for k, r in sums.items() if k != RAW}
-    totals = {k: r.total for k, r in sums.items()}
+    bits = min(16, bucket_bits(partitions(spark)))
     uri = scratch_path(spark, "lm-model")
-    if sums:
-        done = merged.select("kind", "bucket", "keys", "counts").mapInArrow(
-            lambda it: _finish(it, uri, found, totals), "kind int, bucket int, n long")
-        done.groupBy("kind").agg(F.sum("n")).collect()
-        u, d = sums[1], found[1]
-        rest = (d[0] * u.n1 + d[1] * u.n2 + d[2] * (u.n_keys - u.n1 - u.n2)) / u.total
-        return Model(uri, order, bits, totals[RAW], sums[RAW].n_keys, rest)
-    return Model(uri, order, bits, 0, 0, 1.0)
+    sparse = texts.mapInArrow(lambda it: _count(it, order, bits), CELLS)
+    merged = written(sparse.groupBy("kind", "bucket").applyInArrow(lambda t: _merge(t, order, bits, uri), MERGED), "lm-totals")
+    singles = merged.where("kind = 1").groupBy("bucket").applyInArrow(lambda t: _merge_singles(t, uri), MERGED)
+    sums = {r.kind: r for r in merged.where("cell is null").unionByName(singles).groupBy("kind").agg(  # one row per order
+        *[F.sum(c).alias(c) for c in ("total", "n_keys", "n1", "n2", "n3", "n4")]).collect()}
+    if not sums:
+        return Model(uri, order, bits, 0, 0, {k: (0.0,) * 4 for k in range(1, order + 1)}, 1, 1.0)
+    cuts = {k: (0.0, *discounts(r.n1, r.n2, r.n3, r.n4)) for k, r in sums.items() if k != RAW}
+    u, d = sums[1], cuts[1]
+    rest = (d[1] * u.n1 + d[2] * u.n2 + d[3] * (u.n_keys - u.n1 - u.n2)) / u.total
+    return Model(uri, order, bits, sums[RAW].total, sums[RAW].n_keys, cuts, u.total, rest)
+
+
+def _by_bucket(hashes: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The places of ``hashes`` with the same leading bits."""
+    bucket = (hashes >> np.uint64(64 - bits)).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    at = np.append(_starts([bucket[order]]), len(order))
+    for a, b in zip(at[:-1], at[1:], strict=True):
+        yield int(bucket[order[a]]), order[a:b]
 
 
 def score_chunk(m: Model, files: HashFiles, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """Per text: tokens, known tokens, base score, model score."""
-    def look(kind: int, wanted: np.ndarray, keys: str, value: str, dtype: str, missing: float) -> np.ndarray:
-        return files.look(wanted, str(kind), keys, {value: (dtype, missing)})[0].astype(np.float64)
+    def discounted(kind: int, name: str, keys: np.ndarray) -> np.ndarray:
+        found = _counts(files, name, _find(files, name, keys))
+        return found - np.array(m.cuts[kind])[np.minimum(found, 3)]
 
     stream, bounds = token_stream(W.Words(data, offsets))
-    word, back = np.unique(stream, return_inverse=True)
-    count = look(RAW, word, "k", "v", "<u4", 0)
+    word, back_to = np.unique(stream, return_inverse=True)
+    count = files.look(word, str(RAW), "k", {"v": ("<u4", 0)})[0].astype(np.float64)
     base = np.log10((count + 1) / (m.train_tokens + m.vocabulary + 1))
-    p = (look(1, word, "k", "v", "<f4", 0.0) + m.unigram_rest / (m.vocabulary + 1))[back]
-    for order in range(2, m.order + 1):
-        key, at = np.unique(keys_of_order(stream, bounds, order)[0], return_inverse=True)
-        seen = look(order, key, "k", "v", "<f4", 0.0)
-        context, of = np.unique(key & CONTEXT, return_inverse=True)
-        rest = look(order, context, "c", "b", "<f4", 1.0)
-        p = seen[at] + rest[of[at]] * p
-    sums = [np.add.reduceat(x, bounds[:-1]) for x in ((count > 0)[back].astype(np.int64), base[back], np.log10(p))]
+    single = np.empty(len(word))
+    for b, at in _by_bucket(word, m.bits):
+        single[at] = discounted(1, f"1-{b}", W.mix((word[at] >> np.uint64(32)) * FACTOR)) / m.single_total
+    p = (single + m.single_rest / (m.vocabulary + 1))[back_to]
+    padded = np.append(stream, BEGIN)
+    last, ids = back(padded, bounds, 1), stream >> np.uint64(32)
+    before = [back(padded, bounds, j) >> np.uint64(32) for j in range(2, m.order)]
+    for b, at in _by_bucket(last, m.bits) if m.order > 1 else ():
+        for order in range(2, m.order + 1):
+            name = f"{order}-{b}"
+            context, key = chain(last[at], ids[at], [x[at] for x in before], order)
+            place = _find(files, f"x{name}", context)
+            seen = np.flatnonzero(place >= 0)
+            if not len(seen):
+                break
+            rows = files.array(f"x{name}-f", "<i8").reshape(4, -1)
+            total, *few = rows[:, files.array(f"x{name}-r", "<u4" if rows.shape[1] > 1 << 16 else "<u2")[place[seen]]]
+            rest = sum(d * n for d, n in zip(m.cuts[order][1:], few, strict=True)) / total
+            to = at[seen]
+            p[to] = discounted(order, name, key[seen]) / total + rest * p[to]
+    sums = [np.add.reduceat(x, bounds[:-1]) for x in ((count > 0)[back_to].astype(np.int64), base[back_to], np.log10(p))]
     return (np.diff(bounds), *sums)
 
 

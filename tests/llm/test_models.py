@@ -91,9 +91,9 @@ def kneser_ney(train, order):
     return p
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_language_model(spark, order):
-    texts = [prose(i, 40, 25) for i in range(60)] + ["", None, "UPPER w1 Unseen", "w1"]
+    texts = [prose(i, 40, 25) for i in range(60)] + ["", None, "UPPER w1 Unseen", "w1", "often " * 700, "w1 often"]
     df = frame(spark, texts)
     model = ngram_lm.train(df.where("doc_id % 5 > 0").select("text"), order)
     tokens = [[*words(lower(t or "")), "</s>"] for t in texts]
@@ -110,6 +110,37 @@ def test_language_model(spark, order):
         assert x.score == pytest.approx(own, rel=1e-4), x.doc_id
 
 
+def test_grams_of_ranks():
+    parts, bounds = [], [0]
+    for text in [prose(i, 30, 9) for i in range(5)] + ["", "w1"]:
+        parts += [int(w[1:]) if w[1:].isdigit() else 99 for w in text.split()] + [0]
+        bounds.append(len(parts))
+    ranks = np.array([*parts, 1], np.int64)
+    narrow, counts = ngram_lm._grams(ranks, np.array(bounds), 3)
+    plain = Counter()
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        padded = [1, 1, *parts[a:b]]
+        plain.update((padded[i + 1], padded[i + 2], padded[i]) for i in range(b - a))
+    assert dict(zip(zip(*[c.tolist() for c in narrow], strict=True), counts.tolist(), strict=True)) == plain
+    assert sorted(plain) == list(zip(*[c.tolist() for c in narrow], strict=True))
+    wide, same = ngram_lm._grams(ranks << 40, np.array(bounds), 3)  # too wide for one number: sorted by columns
+    assert [c.tolist() for c in wide] == [(c << 40).tolist() for c in narrow] and same.tolist() == counts.tolist()
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 8, 100, 5000])
+def test_keys_of_model_files(tmp_path, n):
+    keys = np.unique(np.random.default_rng(n).integers(0, 2**64, n, dtype=np.uint64))
+    counts = np.arange(len(keys)) % 400
+    ngram_lm._put_keys(str(tmp_path), "t", keys)
+    ngram_lm._put_counts(str(tmp_path), "t", counts)
+    files = ngram_lm.HashFiles(str(tmp_path), 2)
+    at = ngram_lm._find(files, "t", keys)
+    assert at.tolist() == list(range(len(keys))) and ngram_lm._counts(files, "t", at).tolist() == counts.tolist()
+    other = np.random.default_rng(n + 1).integers(0, 2**64, 1000, dtype=np.uint64)
+    assert (ngram_lm._find(files, "t", other) == -1).all()
+    assert ngram_lm._counts(files, "absent", ngram_lm._find(files, "absent", other)).sum() == 0
+
+
 def test_language_model_of_odd_rows(spark):
     df = with_odd_rows(with_clash(frame(spark, hard_texts())))
     model = ngram_lm.train(df.select("text"))
