@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from quire.llm import words as W
 from quire.llm.hash_files import HashFiles, bucket_bits, cut_points, put
-from quire.llm.store import partitions, scratch_path, written
+from quire.llm.store import partitions, scratch_path
 
 FLUSH_TOKENS = 4_000_000
 SCORE_BYTES = 4 << 20
@@ -68,18 +68,33 @@ def chain(last: np.ndarray, word: np.ndarray, before: list[np.ndarray], order: i
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed cell."""
-    batch = pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(x).tobytes()], pa.large_binary()) for x in arrays],
-                                       [str(i) for i in range(len(arrays))])
+    """Arrays as one compressed cell, each by the planes of its bytes; a column's name holds its type."""
+    planes = [np.ascontiguousarray(x).view("u1").reshape(len(x), x.itemsize).T.tobytes() for x in arrays]
+    batch = pa.RecordBatch.from_arrays([pa.array([x], pa.large_binary()) for x in planes],
+                                       [f"{i}{x.dtype.str}" for i, x in enumerate(arrays)])
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
-def unpack(cell: pa.Scalar) -> list[pa.Buffer]:
+def unpack(cell: pa.Scalar) -> list[np.ndarray]:
     batch = pa.ipc.open_stream(cell.as_buffer()).read_next_batch()
-    return [c[0].as_buffer() for c in batch.columns]
+    out = []
+    for name, column in zip(batch.schema.names, batch.columns, strict=True):
+        dtype = np.dtype(name.lstrip("0123456789"))
+        planes = np.frombuffer(column[0].as_buffer(), "u1").reshape(dtype.itemsize, -1)
+        out.append(np.ascontiguousarray(planes.T).view(dtype).reshape(-1))
+    return out
+
+
+def steps(x: np.ndarray) -> np.ndarray:
+    """Sorted numbers as differences, which pack smaller; ``summed`` is the way back."""
+    return np.diff(x, prepend=x.dtype.type(0))
+
+
+def summed(x: np.ndarray) -> np.ndarray:
+    return np.cumsum(x, dtype=x.dtype)
 
 
 def _starts(columns: list[np.ndarray]) -> np.ndarray:
@@ -130,7 +145,7 @@ def _count(batches: Iterator[pa.RecordBatch], order: int, bits: int) -> Iterator
         cuts = cut_points(words, bits)
         full = [i for i in range(1 << bits) if counts[cuts[i]: cuts[i + 1]].any()]
         kept = [cuts[i] + np.flatnonzero(counts[cuts[i]: cuts[i + 1]]) for i in full]
-        yield _cells(RAW, full, [pack(words[k], counts[k]) for k in kept])
+        yield _cells(RAW, full, [pack(steps(words[k]), counts[k]) for k in kept])
         if order == 1:
             return
         columns, counts = _grams(ranks, ends, order)
@@ -146,7 +161,7 @@ def _count(batches: Iterator[pa.RecordBatch], order: int, bits: int) -> Iterator
                 used[c[cut]] = True
             place = used.cumsum() - 1
             small = "<u2" if place[-1] < 1 << 16 else "<u4"
-            yield _cells(order, [i], [pack(words[lasts], runs.astype("<u4"), ids[used], counts[cut].astype("<u4"),
+            yield _cells(order, [i], [pack(steps(words[lasts]), runs.astype("<u4"), steps(ids[used]), counts[cut].astype("<u4"),
                                            *[place[c[cut]].astype(small) for c in columns[1:]])])
 
     parts, size = [], 0
@@ -208,9 +223,9 @@ def _counts(files: HashFiles, name: str, at: np.ndarray) -> np.ndarray:
 MERGED = "kind int, bucket int, cell binary, total long, n_keys long, n1 long, n2 long, n3 long, n4 long"
 
 
-def _noted(kind: int, counts: np.ndarray) -> list:
+def _noted(kind: int, bucket: int, counts: np.ndarray) -> list:
     """A row of MERGED: totals of a table, and how many of its keys have a count of 1, 2, 3 and 4."""
-    return [kind, -1, None, int(counts.sum()), len(counts), *np.bincount(np.minimum(counts, 5), minlength=6)[1:5].tolist()]
+    return [kind, bucket, None, int(counts.sum()), len(counts), *np.bincount(np.minimum(counts, 5), minlength=6)[1:5].tolist()]
 
 
 def _table(rows: list[list]) -> pa.Table:
@@ -219,10 +234,16 @@ def _table(rows: list[list]) -> pa.Table:
     return pa.table({n: pa.array(list(c), t) for n, c, t in zip(names, zip(*rows, strict=True), types, strict=True)})
 
 
+def single_bits(bits: int) -> int:
+    """Leading bits that cut single words: vocabularies grow about as the root of a corpus, and so the cells of words
+    that go from each bucket of n-grams to each of theirs stay far below the square of the buckets."""
+    return (bits + 1) // 2
+
+
 def _singles(ids: np.ndarray, counts: np.ndarray, bits: int) -> list[list]:
     """Rows with cells of single words' counts, one for each bucket of the words; ``ids`` are sorted."""
     cuts = np.searchsorted(ids, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32 - bits))
-    return [[1, i, pack(ids[cuts[i]: cuts[i + 1]], counts[cuts[i]: cuts[i + 1]].astype("<i8")), *[0] * 6]
+    return [[1, i, pack(steps(ids[cuts[i]: cuts[i + 1]]), counts[cuts[i]: cuts[i + 1]].astype("<i8")), *[0] * 6]
             for i in range(1 << bits) if cuts[i] < cuts[i + 1]]
 
 
@@ -231,23 +252,21 @@ def _merge(table: pa.Table, order: int, bits: int, uri: str) -> pa.Table:
     kind, bucket = table["kind"][0].as_py(), table["bucket"][0].as_py()
     cells = [unpack(c) for c in table["cell"]]
     if kind == RAW:
-        (words,), counts = _sum_by_key([np.concatenate([np.frombuffer(c[0], "<u8") for c in cells])],
-                                       np.concatenate([np.frombuffer(c[1], "<u4").astype(np.int64) for c in cells]))
+        (words,), counts = _sum_by_key([np.concatenate([summed(c[0]) for c in cells])],
+                                       np.concatenate([c[1] for c in cells]).astype(np.int64))
         put(uri, f"{RAW}-{bucket}-k", words)
         put(uri, f"{RAW}-{bucket}-v", np.minimum(counts, 2**32 - 1).astype("<u4"))
-        rows = [_noted(RAW, counts)]
+        rows = [_noted(RAW, bucket, counts)]
         if order == 1:
             (ids,), counts = _sum_by_key([(words >> np.uint64(32)).astype("<u4")], counts)
-            rows += _singles(ids, counts, bits)
+            rows += _singles(ids, counts, single_bits(bits))
         return _table(rows)
 
     parts, sums = [], []
     for lasts, runs, ids, counts, *columns in cells:
-        ids = np.frombuffer(ids, "<u4")
-        sums.append(np.frombuffer(counts, "<u4").astype(np.int64))
-        width = f"<u{columns[0].size // len(sums[-1])}"
-        parts.append([np.repeat(np.frombuffer(lasts, "<u8"), np.frombuffer(runs, "<u4")),
-                      *[ids[np.frombuffer(c, width)] for c in columns]])
+        ids = summed(ids)
+        sums.append(counts.astype(np.int64))
+        parts.append([np.repeat(summed(lasts), runs), *[ids[c] for c in columns]])
     grams, counts = _sum_by_key([np.concatenate(c) for c in zip(*parts, strict=True)], np.concatenate(sums))
     rows = []
     for k in range(order, 1, -1):
@@ -262,24 +281,26 @@ def _merge(table: pa.Table, order: int, bits: int, uri: str) -> pa.Table:
         _put_keys(uri, f"x{name}", contexts)
         put(uri, f"x{name}-r", row.astype("<u4" if len(first) > 1 << 16 else "<u2"))
         put(uri, f"x{name}-f", facts[:, first])
-        rows.append(_noted(k, counts))
+        rows.append(_noted(k, bucket, counts))
         if k > 2:  # the next order's n-grams: each counts its distinct words before
             at = _starts(grams[: k - 1])
             counts = np.diff(np.append(at, len(counts)))
             grams = [g[at] for g in grams[: k - 1]]
     (ids,), counts = _sum_by_key([grams[1]], np.ones(len(grams[1]), np.int64))
-    return _table(rows + _singles(ids, counts, bits))
+    return _table(rows + _singles(ids, counts, single_bits(bits)))
 
 
 def _merge_singles(table: pa.Table, uri: str) -> pa.Table:
+    """Writes a bucket of single words; totals of other tables pass as they are."""
+    if table["cell"][0].as_py() is None:
+        return table
     cells = [unpack(c) for c in table["cell"]]
-    (ids,), counts = _sum_by_key([np.concatenate([np.frombuffer(c[0], "<u4") for c in cells])],
-                                 np.concatenate([np.frombuffer(c[1], "<i8") for c in cells]))
+    (ids,), counts = _sum_by_key([np.concatenate([summed(c[0]) for c in cells])], np.concatenate([c[1] for c in cells]))
     name, keys = f"1-{table['bucket'][0].as_py()}", W.mix(ids.astype(np.uint64) * FACTOR)
     at = np.argsort(keys)
     _put_keys(uri, name, keys[at])
     _put_counts(uri, name, counts[at])
-    return _table([_noted(1, counts)])
+    return _table([_noted(1, table['bucket'][0].as_py(), counts)])
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -311,9 +332,10 @@ def train(texts: DataFrame, order: int = 3) -> Model:
     bits = min(16, bucket_bits(partitions(spark)))
     uri = scratch_path(spark, "lm-model")
     sparse = texts.mapInArrow(lambda it: _count(it, order, bits), CELLS)
-    merged = written(sparse.groupBy("kind", "bucket").applyInArrow(lambda t: _merge(t, order, bits, uri), MERGED), "lm-totals")
-    singles = merged.where("kind = 1").groupBy("bucket").applyInArrow(lambda t: _merge_singles(t, uri), MERGED)
-    sums = {r.kind: r for r in merged.where("cell is null").unionByName(singles).groupBy("kind").agg(  # one row per order
+    merged = sparse.groupBy("kind", "bucket").applyInArrow(lambda t: _merge(t, order, bits, uri), MERGED)
+    # totals (cell null) have the bucket they are of, so they are dealt as the cells are
+    done = merged.groupBy("kind", "bucket").applyInArrow(lambda t: _merge_singles(t, uri), MERGED)
+    sums = {r.kind: r for r in done.groupBy("kind").agg(  # one row per order
         *[F.sum(c).alias(c) for c in ("total", "n_keys", "n1", "n2", "n3", "n4")]).collect()}
     if not sums:
         return Model(uri, order, bits, 0, 0, {k: (0.0,) * 4 for k in range(1, order + 1)}, 1, 1.0)
@@ -343,7 +365,7 @@ def score_chunk(m: Model, files: HashFiles, data: np.ndarray, offsets: np.ndarra
     count = files.look(word, str(RAW), "k", {"v": ("<u4", 0)})[0].astype(np.float64)
     base = np.log10((count + 1) / (m.train_tokens + m.vocabulary + 1))
     single = np.empty(len(word))
-    for b, at in _by_bucket(word, m.bits):
+    for b, at in _by_bucket(word, single_bits(m.bits)):
         single[at] = discounted(1, f"1-{b}", W.mix((word[at] >> np.uint64(32)) * FACTOR)) / m.single_total
     p = (single + m.single_rest / (m.vocabulary + 1))[back_to]
     padded = np.append(stream, BEGIN)
