@@ -3,7 +3,8 @@
 Every source gets a target number of words: its share by weight, held to a cap of ``max_copies`` times its size,
 the excess shared anew by weight (water filling in closed form).  ``floor(target / size)`` whole copies of each
 document are certain.  For the rest, a document has an inclusion odds p / (1 - p) and a random odds
-u / (1 - u) with u from a hash of its id; documents are ranked by random odds divided by inclusion odds and
+u / (1 - u); p is proportional to its importance, and where that would be above 1 the document is certain and the
+excess goes to the source's others, so that the expected words are what remains.  u comes from a hash of its id; documents are ranked by random odds divided by inclusion odds and
 taken in this order until the source's remaining words are reached.  The cut is found by two levels of word
 counts over bins of the rank, so no task sorts a whole source.
 """
@@ -48,6 +49,26 @@ def source_targets(sizes: DataFrame, weights: list[float], share: float, max_cop
     return s.select("source", "source_size", F.coalesce(F.col("level") * F.col("w"), F.col("cap")).alias("target"))
 
 
+def inclusion_rates(base: DataFrame, plan: DataFrame) -> DataFrame:
+    """``plan`` (source, left, rate, top and more) with rates for which the sizes in ``base`` (source, size, weight), each
+    times least(1, rate * weight), sum up to what is left of the source.
+
+    Documents with rate * weight of 1 or more are certain and the others' rate rises, until the largest weight among
+    these (``top``) stays below.  A round is one aggregate over the sizes; without such documents there is none.
+    """
+    odds = F.col("rate") * F.col("weight")
+    while not plan.where("left > 0 and rate * top > 1 + 1e-12").isEmpty():
+        facts = _with_plan(base, plan, ["rate"]).groupBy(F.col("source").alias("s")).agg(
+            F.sum(F.when(odds >= 1, F.col("size")).otherwise(0)).alias("certain"),
+            F.sum(F.when(odds < 1, F.col("weight") * F.col("size")).otherwise(0.0)).alias("open"),
+            F.coalesce(F.max(F.when(odds < 1, F.col("weight"))), F.lit(0.0)).alias("most"))
+        plan = written(
+            plan.join(facts, F.col("source").eqNullSafe(F.col("s"))).withColumns({
+                "rate": F.when(F.col("open") > 0, F.greatest("rate", (F.col("left") - F.col("certain")) / F.col("open")))
+                .otherwise(F.col("rate")), "top": F.col("most")}).drop("s", "certain", "open", "most"), "mix-plan")
+    return plan
+
+
 def mix_sources(docs: DataFrame, weights: list[float], share: float = 1.0, max_copies: int = 2,
                 importance: Column | None = None, seed: int = 7, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source", carry: list[str] | None = None) -> DataFrame:
@@ -64,15 +85,17 @@ def mix_sources(docs: DataFrame, weights: list[float], share: float = 1.0, max_c
     weight = F.log(F.col("size") + 2.0) if importance is None else importance
     base = base.withColumn("weight", weight)
     per_source = base.groupBy("source").agg(F.sum("size").alias("source_size"),
-                                            F.sum(F.col("weight") * F.col("size")).alias("weighted"))
+                                            F.sum(F.col("weight") * F.col("size")).alias("weighted"),
+                                            F.max("weight").alias("top"))
     targets = source_targets(per_source.select("source", "source_size"), weights, share, max_copies)
     plan = written(
-        targets.join(per_source.select(F.col("source").alias("s"), "weighted"), F.col("source").eqNullSafe(F.col("s")))
+        targets.join(per_source.select(F.col("source").alias("s"), "weighted", "top"), F.col("source").eqNullSafe(F.col("s")))
         .drop("s")
         .withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
                     .otherwise(0).cast("long"))
         .withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
         .withColumn("rate", F.when(F.col("weighted") > 0, F.col("left") / F.col("weighted")).otherwise(0.0)), "mix-plan")
+    plan = inclusion_rates(base, plan)
 
     u = (F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     p = F.least(F.greatest(F.col("rate") * F.col("weight"), F.lit(1e-9)), F.lit(1 - 1e-9))

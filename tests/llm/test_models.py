@@ -58,6 +58,31 @@ def test_source_mix_of_odd_rows(spark):
     assert [(x.size, x.taken, x.target) for x in empty] == [(0, 0, 0.0)]
 
 
+def test_inclusion_rates(spark):
+    """Expected words are what is left of a source, however large one document is."""
+    sizes = {"a": [5000, 900, *[10 + i for i in range(60)]], "b": [7] * 30, None: [4000, 3000, 2000, 3, 2, 1], "c": [0, 0]}
+    rows = [(s, n, float(n)) for s, v in sizes.items() for n in v]
+    base = spark.createDataFrame(rows, "source string, size long, weight double")
+    left = {"a": 6500.0, "b": 100.0, None: 6000.0, "c": 0.0}
+    sums = {s: sum(n * n for n in v) for s, v in sizes.items()}
+    plan = spark.createDataFrame([(s, left[s], left[s] / sums[s] if sums[s] else 0.0, float(max(v))) for s, v in sizes.items()],
+                                 "source string, left double, rate double, top double")
+    out = {x.source: x for x in mixing.inclusion_rates(base, plan).collect()}
+    assert set(out) == set(sizes)
+    for s, v in sizes.items():
+        certain = set()  # brute force: the excess is handed on again and again
+        while True:
+            rest = [(i, n) for i, n in enumerate(v) if i not in certain]
+            rate = (left[s] - sum(v[i] for i in certain)) / (sum(n * n for _, n in rest) or 1)
+            more = {i for i, n in rest if rate * n > 1}
+            if not more:
+                break
+            certain |= more
+        got = [min(1.0, out[s].rate * n) for n in v]
+        assert got == pytest.approx([1.0 if i in certain else rate * n for i, n in enumerate(v)])
+        assert sum(n * p for n, p in zip(v, got, strict=True)) == pytest.approx(left[s])
+
+
 def kneser_ney(train, order):
     """p(word | context) of an interpolated modified Kneser-Ney model, from dictionaries."""
     grams = Counter()
