@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from quire.functions.text import trim_id
 from quire.operators.labels import below, label_hierarchy
 from quire.operators.org import ID, SUPERVISOR
-from quire.session import stored, stored_counted
+from quire.session import shuffled, stored, stored_counted
 
 TAIL = 200_000  # pending edges that one task finishes
 
@@ -35,7 +35,7 @@ def build_edges(df: DataFrame, id_col: str = ID, sup_col: str = SUPERVISOR) -> D
 
 def edge_validity(edges: DataFrame, node_ids: DataFrame) -> DataFrame:
     """Edges whose two ends are positions (two semi joins; multiplicity preserved)."""
-    n = node_ids.select(F.col("id"))
+    n = shuffled(node_ids.select(F.col("id")))
     return (edges.join(n.withColumnRenamed("id", "child"), "child", "left_semi")
             .join(n.withColumnRenamed("id", "parent"), "parent", "left_semi")
             .select("parent", "child"))
@@ -52,7 +52,7 @@ def subtree(edges: DataFrame, node_ids: DataFrame, root: str) -> DataFrame:
 def subtree_rows(raw: DataFrame, reached: DataFrame, filter_col=None, id_col: str = ID) -> DataFrame:
     """Raw rows whose trimmed id is in ``reached`` (semi join), optionally filtered."""
     rows = raw.withColumn("_id", trim_id(F.col(f"`{id_col}`"))).join(
-        reached.select(F.col("id").alias("_id")), "_id", "left_semi").drop("_id")
+        shuffled(reached.select(F.col("id").alias("_id"))), "_id", "left_semi").drop("_id")
     return rows.where(filter_col) if filter_col is not None else rows
 
 

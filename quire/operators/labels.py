@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.session import stored, stored_counted
+from quire.session import shuffled, stored, stored_counted
 
 RULERS = 200_000  # rows that one task ranks
 EXTRAS = 200_000  # extra intervals that every task may hold; beyond them the ranges are closed round by round
@@ -56,7 +56,7 @@ def _to_rulers(links: DataFrame, every: int, n: int) -> DataFrame:
     cur, width = stored(links.withColumn("on", on), "links"), 1
     while width <= n and not cur.where("on").isEmpty():
         ahead = cur.selectExpr("id as _id", "next as _next", "w as _w", "least as _least")
-        step = cur.join(ahead, F.col("on") & (F.col("next") == F.col("_id")), "left")
+        step = cur.join(shuffled(ahead), F.col("on") & (F.col("next") == F.col("_id")), "left")
         cur = step.select("id", F.when(F.col("on"), F.col("_next")).otherwise(F.col("next")).alias("next"),
                           (F.col("w") + F.coalesce("_w", F.lit(0))).alias("w"), F.least("least", "_least").alias("least"))
         cur, width = stored(cur.withColumn("on", on), "links"), width * 2
@@ -121,10 +121,10 @@ def _arcs(forest: DataFrame, salts: int) -> DataFrame:
     ends = part.groupBy("g", "salt").agg(F.min("id").alias("head"), F.max("id").alias("tail"))
     if salts > 1:  # the last child of a part is followed by the first of the next part
         ends = ends.withColumn("after", F.lead("head").over(Window.partitionBy("g").orderBy("salt")))
-        part = part.join(ends.where("after is not null").selectExpr("tail as id", "after"), "id", "left").withColumn(
+        part = part.join(shuffled(ends.where("after is not null").selectExpr("tail as id", "after")), "id", "left").withColumn(
             "sibling", F.coalesce("sibling", "after"))
     heads = ends.groupBy("g").agg(F.min_by("head", "salt").alias("head")).withColumnRenamed("g", "id")
-    both = part.select("id", "up", "sibling").join(heads, "id", "left")
+    both = part.select("id", "up", "sibling").join(shuffled(heads) if salts > 1 else heads, "id", "left")
     down = F.struct(F.concat(F.lit("d"), "id").alias("id"),
                     F.coalesce(F.concat(F.lit("d"), "head"), F.concat(F.lit("u"), "id")).alias("next"), F.lit(1).cast("long").alias("w"))
     up = F.struct(F.concat(F.lit("u"), "id").alias("id"),
@@ -138,9 +138,10 @@ def label_hierarchy(edges: DataFrame, node_ids: DataFrame, rulers: int = RULERS)
     e = stored(edges.select("parent", "child").where("parent != child").distinct(), "edges")
     ups = node_ids.selectExpr("id", "cast(null as string) as up").unionByName(e.selectExpr("child as id", "parent as up"))
     forest, n = stored_counted(ups.groupBy("id").agg(F.min("up").alias("up")), "forest")
+    side = shuffled if n > rulers else lambda df: df
     cut, cuts = stored_counted(_cuts(forest, n, rulers), "cuts")
     if cuts:
-        forest = stored(forest.join(cut.withColumn("cut", F.lit(True)), "id", "left").select(
+        forest = stored(forest.join(side(cut.withColumn("cut", F.lit(True))), "id", "left").select(
             "id", F.when(F.col("cut").isNull(), F.col("up")).alias("up")), "forest")
     arcs = _arcs(forest, SALTS if n > rulers else 1)
     every = max(1, 2 * n // rulers)
@@ -148,15 +149,15 @@ def label_hierarchy(edges: DataFrame, node_ids: DataFrame, rulers: int = RULERS)
     ranked = _in_one_task(walked, every).select("id", "next", "w").mapInPandas(_ranked, "id string, w long")
     if every > 1:
         beyond = stored(ranked, "ranks").selectExpr("id as next", "w as _w")
-        ranked = walked.where(~_is_ruler(F.col("id"), every)).join(beyond, "next", "left").select(
+        ranked = walked.where(~_is_ruler(F.col("id"), every)).join(side(beyond), "next", "left").select(
             "id", (F.col("w") + F.coalesce("_w", F.lit(0))).alias("w")).unionByName(beyond.selectExpr("next as id", "_w as w"))
     left = ranked.groupBy(F.substring("id", 2, 1 << 30).alias("id")).agg(
         F.max(F.expr("if(id like 'd%', w, null)")).alias("d"), F.max(F.expr("if(id like 'u%', w, null)")).alias("u"))
     labels = left.selectExpr("id", f"{n} - d as first", f"{n} - u - 1 as last")
     nodes = stored(labels.sort("first") if n > RULERS else labels.coalesce(1).sortWithinPartitions("first"), "labels")
-    spare = e.join(forest.selectExpr("id as child", "up as parent"), ["child", "parent"], "left_anti")
+    spare = e.join(side(forest.selectExpr("id as child", "up as parent")), ["child", "parent"], "left_anti")
     top, low = nodes.selectExpr("id as parent", "first as at", "last as until"), nodes.withColumnRenamed("id", "child")
-    led = spare.join(top, "parent").join(low, "child").where("not (first between at and until)")
+    led = side(spare).join(side(top), "parent").join(side(low), "child").where("not (first between at and until)")
     extras, n_extras = stored_counted(led.select("at", "first", "last"), "extras")
     return Labels(nodes, extras, n, n_extras)
 

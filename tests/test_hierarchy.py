@@ -176,3 +176,24 @@ def test_empty_hierarchy(spark):
     one = spark.createDataFrame([("x",)], "id string")
     assert [r.id for r in H.subtree(e, one, "x").collect()] == ["x"]
     assert [tuple(r) for r in H.height_under(e, one).collect()] == [("x", 0, True)]
+
+
+def test_no_side_that_grows_is_broadcast(spark, monkeypatch):
+    """Not one plan of labels, edge checks and subtree rows has a broadcast join, however small the files are."""
+    plans = []
+
+    def plan(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    for name in ("stored", "stored_counted"):
+        monkeypatch.setattr(L, name, lambda df, *a, f=getattr(L, name): f(plan(df), *a))
+    raw = spark.createDataFrame([(str(i), str(1 + i // 3)) for i in range(2, 400)] + [("1", ""), ("1", "9"), ("50", "2")], [
+        "Position Number", "Reports To Position Number"])
+    ids, edges = H.nodes(raw), H.build_edges(raw)
+    valid = plan(H.edge_validity(edges, ids))
+    tree = L.label_hierarchy(valid, ids, rulers=20)
+    reached = plan(L.below(tree, ["1"])).select("id")
+    rows = plan(H.subtree_rows(raw, reached)).collect()
+    assert len(rows) == raw.count() and len(plans) > 10
+    assert not any("BroadcastHashJoin" in p for p in plans)
