@@ -193,6 +193,11 @@ def q_write_processed_log(spark, sf):
 
 # ---------------------------------------------------------------- streaming
 
+def _landing_files(spark, sf) -> int:
+    """Four files, or for a large table as many as its scan has tasks: what one task writes or reads of the landing does
+    not grow with the table."""
+    return max(4, tables.load(spark, sf, "documents", spread_rows=False).rdd.getNumPartitions())
+
 
 @query("incremental_ingest", f"""
 SELECT 'M' || doc_id AS memo_id, {DQ._first_rule_case('v', 'n/a')} AS verdict,
@@ -204,7 +209,7 @@ def q_incremental_ingest(spark, sf):
     ledger = scratch(spark, "stream-ledger")
     ckpt = scratch(spark, "stream-ckpt")
     memos = tables.memos(spark, sf).select(F.col("file_path").alias("path"), "memo_id", "text")
-    memos.repartition(4).write.parquet(landing)
+    memos.repartition(_landing_files(spark, sf)).write.parquet(landing)
     schema = spark.read.parquet(landing).schema
 
     def process(df):
@@ -230,7 +235,7 @@ def q_keyed_ingest(spark, sf):
 
     status = F.when((F.col("attempt") == 0) & (F.pmod(F.xxhash64("path"), F.lit(5)) == 0), "retry")
     for run in range(2):
-        memos.repartition(4).write.parquet(f"{landing}/run{run}")
+        memos.repartition(_landing_files(spark, sf)).write.parquet(f"{landing}/run{run}")
         keyed_ingest(spark, landing, memos.schema, out, ledger, retry, ckpt, process, status=status)
     return spark.read.parquet(out).select("memo_id", "verdict", "status")
 

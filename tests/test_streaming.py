@@ -94,3 +94,23 @@ def test_keyed_ingest_remembers_retries_and_restarts(spark, tmp_dir):
     assert run(once) == [("d", 0)]
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", "").endswith("HDFSBackedStateStoreProvider") \
         or not spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")
+
+
+def test_landing_files_follow_the_table(spark, tmp_dir, monkeypatch):
+    """Both ingest queries land a table of many parts in as many files, and take up each document once."""
+    from quire.plans import io_queries as Q
+
+    docs = spark.range(24).selectExpr("id as doc_id", "concat('memo ', id) as text", "'en' as lang", "'web' as source")
+    docs.repartition(6).write.option("maxRecordsPerFile", 4).parquet(f"{tmp_dir}/documents.parquet")
+    roots = {}
+    monkeypatch.setattr(Q, "scratch", lambda spark, what: roots.setdefault(what, f"{tmp_dir}/{what}"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")  # a small file is a task of the scan
+    try:
+        for query, landing in ((Q.q_incremental_ingest, "stream-landing"), (Q.q_keyed_ingest, "keyed-landing/run0")):
+            out = query(spark, tmp_dir)
+            assert sorted(r.memo_id for r in out.collect()) == sorted(f"M{i}" for i in range(24))
+            n = spark.read.parquet(f"{tmp_dir}/{landing}").selectExpr("input_file_name() as f").distinct().count()
+            assert n > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
