@@ -15,6 +15,7 @@ from quire.functions.text import list_to_text, text_to_list
 
 
 ARRAY_ROWS = 10_000
+CSV_ROWS = 100_000  # rows of one CSV file; a file with quoted line breaks is read by one task
 
 
 def _existing(spark: SparkSession, roots: list[str], glob: str) -> list[str]:
@@ -65,10 +66,10 @@ def scan_results_csv(spark: SparkSession, path: str, schema: T.StructType) -> Da
 
 
 def write_results_csv(df: DataFrame, path: str) -> None:
-    """Result rows as header CSV; a list of strings is one cell of JSON text."""
+    """Result rows as header CSV of at most ``CSV_ROWS`` rows a file; a list of strings is one cell of JSON text."""
     lists = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
     df = df.withColumns({c: list_to_text(f"`{c}`") for c in lists}) if lists else df
-    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+    (df.write.mode("overwrite").option("header", True).option("escape", '"').option("maxRecordsPerFile", CSV_ROWS)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 

@@ -61,3 +61,14 @@ def test_text_cache_version_key(spark):
     by_version, new_rows = D.text_cache_lookup(docs, cache, fresh, version=["length"])
     assert {r.file_path: r.text for r in by_version.collect()} == {"/a.pdf": "cached", "/b.pdf": "extracted"}
     assert new_rows.count() == 1
+
+
+def test_a_csv_file_has_few_rows(spark, tmp_dir, monkeypatch):
+    """Files with quoted line breaks are not split, so large results must be many files."""
+    monkeypatch.setattr(files, "CSV_ROWS", 10, raising=False)
+    df = spark.range(95).selectExpr("id", "concat('two\nlines ', id) as text").coalesce(1)
+    files.write_results_csv(df, f"{tmp_dir}/results")
+    back = files.scan_results_csv(spark, f"{tmp_dir}/results", df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    rows = back.selectExpr("input_file_name() as f").groupBy("f").count().collect()
+    assert len(rows) == 10 and max(r["count"] for r in rows) == 10
