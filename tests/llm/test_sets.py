@@ -210,3 +210,24 @@ def test_components(spark, monkeypatch, bound):
     got = {x.key: x.comp for x in set_join.connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: c for x, c in least.items() if any(a != b and x in (a, b) for a, b in edges)}
     assert set_join.connected(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_edited_passages_behind_third_documents(spark):
+    """Two edited copies of a passage are linked although every shingle of it stands in earlier documents, none of which
+    has enough of it."""
+    texts, late = [], []
+    for t in range(6):
+        w = prose(20_000 + t, 90, 10**6).split()
+        for i in range(0, 84, 12):
+            texts.append(" ".join([prose(21_000 + 100 * t + i, 70, 10**6), *w[i: i + 18], prose(22_000 + 100 * t + i, 70, 10**6)]))
+        late.append((w, t))
+    for copy, place in ((0, 45), (1, 47)):  # no 50 words in a row are equal
+        for w, t in late:
+            some = [f"edit{copy}" if j == place else x for j, x in enumerate(w)]
+            texts.append(" ".join([prose(23_000 + 10 * t + copy, 60, 10**6), *some, prose(24_000 + 10 * t + copy, 60, 10**6)]))
+    links = defaultdict(set)
+    for r in passages.repeated_passages(frame(spark, texts)).collect():
+        links[r.doc_id].add(r.source_doc_id)
+        assert r.source_doc_id < r.doc_id and r.end_word - r.start_word >= 50
+    for i in range(6):
+        assert len(texts) - 12 + i in links[len(texts) - 6 + i]
