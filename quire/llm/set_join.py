@@ -128,6 +128,7 @@ def _scan(batches: Iterator[pa.RecordBatch], sim: Similarity, bits: int, names:
 
     def flush() -> pa.RecordBatch:
         tokens, counts = np.unique(_leading(np.concatenate(low), bits), return_counts=True)
+        low.clear()
         cuts = cut_points(tokens, bits)
         tokens = (tokens >> np.uint64(32 - bits)).astype("<u4")  # the bucket has the bits before them
         full = [i for i in range(1 << bits) if cuts[i] < cuts[i + 1]]
@@ -155,7 +156,6 @@ def _scan(batches: Iterator[pa.RecordBatch], sim: Similarity, bits: int, names:
                  none.cast(pa.binary()), *_parity(values, doc, b - a)], names)
             if sum(map(len, low)) >= FLUSH:
                 yield flush()
-                low = []
     if low:
         yield flush()
 
@@ -180,6 +180,7 @@ def _postings(batches: Iterator[pa.RecordBatch], sim: Similarity, uri: str, bits
 
     def flush() -> pa.RecordBatch:
         rows = np.concatenate(parts)
+        parts.clear()
         rows = rows[np.argsort(rows["token"], kind="stable")]
         cuts = cut_points(np.ascontiguousarray(rows["token"]), bits)
         full = [i for i in range(1 << bits) if cuts[i] < cuts[i + 1]]
@@ -212,7 +213,6 @@ def _postings(batches: Iterator[pa.RecordBatch], sim: Similarity, uri: str, bits
                      pa.array(h["n"].astype(np.int64)), pa.array(h["pos"].astype(np.int64))], names)
             if sum(map(len, parts)) >= FLUSH:
                 yield flush()
-                parts = []
     if parts:
         yield flush()
 
@@ -299,7 +299,7 @@ class _Join:
         names = ["doc_id", "n", "key", "th", "sketch", "bucket", "tokens", "counts", *PARITY]
         schema = (f"doc_id {docs.dtypes[0][1]}, n long, key long, th long, sketch binary, bucket int, tokens binary, "
                   "counts binary, " + ", ".join(f"{p} long" for p in PARITY))
-        self.scan = written(docs.mapInArrow(lambda it: _scan(it, sim_, bits, names), schema), "sets-scan")
+        self.scan = written(docs.mapInArrow(lambda it: W.released(_scan(it, sim_, bits, names)), schema), "sets-scan")
         self.rows = self.scan.where("bucket is null")
         sizes = self.rows.where("n > 0").groupBy("key").agg(
             F.min("doc_id").alias("first"), F.max("n").alias("n"), F.min(F.struct("th", "sketch", *PARITY)).alias("s"))
@@ -311,7 +311,7 @@ class _Join:
         self.scan.where("bucket is not null").select("bucket", "tokens", "counts").groupBy("bucket").applyInArrow(
             lambda t: _frequent(t, uri, bits), "n long").agg(F.sum("n")).collect()
         posts = written(self.docs.select("text").mapInArrow(
-            lambda it: _postings(it, sim, uri, bits), "bucket int, packed binary, token long, key long, n long, pos long"), "sets-posts")
+            lambda it: W.released(_postings(it, sim, uri, bits)), "bucket int, packed binary, token long, key long, n long, pos long"), "sets-posts")
         short = written(posts.where("bucket is not null").select("bucket", "packed").groupBy("bucket").applyInArrow(
             lambda t: _short_lists(t, sim), "a long, b long, token long, key long, n long, pos long"), "sets-lists")
         cols = ["token", "key", "n", "pos"]
@@ -337,7 +337,7 @@ class _Join:
                 yield pa.RecordBatch.from_arrays([batch.column(j).filter(ok) for j in (0, 1, 2, 3, 6, 7)], ["a", "b", "na", "nb", "ta", "tb"])
 
         left = written(both.select("a", "b", "na", "nb", "sa", "sb", "ta", "tb").mapInArrow(
-            bounded, "a long, b long, na long, nb long, ta long, tb long"), "sets-left")
+            lambda it: W.released(bounded(it)), "a long, b long, na long, nb long, ta long, tb long"), "sets-left")
         wanted = left.selectExpr("ta as th", "a as key").unionByName(left.selectExpr("tb as th", "b as key")).distinct()
         wanted = wanted.withColumn("bucket", F.shiftrightunsigned("th", 64 - bits).cast("int"))
 
@@ -366,7 +366,7 @@ class _Join:
                             [pa.array(key[take]), pa.array([values[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())],
                             ["key", "shingles"])
 
-        sets = self.docs.select("text", "th").mapInArrow(whole, "key long, shingles binary")
+        sets = self.docs.select("text", "th").mapInArrow(lambda it: W.released(whole(it)), "key long, shingles binary")
         sets = written(sets.groupBy("key").agg(F.min("shingles").alias("shingles")), "sets-once")
 
         def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -379,7 +379,7 @@ class _Join:
 
         text = lambda c: sets.selectExpr(f"key as {c}", f"shingles as x{c}")
         return written(left.select("a", "b").join(text("a"), "a").join(text("b"), "b").select("a", "b", "xa", "xb")
-                       .mapInArrow(linked, "a long, b long"), "sets-links")
+                       .mapInArrow(lambda it: W.released(linked(it)), "a long, b long"), "sets-links")
 
 
 _AS_SECOND = {"key": "key2", "n": "n2", "pos": "pos2", "comp": "comp2", **{p: p.replace("p", "q") for p in PARITY}}

@@ -66,8 +66,9 @@ class _Tokens(W.Words):
 
 def _keys(t: _Tokens) -> tuple[np.ndarray, np.ndarray]:
     """Lexicon keys of each token: of its lower-cased text, and of its beginning (0 where it is not longer)."""
+    word = t.hashes(lower=True)
     head = W.mix(t.hashes(lower=True, prefix=PREFIX_BYTES) ^ _PREFIX)
-    return t.hashes(lower=True), np.where(t.end - t.start > PREFIX_BYTES, head, np.uint64(0))
+    return word, np.where(t.end - t.start > PREFIX_BYTES, head, np.uint64(0))
 
 
 def word_key(word: str) -> int:
@@ -166,7 +167,7 @@ def learn_lexicon(labelled: DataFrame, min_toxic: int = 5, min_ratio: float = 6.
 
     total = labelled.agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).first()
     bad_n, good_n = total.t or 0, (total.n or 0) - (total.t or 0)
-    counts = labelled.select("text", F.col("toxic").cast("long")).mapInArrow(count, "key long, bad long, good long")
+    counts = labelled.select("text", F.col("toxic").cast("long")).mapInArrow(lambda it: W.released(count(it)), "key long, bad long, good long")
     ratio = (F.col("bad") + 0.5) / (bad_n + 1.0) / ((F.col("good") + 0.5) / (good_n + 1.0))
     top = (counts.groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).where(f"bad >= {min_toxic}")
            .withColumn("ratio", ratio).where(f"ratio >= {min_ratio}")
@@ -199,7 +200,7 @@ class Scorer:
                         [batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(ends, pa.array(x.reshape(-1)))], ["row", "x"])
 
         schema = T.StructType([packed.schema["row"], T.StructField("x", T.ArrayType(T.DoubleType()))])
-        return packed.mapInArrow(run, schema)
+        return packed.mapInArrow(lambda it: W.released(run(it)), schema)
 
     def score(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
         """(row, score, predicted) per row of ``docs``; ``row`` is a struct of all its columns."""
